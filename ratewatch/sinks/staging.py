@@ -1,0 +1,35 @@
+"""Staging: cut a plan at a written table that outlives executors."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all nodes share, from ``spark.checkpoint.dir``.
+
+    Only a local session may fall back to a folder of its own.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
+    fallback = tempfile.mkdtemp(prefix="ratewatch-")
+    spark.conf.set("spark.checkpoint.dir", fallback)
+    return fallback
+
+
+def stage(frame: DataFrame, label: str) -> DataFrame:
+    """Write ``frame`` once and go on from the written table.
+
+    Later steps read columns and sizes from the files, and a lost executor
+    costs at most a re-read of them, never of the facts.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_dir(spark)}/ratewatch/{label}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

@@ -1,0 +1,5 @@
+"""Empty on purpose: the job is a daily batch.
+
+Late data is met by reading the whole lookback again on every run, so there is
+no watermark, window state or trigger to express.
+"""
