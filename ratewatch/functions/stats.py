@@ -1,12 +1,14 @@
-"""NULL-safe statistics as column expressions (all whole-stage codegen)."""
+"""NULL-safe statistics."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def ratio(part: str, whole: str) -> str:
+    """part / whole; NULL on a zero or NULL whole."""
+    return f"try_divide({part}, {whole})"
 
-def t_stat(value: Column, mean: Column, std: Column, n: Column, min_std: float | None = None) -> Column:
+
+def t_stat(value: str, mean: str, std: str, n: str, min_std: float | None = None) -> str:
     """(value - mean) / (std / sqrt(n)); NULL when any part is NULL or the spread is zero.
 
     ``min_std`` treats a spread at or below it as zero. It guards against
@@ -14,28 +16,28 @@ def t_stat(value: Column, mean: Column, std: Column, n: Column, min_std: float |
     default, since it changes results.
     """
     if min_std is not None:
-        std = F.when(std > min_std, std)
-    return F.try_divide(value - mean, F.try_divide(std, F.sqrt(n)))
+        std = f"if({std} > {min_std!r}D, {std}, NULL)"
+    return ratio(f"({value} - {mean})", ratio(std, f"sqrt({n})"))
 
 
-def share_pct(part: Column, whole: Column) -> Column:
-    return F.round(F.try_divide(part, whole) * 100, 2)
+def share_pct(part: str, whole: str) -> str:
+    return f"round({ratio(part, whole)} * 100, 2)"
 
 
-def clamp_at_zero(value: Column) -> Column:
+def clamp_at_zero(value: str) -> str:
     """max(0, value), but NULL stays NULL (``greatest`` would skip it)."""
-    return F.when(value > 0, value).when(value <= 0, F.lit(0.0))
+    return f"if({value} IS NULL, NULL, greatest({value}, 0D))"
 
 
-def average_value(amount: Column, count: Column) -> Column:
+def average_value(amount: str, count: str) -> str:
     """Ratio of sums; no amount counts as zero, no count gives NULL."""
-    return F.try_divide(F.coalesce(amount, F.lit(0.0)), count)
+    return ratio(f"coalesce({amount}, 0)", count)
 
 
-def lost_units(mean: Column, value: Column, volume: Column) -> Column:
-    return F.round(clamp_at_zero(mean - value) * volume)
+def lost_units(mean: str, value: str, volume: str) -> str:
+    return f"round({clamp_at_zero(f'({mean} - {value})')} * {volume})"
 
 
-def lost_amount(mean: Column, value: Column, volume: Column, unit_value: Column) -> Column:
+def lost_amount(mean: str, value: str, volume: str, unit_value: str) -> str:
     """Money lost, from the unrounded loss."""
-    return F.round(clamp_at_zero(mean - value) * volume * unit_value, 2)
+    return f"round({clamp_at_zero(f'({mean} - {value})')} * {volume} * {unit_value}, 2)"

@@ -7,13 +7,14 @@ carry one row per key and day, not one per metric.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
 from ratewatch.functions.stats import average_value
+from ratewatch.functions.text import quoted
 from ratewatch.operators.daily import CHANNEL_KEYS, MERCHANT_KEYS, SUMS, merchant_daily
 from ratewatch.specs import MetricSpec
 
@@ -21,11 +22,11 @@ from ratewatch.specs import MetricSpec
 def _statistics(specs: Sequence[MetricSpec]) -> list[Column]:
     # The date is unique within a group, so a plain count is the distinct count.
     # Days without a rate count as days, but do not enter mean and spread.
-    columns = [F.count("requested_date").alias("n")]
+    statistics = ["count(requested_date) AS n"]
     for spec in specs:
-        columns.append(F.avg(spec.rate()).alias(f"{spec.key}_mean"))
-        columns.append(F.stddev_samp(spec.rate()).alias(f"{spec.key}_std"))
-    return columns
+        statistics.append(f"avg({spec.rate()}) AS {spec.key}_mean")
+        statistics.append(f"stddev_samp({spec.rate()}) AS {spec.key}_std")
+    return [F.expr(statistic) for statistic in statistics]
 
 
 def _sums_in_use(specs: Sequence[MetricSpec]) -> list[str]:
@@ -36,14 +37,24 @@ def _sums_in_use(specs: Sequence[MetricSpec]) -> list[str]:
     return [name for name in SUMS if name in used]
 
 
-def _on(day: Column, value: Column) -> Column:
-    return F.max(F.when(F.col("requested_date") == day, value))
+def _on_day(clock: Clock, value: str, name: str) -> Column:
+    """Yesterday's ``value``, picked within a group of days."""
+    return F.expr(f"max(CASE WHEN requested_date = DATE'{clock.yesterday}' THEN {value} END) AS {name}")
 
 
-def _unpivot(wide: DataFrame, keys: Sequence[str], specs: Sequence[MetricSpec], fields) -> DataFrame:
-    """One row per metric; ``fields(spec)`` lists that metric's columns."""
-    rows = [F.struct(F.lit(spec.label).alias("Anomaly_Type"), *fields(spec)) for spec in specs]
-    return wide.select(*keys, F.inline(F.array(*rows)))
+def _unpivot(
+    wide: DataFrame,
+    keys: Sequence[str],
+    specs: Sequence[MetricSpec],
+    fields: Callable[[MetricSpec], dict[str, str]],
+) -> DataFrame:
+    """One row per metric; ``fields(spec)`` names that metric's columns."""
+    rows = []
+    for spec in specs:
+        columns = [f"{quoted(spec.label)} AS Anomaly_Type"]
+        columns += [f"{value} AS {name}" for name, value in fields(spec).items()]
+        rows.append(f"struct({', '.join(columns)})")
+    return wide.selectExpr(*keys, f"inline(array({', '.join(rows)}))")
 
 
 def merchant_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Clock) -> DataFrame:
@@ -54,20 +65,21 @@ def merchant_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Cloc
     reads, so both branches need the same daily roll-up and the planner computes
     it, and reads the facts, once for both.
     """
-    days = merchant_daily(daily, specs)
-    record = F.struct(*_sums_in_use(specs), *[f"{spec.key}_active_volume" for spec in specs])
-    wide = days.groupBy(*MERCHANT_KEYS).agg(
-        _on(F.lit(clock.yesterday), record).alias("yesterday"), *_statistics(specs)
+    record = [*_sums_in_use(specs), *[f"{spec.key}_active_volume" for spec in specs]]
+    wide = (
+        merchant_daily(daily, specs)
+        .groupBy(*MERCHANT_KEYS)
+        .agg(_on_day(clock, f"struct({', '.join(record)})", "yesterday"), *_statistics(specs))
     )
 
-    def fields(spec: MetricSpec) -> list[Column]:
-        return [
-            spec.rate("yesterday.").alias("t1"),
-            F.col(f"{spec.key}_mean").alias("mean"),
-            F.col(f"{spec.key}_std").alias("std"),
-            F.col("n").alias("n"),
-            F.col(f"yesterday.{spec.key}_active_volume").alias("active_volume"),
-        ]
+    def fields(spec: MetricSpec) -> dict[str, str]:
+        return {
+            "t1": spec.rate("yesterday."),
+            "mean": f"{spec.key}_mean",
+            "std": f"{spec.key}_std",
+            "n": "n",
+            "active_volume": f"yesterday.{spec.key}_active_volume",
+        }
 
     return _unpivot(wide, MERCHANT_KEYS, specs, fields)
 
@@ -77,22 +89,22 @@ def channel_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Clock
 
     ``incidents`` is yesterday's numerator, ``atv`` yesterday's average value.
     """
-    yesterday = F.lit(clock.yesterday)
+    ticket = average_value("captured_amount_sum", "captured_sum")
     wide = daily.groupBy(*CHANNEL_KEYS).agg(
-        *[_on(yesterday, F.col(name)).alias(name) for name in _sums_in_use(specs)],
-        _on(yesterday, average_value(F.col("captured_amount_sum"), F.col("captured_sum"))).alias("atv"),
+        *[_on_day(clock, name, name) for name in _sums_in_use(specs)],
+        _on_day(clock, ticket, "atv"),
         *_statistics(specs),
     )
 
-    def fields(spec: MetricSpec) -> list[Column]:
-        return [
-            spec.rate().alias("t1"),
-            F.col(f"{spec.key}_mean").alias("mean"),
-            F.col(f"{spec.key}_std").alias("std"),
-            F.col("n").alias("n"),
-            F.col(spec.volume).alias("volume"),
-            F.col(spec.numerator).alias("incidents"),
-            F.col("atv").alias("atv"),
-        ]
+    def fields(spec: MetricSpec) -> dict[str, str]:
+        return {
+            "t1": spec.rate(),
+            "mean": f"{spec.key}_mean",
+            "std": f"{spec.key}_std",
+            "n": "n",
+            "volume": spec.volume,
+            "incidents": spec.numerator,
+            "atv": "atv",
+        }
 
     return _unpivot(wide, CHANNEL_KEYS, specs, fields)

@@ -7,15 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewatch.functions.text import quoted
 from ratewatch.specs import MetricSpec, by_metric
 
 PRIMARY_SHARE_PCT = 50
 
-ANOMALY_COLUMNS = (
-    "Anomaly_Type", "overall_status", "alias_name", "channel_id", "is_mit",
-    "t_stat_alias_global", "t_stat_channel_specific", "channel_vol_share_pct",
-    "Total_Volume_Amount_Lost", "Lost_Volume", "ATV",
-)
+BOTH_BREACH = "merchant_breach AND channel_breach"
+
+
+def _severity(spec: MetricSpec) -> str:
+    return (
+        f"CASE WHEN {BOTH_BREACH} AND channel_vol_share_pct > {PRIMARY_SHARE_PCT}"
+        f" THEN {quoted(spec.primary_label)}"
+        f" WHEN {BOTH_BREACH} THEN {quoted(spec.global_label)}"
+        f" ELSE {quoted(spec.below_label)} END"
+    )
 
 
 def classify(scored: DataFrame, specs: Sequence[MetricSpec], keep_all: bool = False) -> DataFrame:
@@ -25,19 +31,23 @@ def classify(scored: DataFrame, specs: Sequence[MetricSpec], keep_all: bool = Fa
     only breaching merchants and breaching channels are ever shuffled to it.
     """
     if not keep_all:
-        scored = scored.where(F.col("merchant_breach") & F.col("channel_breach") & F.col("impact_is_large"))
-    both = F.col("merchant_breach") & F.col("channel_breach")
-    primary = F.col("channel_vol_share_pct") > PRIMARY_SHARE_PCT
-    status = by_metric(
-        specs,
-        lambda spec: F.when(both & primary, spec.primary_label)
-        .when(both, spec.global_label)
-        .otherwise(spec.below_label),
+        scored = scored.where(f"{BOTH_BREACH} AND impact_is_large")
+    return scored.selectExpr(
+        "Anomaly_Type",
+        f"{by_metric(specs, _severity)} AS overall_status",
+        "alias_name",
+        "channel_id",
+        "is_mit",
+        "t_stat_alias_global",
+        "t_stat_channel_specific",
+        "channel_vol_share_pct",
+        "Total_Volume_Amount_Lost",
+        "Lost_Volume",
+        "ATV",
     )
-    return scored.withColumn("overall_status", status).select(*ANOMALY_COLUMNS)
 
 
 def in_report_order(anomalies: DataFrame) -> DataFrame:
     """By metric, MIT flag and lost amount; alias and channel settle ties."""
-    amount = F.coalesce("Total_Volume_Amount_Lost", F.lit(0.0))
+    amount = F.expr("coalesce(Total_Volume_Amount_Lost, 0D)")
     return anomalies.orderBy("Anomaly_Type", "is_mit", amount.desc(), "alias_name", "channel_id")

@@ -89,12 +89,10 @@ def roll_up_days(resolved: DataFrame) -> DataFrame:
     """Daily sums of resolved facts."""
     sums = []
     for measure, name in MEASURES.items():
-        total = F.sum(measure)
-        if name in ZERO_WHEN_ABSENT:
-            total = F.coalesce(total, F.lit(0))
-        sums.append(total.alias(name))
-    daily = resolved.groupBy("requested_date", *CHANNEL_KEYS).agg(*sums)
-    return daily.withColumn("daily_atv", average_value(F.col("captured_amount_sum"), F.col("captured_sum")))
+        total = f"sum({measure})"
+        sums.append(f"coalesce({total}, 0) AS {name}" if name in ZERO_WHEN_ABSENT else f"{total} AS {name}")
+    daily = resolved.groupBy("requested_date", *CHANNEL_KEYS).agg(*map(F.expr, sums))
+    return daily.selectExpr("*", f"{average_value('captured_amount_sum', 'captured_sum')} AS daily_atv")
 
 
 def merchant_daily(daily: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
@@ -104,10 +102,10 @@ def merchant_daily(daily: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     ``<key>_active_volume`` is the volume of the channels that have a rate that
     day; yesterday's value is the whole that channel shares refer to.
     """
-    sums = [F.sum(name).alias(name) for name in SUMS]
-    active = [
-        F.sum(F.when(spec.rate().isNotNull(), F.col(spec.volume))).alias(f"{spec.key}_active_volume")
+    sums = [f"sum({name}) AS {name}" for name in SUMS]
+    sums += [
+        f"sum({spec.volume}) FILTER (WHERE {spec.rate()} IS NOT NULL) AS {spec.key}_active_volume"
         for spec in specs
     ]
-    summed = daily.groupBy("requested_date", *MERCHANT_KEYS).agg(*sums, *active)
-    return summed.withColumns({f"{spec.key}_rate": spec.rate() for spec in specs})
+    summed = daily.groupBy("requested_date", *MERCHANT_KEYS).agg(*map(F.expr, sums))
+    return summed.selectExpr("*", *[f"{spec.rate()} AS {spec.key}_rate" for spec in specs])

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
-from ratewatch.functions.text import dollars, text_or_blank, whole, yes_no
+from ratewatch.functions.text import blank_if_null, dollars, quoted, whole, yes_no
 from ratewatch.operators.links import linked_url
 from ratewatch.specs import ACCEPTANCE
 
@@ -28,6 +28,7 @@ EXPLANATION = (
     " merchants** with the highest estimated processing volume impact due to acceptance rate drops"
     " vs. their historical baseline. Figures represent estimated lost payments and processing volume."
 )
+OVERFLOW = " more channel(s) — see CSV for full breakdown_"
 
 
 @dataclass(frozen=True)
@@ -40,13 +41,28 @@ class DigestStyle:
     footer: str = "_Powered by ratewatch_"
 
 
+def _rows_of(anomalies: DataFrame, metric: str) -> DataFrame:
+    return anomalies.where(F.col("Anomaly_Type") == metric).selectExpr(
+        f"{blank_if_null('alias_name')} AS alias_name",
+        "channel_id",
+        "is_mit",
+        f"{blank_if_null('overall_status')} AS overall_status",
+        "coalesce(Total_Volume_Amount_Lost, 0D) AS lost_amount",
+        "coalesce(Lost_Volume, 0D) AS lost_payments",
+        f"{linked_url('Link_to_Look')} AS url",
+    )
+
+
 def merchant_totals(anomalies: DataFrame, metric: str = ACCEPTANCE.label) -> DataFrame:
     """Lost amount, lost payments and channel count per alias, over MIT flags and channels."""
-    rows = anomalies.where(F.col("Anomaly_Type") == metric)
-    return rows.groupBy(text_or_blank(F.col("alias_name")).alias("alias_name")).agg(
-        F.sum(F.coalesce("Total_Volume_Amount_Lost", F.lit(0.0))).alias("lost_amount"),
-        F.sum(F.coalesce("Lost_Volume", F.lit(0.0))).alias("lost_payments"),
-        F.count(F.lit(1)).alias("channels"),
+    return (
+        _rows_of(anomalies, metric)
+        .groupBy("alias_name")
+        .agg(
+            F.sum("lost_amount").alias("lost_amount"),
+            F.sum("lost_payments").alias("lost_payments"),
+            F.count(F.lit(1)).alias("channels"),
+        )
     )
 
 
@@ -75,62 +91,55 @@ def top_channels(
     broadcast. The rank filter is applied within each task before the shuffle,
     so a merchant with very many channels sends only its best ones.
     """
-    rows = anomalies.where(F.col("Anomaly_Type") == metric).select(
-        text_or_blank(F.col("alias_name")).alias("alias_name"),
-        "channel_id",
-        "is_mit",
-        text_or_blank(F.col("overall_status")).alias("overall_status"),
-        F.coalesce("Total_Volume_Amount_Lost", F.lit(0.0)).alias("lost_amount"),
-        F.coalesce("Lost_Volume", F.lit(0.0)).alias("lost_payments"),
-        linked_url(F.col("Link_to_Look")).alias("url"),
-    )
-    wanted = rows.join(F.broadcast(merchants.select("alias_name")), "alias_name", "left_semi")
+    chosen = F.broadcast(merchants.select("alias_name"))
+    wanted = _rows_of(anomalies, metric).join(chosen, "alias_name", "left_semi")
     order = Window.partitionBy("alias_name").orderBy(F.col("lost_amount").desc(), "is_mit", "channel_id")
     return wanted.withColumn("channel_rank", F.row_number().over(order)).where(F.col("channel_rank") <= top)
 
 
-def _channel_line(style: DigestStyle) -> Column:
-    link = F.when(F.col("url") != "", F.concat(F.lit(" | <"), "url", F.lit(f"|{style.link_label}>")))
-    return F.concat(
-        F.lit("• `"), text_or_blank(F.col("channel_id")), F.lit("` | "),
-        F.col("overall_status"), F.lit(" | MIT: "), yes_no(F.col("is_mit")), F.lit(" | "),
-        whole(F.col("lost_payments")), F.lit(" payments | **"), dollars(F.col("lost_amount")), F.lit("**"),
-        text_or_blank(link),
+def _text(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
+
+
+def _lines(*lines: str) -> str:
+    # concat_ws skips NULLs, so optional lines simply disappear.
+    return f"concat_ws('\\n', {', '.join(lines)})"
+
+
+def _channel_line(style: DigestStyle) -> str:
+    link = f"if(url = '', '', {_text(quoted(' | <'), 'url', quoted(f'|{style.link_label}>'))})"
+    return _text(
+        quoted("• `"), blank_if_null("channel_id"), quoted("` | "),
+        "overall_status", quoted(" | MIT: "), yes_no("is_mit"), quoted(" | "),
+        whole("lost_payments"), quoted(" payments | **"), dollars("lost_amount"), quoted("**"),
+        link,
     )
 
 
-def _header(date_text: Column, style: DigestStyle) -> Column:
-    count = F.col("merchants").cast("string")
-    return F.concat_ws(
-        "\n",
-        F.lit(style.title),
-        F.concat(F.lit("📅 **"), date_text, F.lit("**" + SUBTITLE)),
-        F.lit(""),
-        F.concat(F.lit("Flagged **"), count, F.lit(EXPLANATION)),
+def _header(date_text: str, style: DigestStyle) -> str:
+    return _lines(
+        quoted(style.title),
+        quoted(f"📅 **{date_text}**{SUBTITLE}"),
+        "''",
+        _text(quoted("Flagged **"), "merchants", quoted(EXPLANATION)),
     )
 
 
-def _block(date_text: Column, metric: str, style: DigestStyle) -> Column:
-    hidden = F.col("channels") - F.size("lines")
-    overflow = F.concat(
-        F.lit("_..."), hidden.cast("string"), F.lit(" more channel(s) — see CSV for full breakdown_")
-    )
-    closing = F.concat(F.lit(f"\n{RULE}\n"), F.lit(style.footer))
-    # concat_ws skips NULLs, so optional lines simply disappear.
-    return F.concat_ws(
-        "\n",
-        F.lit(RULE),
-        F.lit(""),
-        F.concat(F.lit("**"), F.col("rank").cast("string"), F.lit(KEYCAP + "  "), "alias_name", F.lit("**")),
-        F.concat(F.lit("> 📅 Date of Detection: **"), date_text, F.lit("**")),
-        F.lit(f"> 🔍 Anomaly Type: **{metric}**"),
-        F.concat(F.lit("> 💳 Lost Payments: **"), whole(F.col("lost_payments")), F.lit("**")),
-        F.concat(F.lit("> 💰 Lost Volume Amount: **"), dollars(F.col("lost_amount")), F.lit("**")),
-        F.lit(""),
-        F.lit("**Channel Breakdown:**"),
-        F.col("lines"),
-        F.when(hidden > 0, overflow),
-        F.when(F.col("rank") == F.col("merchants"), closing),
+def _block(date_text: str, metric: str, style: DigestStyle) -> str:
+    overflow = _text(quoted("_..."), "channels - size(lines)", quoted(OVERFLOW))
+    return _lines(
+        quoted(RULE),
+        "''",
+        _text(quoted("**"), "rank", quoted(f"{KEYCAP}  "), "alias_name", quoted("**")),
+        quoted(f"> 📅 Date of Detection: **{date_text}**"),
+        quoted(f"> 🔍 Anomaly Type: **{metric}**"),
+        _text(quoted("> 💳 Lost Payments: **"), whole("lost_payments"), quoted("**")),
+        _text(quoted("> 💰 Lost Volume Amount: **"), dollars("lost_amount"), quoted("**")),
+        "''",
+        quoted("**Channel Breakdown:**"),
+        "lines",
+        f"if(channels > size(lines), {overflow}, NULL)",
+        f"if(rank = merchants, {_lines(quoted(''), quoted(RULE), quoted(style.footer))}, NULL)",
     )
 
 
@@ -151,24 +160,22 @@ def digest_messages(
     merchants = top_merchants(anomalies, top, metric)
     ranked = top_channels(anomalies, merchants, channels, metric)
     # At most ``channels`` lines are left per merchant.
-    lines = ranked.groupBy("alias_name").agg(
-        F.sort_array(F.collect_list(F.struct("channel_rank", _channel_line(style).alias("line")))).alias("ranked")
-    )
-    blocks = merchants.join(lines, "alias_name").withColumn("lines", F.col("ranked.line"))
-    date_text = F.date_format(F.lit(clock.today), "d MMM yyyy")
-    block = _message(F.col("rank"), _block(date_text, metric, style))
-    header = _message(F.lit(0), _header(date_text, style))
-    messages = F.when(F.col("rank") == 1, F.array(header, block)).otherwise(F.array(block))
-    length = F.char_length("message")
-    return blocks.select(F.inline(messages)).select(
-        "position", "message", length.alias("length"), (length <= MESSAGE_LIMIT).alias("fits")
+    line = F.expr(f"struct(channel_rank, {_channel_line(style)} AS line)")
+    lines = ranked.groupBy("alias_name").agg(F.sort_array(F.collect_list(line)).alias("ranked"))
+    blocks = merchants.join(lines, "alias_name").selectExpr("*", "ranked.line AS lines")
+
+    date_text = f"{clock.today.day} {clock.today:%b %Y}"
+    header = f"struct(0 AS position, {_header(date_text, style)} AS message)"
+    block = f"struct(rank AS position, {_block(date_text, metric, style)} AS message)"
+    messages = blocks.selectExpr(f"inline(if(rank = 1, array({header}, {block}), array({block})))")
+    return messages.selectExpr(
+        "position",
+        "message",
+        "char_length(message) AS length",
+        f"char_length(message) <= {MESSAGE_LIMIT} AS fits",
     )
 
 
-def _message(position: Column, text: Column) -> Column:
-    return F.struct(position.alias("position"), text.alias("message"))
-
-
 def digest_document(messages: DataFrame, clock: Clock, style: DigestStyle | None = None) -> DataFrame:
     """One row {channel_id, messages, today}; no row when there are no messages.
 
@@ -178,10 +185,10 @@ def digest_document(messages: DataFrame, clock: Clock, style: DigestStyle | None
     ordered = F.sort_array(F.collect_list(F.struct("position", "message")))
     return (
         messages.agg(ordered.alias("ordered"))
-        .where(F.size("ordered") > 0)
-        .select(
-            F.lit(style.target).alias("channel_id"),
-            F.col("ordered.message").alias("messages"),
-            F.lit(clock.today.isoformat()).alias("today"),
+        .where("size(ordered) > 0")
+        .selectExpr(
+            f"{quoted(style.target)} AS channel_id",
+            "ordered.message AS messages",
+            f"'{clock.today}' AS today",
         )
     )

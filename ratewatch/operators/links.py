@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ratewatch.clock import Clock
-from ratewatch.functions.text import percent_encode, text_or_blank, yes_no
+from ratewatch.functions.text import blank_if_null, percent_encode, quoted, yes_no
 
 DEFAULT_BASE_URL = "https://dashboards.example.com/payments"
 
@@ -19,40 +18,41 @@ CHANNEL_FILTER = "&Processing%20Channel%20ID="
 LINK_LABEL = "🔍 View Channel Data "
 
 
-def drill_down_url(alias: Column, channel: Column, is_mit: Column, base_url: str) -> Column:
+def drill_down_url(alias: str, channel: str, is_mit: str, base_url: str) -> str:
     """Dashboard URL for one merchant, MIT flag and channel.
 
     The alias is wrapped in double quotes, so a comma in it is not read as two values.
     """
-    quoted = F.concat(F.lit('"'), text_or_blank(alias), F.lit('"'))
-    return F.concat(
-        F.lit(base_url + MIT_FILTER),
+    quoted_alias = f"concat('\"', {blank_if_null(alias)}, '\"')"
+    parts = [
+        quoted(base_url + MIT_FILTER),
         yes_no(is_mit),
-        F.lit(DATE_FILTER + OPEN_FILTERS + ALIAS_FILTER),
-        percent_encode(quoted),
-        F.lit(CHANNEL_FILTER),
-        percent_encode(text_or_blank(channel)),
-    )
+        quoted(DATE_FILTER + OPEN_FILTERS + ALIAS_FILTER),
+        percent_encode(quoted_alias),
+        quoted(CHANNEL_FILTER),
+        percent_encode(blank_if_null(channel)),
+    ]
+    return f"concat({', '.join(parts)})"
 
 
-def hyperlink_formula(url: Column, label: Column) -> Column:
+def hyperlink_formula(url: str, label: str) -> str:
     """Spreadsheet link; double quotes inside the label are doubled."""
-    escaped = F.replace(label, F.lit('"'), F.lit('""'))
-    return F.concat(F.lit('=HYPERLINK("'), url, F.lit('","'), escaped, F.lit('")'))
+    parts = [quoted('=HYPERLINK("'), url, quoted('","'), f"replace({label}, '\"', '\"\"')", quoted('")')]
+    return f"concat({', '.join(parts)})"
 
 
-def linked_url(formula: Column) -> Column:
+def linked_url(formula: str) -> str:
     """The URL inside a link formula; blank when there is none."""
-    return F.regexp_extract(formula, r'HYPERLINK\("([^"]+)"', 1)
+    pattern = quoted(r'HYPERLINK\("([^"]+)"')
+    return f"regexp_extract({formula}, {pattern}, 1)"
 
 
 def with_links(anomalies: DataFrame, clock: Clock, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
     """Adds ``Date_of_Detection`` and ``Link_to_Look``."""
-    url = drill_down_url(F.col("alias_name"), F.col("channel_id"), F.col("is_mit"), base_url)
-    label = F.concat(F.lit(LINK_LABEL), text_or_blank(F.col("alias_name")))
-    return anomalies.withColumns(
-        {
-            "Date_of_Detection": F.lit(clock.today.isoformat()),
-            "Link_to_Look": hyperlink_formula(url, label),
-        }
+    url = drill_down_url("alias_name", "channel_id", "is_mit", base_url)
+    label = f"concat({quoted(LINK_LABEL)}, {blank_if_null('alias_name')})"
+    return anomalies.selectExpr(
+        "*",
+        f"'{clock.today}' AS Date_of_Detection",
+        f"{hyperlink_formula(url, label)} AS Link_to_Look",
     )

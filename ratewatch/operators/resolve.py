@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup is broadcast only when a count proves it lies within both bounds.
@@ -92,22 +92,14 @@ def all_within(frames: list[DataFrame], max_rows: int, max_bytes: int) -> bool:
     """Whether every frame has at most ``max_rows`` rows and ``max_bytes`` of text."""
     measured = None
     for frame in frames:
+        widths = " + ".join(f"coalesce(octet_length(cast({name} AS string)), 0)" for name in frame.columns)
         size = frame.limit(max_rows + 1).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(_text_bytes(frame)), F.lit(0)).alias("bytes"),
+            F.expr("count(1) AS rows"), F.expr(f"coalesce(sum({widths}), 0) AS bytes")
         )
         measured = size if measured is None else measured.union(size)
     return all(row["rows"] <= max_rows and row["bytes"] <= max_bytes for row in measured.collect())
 
 
-def _text_bytes(frame: DataFrame) -> Column:
-    total = F.lit(0)
-    for column in frame.columns:
-        width = F.octet_length(F.col(column).cast("string"))
-        total = total + F.coalesce(width, F.lit(0))
-    return total
-
-
 def resolve_alias(
     payments: DataFrame, account_map: DataFrame, account_dim: DataFrame, alias_dim: DataFrame
 ) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
 from ratewatch.functions.stats import lost_amount, lost_units, share_pct, t_stat
@@ -17,43 +16,38 @@ def score_merchants(
     baselines: DataFrame, specs: Sequence[MetricSpec], min_std: float | None = None
 ) -> DataFrame:
     """Merchant t-statistic and whether it breaches, per metric."""
-    t = t_stat(F.col("t1"), F.col("mean"), F.col("std"), F.col("n"), min_std)
-    scored = baselines.withColumn("t_stat_alias_global", t)
-    breach = by_metric(specs, lambda spec: spec.breaches(F.col("t_stat_alias_global")))
-    return scored.select(
-        "Anomaly_Type", "alias_name", "is_mit", "t_stat_alias_global", "active_volume",
-        breach.alias("merchant_breach"),
+    t = t_stat("t1", "mean", "std", "n", min_std)
+    breach = by_metric(specs, lambda spec: spec.breaches("t_stat_alias_global"))
+    scored = baselines.selectExpr(
+        "Anomaly_Type", "alias_name", "is_mit", "active_volume", f"{t} AS t_stat_alias_global"
     )
+    return scored.selectExpr("*", f"{breach} AS merchant_breach")
 
 
 def score_channels(
     baselines: DataFrame, specs: Sequence[MetricSpec], min_std: float | None = None
 ) -> DataFrame:
     """Channel t-statistic, impact estimate and both gates, for channels active yesterday."""
-    t1, mean, volume = F.col("t1"), F.col("mean"), F.col("volume")
-    nothing = F.lit(None).cast("double")
 
-    def lost_volume(spec: MetricSpec):
-        return lost_units(mean, t1, volume) if spec.impact == "loss" else F.col("incidents").cast("double")
+    def of_loss(estimate: str, otherwise: str = "CAST(NULL AS double)") -> str:
+        return by_metric(specs, lambda spec: estimate if spec.impact == "loss" else otherwise)
 
-    def amount(spec: MetricSpec):
-        return lost_amount(mean, t1, volume, F.col("atv")) if spec.impact == "loss" else nothing
-
-    def average_ticket(spec: MetricSpec):
-        return F.col("atv") if spec.impact == "loss" else nothing
-
-    impact = baselines.where(t1.isNotNull()).select(
-        "Anomaly_Type", "alias_name", "channel_id", "is_mit", "volume",
-        t_stat(t1, mean, F.col("std"), F.col("n"), min_std).alias("t_stat_channel_specific"),
-        by_metric(specs, amount).alias("Total_Volume_Amount_Lost"),
-        by_metric(specs, lost_volume).alias("Lost_Volume"),
-        by_metric(specs, average_ticket).alias("ATV"),
-    )
-    breach = by_metric(specs, lambda spec: spec.breaches(F.col("t_stat_channel_specific")))
-    large = by_metric(
-        specs, lambda spec: spec.impact_is_large(F.col("Lost_Volume"), F.col("Total_Volume_Amount_Lost"))
+    amount = of_loss(lost_amount("mean", "t1", "volume", "atv"))
+    units = of_loss(lost_units("mean", "t1", "volume"), otherwise="CAST(incidents AS double)")
+    scored = baselines.where("t1 IS NOT NULL").selectExpr(
+        "Anomaly_Type",
+        "alias_name",
+        "channel_id",
+        "is_mit",
+        "volume",
+        f"{t_stat('t1', 'mean', 'std', 'n', min_std)} AS t_stat_channel_specific",
+        f"{amount} AS Total_Volume_Amount_Lost",
+        f"{units} AS Lost_Volume",
+        f"{of_loss('atv')} AS ATV",
     )
-    return impact.withColumns({"channel_breach": breach, "impact_is_large": large})
+    breach = by_metric(specs, lambda spec: spec.breaches("t_stat_channel_specific"))
+    large = by_metric(specs, lambda spec: spec.impact_is_large("Lost_Volume", "Total_Volume_Amount_Lost"))
+    return scored.selectExpr("*", f"{breach} AS channel_breach", f"{large} AS impact_is_large")
 
 
 def score(
@@ -69,5 +63,4 @@ def score(
     merchants = score_merchants(merchant_baseline(daily, specs, clock), specs, min_std)
     channels = score_channels(channel_baseline(daily, specs, clock), specs, min_std)
     joined = channels.join(merchants, ["Anomaly_Type", "alias_name", "is_mit"], "inner")
-    share = share_pct(F.col("volume"), F.col("active_volume"))
-    return joined.withColumn("channel_vol_share_pct", share).drop("active_volume")
+    return joined.selectExpr("*", f"{share_pct('volume', 'active_volume')} AS channel_vol_share_pct")

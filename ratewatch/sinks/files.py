@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
 from ratewatch.functions.text import plain_decimal
@@ -37,10 +36,10 @@ def read_table(spark: SparkSession, out_dir: str, clock: Clock | None = None) ->
 
 def csv_text(anomalies: DataFrame) -> DataFrame:
     """The columns as spreadsheet users expect them: True/False, no exponents in money and counts."""
-    texts = {"is_mit": F.initcap(F.col("is_mit").cast("string"))}
+    texts = {"is_mit": "initcap(cast(is_mit AS string))"}
     for column in ("Total_Volume_Amount_Lost", "Lost_Volume", "channel_vol_share_pct"):
-        texts[column] = plain_decimal(F.col(column))
-    return anomalies.withColumns(texts).select(*COLUMN_ORDER)
+        texts[column] = plain_decimal(column)
+    return anomalies.selectExpr(*[f"{texts.get(column, column)} AS {column}" for column in COLUMN_ORDER])
 
 
 def write_csv(anomalies: DataFrame, out_dir: str, clock: Clock) -> str:

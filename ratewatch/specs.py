@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from ratewatch.functions.stats import ratio
+from ratewatch.functions.text import quoted
 
 # Two-sided 99 % quantile of the standard normal distribution.
 CRITICAL_VALUE = 2.576
@@ -41,16 +41,16 @@ class MetricSpec:
         if not self.volume:
             object.__setattr__(self, "volume", self.denominator)
 
-    def rate(self, within: str = "") -> Column:
-        """numerator / denominator, NULL on a zero or NULL denominator."""
-        return F.try_divide(F.col(within + self.numerator), F.col(within + self.denominator))
+    def rate(self, within: str = "") -> str:
+        """The rate as SQL; ``within`` is a prefix for the columns, such as ``record.``."""
+        return ratio(within + self.numerator, within + self.denominator)
 
-    def breaches(self, t: Column) -> Column:
-        return t > self.critical if self.rises else t < -self.critical
+    def breaches(self, t: str) -> str:
+        return f"{t} > {self.critical!r}D" if self.rises else f"{t} < {-self.critical!r}D"
 
-    def impact_is_large(self, lost_volume: Column, lost_amount: Column) -> Column:
+    def impact_is_large(self, lost_volume: str, lost_amount: str) -> str:
         measured = lost_amount if self.impact == "loss" else lost_volume
-        return measured >= self.gate if self.gate_inclusive else measured > self.gate
+        return f"{measured} {'>=' if self.gate_inclusive else '>'} {self.gate!r}D"
 
 
 # Labels, gates and directions are part of the output contract.
@@ -95,10 +95,7 @@ DISPUTE = MetricSpec(
 DEFAULT_SPECS: tuple[MetricSpec, ...] = (ACCEPTANCE, FRAUD, DISPUTE)
 
 
-def by_metric(specs: Sequence[MetricSpec], value: Callable[[MetricSpec], Column]) -> Column:
+def by_metric(specs: Sequence[MetricSpec], value: Callable[[MetricSpec], str]) -> str:
     """``value(spec)`` for the spec named by each row's ``Anomaly_Type``."""
-    metric = F.col("Anomaly_Type")
-    chosen = F.when(metric == specs[0].label, value(specs[0]))
-    for spec in specs[1:]:
-        chosen = chosen.when(metric == spec.label, value(spec))
-    return chosen
+    cases = " ".join(f"WHEN {quoted(spec.label)} THEN {value(spec)}" for spec in specs)
+    return f"CASE Anomaly_Type {cases} END"
