@@ -118,7 +118,7 @@ channels AS (
          AVG(rate) AS mean, STDDEV_SAMP(rate) AS std, COUNT(DISTINCT requested_date) AS n,
          MAX(whole) FILTER (WHERE {day_before}) AS volume,
          MAX(part) FILTER (WHERE {day_before}) AS incidents,
-         MAX(daily_atv) FILTER (WHERE {day_before}) AS atv
+         CASE WHEN metric = 'AR Anomaly' THEN MAX(daily_atv) FILTER (WHERE {day_before}) END AS atv
   FROM measured GROUP BY 1, 2, 3, 4
 ),
 scored AS (

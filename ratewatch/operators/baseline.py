@@ -87,7 +87,8 @@ def merchant_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Cloc
 def channel_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Clock) -> DataFrame:
     """(metric, alias, channel, MIT flag): t1, mean, std, n, volume, incidents, atv.
 
-    ``incidents`` is yesterday's numerator, ``atv`` yesterday's average value.
+    ``incidents`` is yesterday's numerator; ``atv`` is yesterday's average value,
+    which only metrics with an estimated loss need.
     """
     ticket = average_value("captured_amount_sum", "captured_sum")
     wide = daily.groupBy(*CHANNEL_KEYS).agg(
@@ -104,7 +105,7 @@ def channel_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Clock
             "n": "n",
             "volume": spec.volume,
             "incidents": spec.numerator,
-            "atv": "atv",
+            "atv": "atv" if spec.impact == "loss" else "CAST(NULL AS double)",
         }
 
     return _unpivot(wide, CHANNEL_KEYS, specs, fields)

@@ -49,7 +49,7 @@ def _rows_of(anomalies: DataFrame, metric: str) -> DataFrame:
         f"{blank_if_null('overall_status')} AS overall_status",
         "coalesce(Total_Volume_Amount_Lost, 0D) AS lost_amount",
         "coalesce(Lost_Volume, 0D) AS lost_payments",
-        f"{linked_url('Link_to_Look')} AS url",
+        f"{blank_if_null(linked_url('Link_to_Look'))} AS url",
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup is broadcast only when a count proves it lies within both bounds.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 

@@ -1,0 +1,97 @@
+"""Hand-made inputs: every merchant acts out one case, all in one run."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+from ratewatch.sources import schemas
+from ratewatch.sources.tables import Tables
+
+AS_OF = datetime(2024, 1, 31)
+TRICKY_ALIAS = 'Shop "A", Inc.'
+
+
+def row(entity, days_ago, channel="pc", mit=False, requested=1000, accepted=900, captured=500,
+        amount=25_000.0, fraud=0, disputed=0, merchant=None, hour=12):
+    """One fact, ``days_ago`` calendar days before the as-of day."""
+    at = AS_OF - timedelta(days=days_ago) + timedelta(hours=hour)
+    return (at, entity, merchant, channel, mit, accepted, requested, amount, captured, fraud, disputed)
+
+
+def series(entity, accepted, **fields):
+    """Consecutive days ending yesterday, one accepted count each."""
+    return [row(entity, len(accepted) - i, accepted=value, **fields) for i, value in enumerate(accepted)]
+
+
+def fraud_series(entity, fraud):
+    return [
+        row(entity, len(fraud) - i, requested=100, accepted=100, fraud=value) for i, value in enumerate(fraud)
+    ]
+
+
+def dispute_series(entity, disputed):
+    return [
+        row(entity, len(disputed) - i, requested=100, accepted=100, disputed=value)
+        for i, value in enumerate(disputed)
+    ]
+
+
+DROP = [900, 900, 900, 500]
+
+
+def payments():
+    rows = []
+    rows += series("Drop", DROP)
+    rows += series("Short", [900, 900, 500])
+    rows += series("Flat", [900] * 6)
+    rows += series("Single", [500])
+    rows += [row("Uncaptured", 4 - i, accepted=a, captured=500 if i < 3 else 0) for i, a in enumerate(DROP)]
+    rows += series("Twins", DROP, channel="pc_a") + series("Twins", DROP, channel="pc_b")
+    rows += series("ZeroDay", DROP) + [row("ZeroDay", 5, requested=0, accepted=0, captured=0, amount=0.0)]
+    rows += fraud_series("Fraud5", [0, 0, 0, 5]) + fraud_series("Fraud4", [0, 0, 0, 4])
+    rows += dispute_series("Dispute3", [0, 0, 0, 3]) + dispute_series("Dispute2", [0, 0, 0, 2])
+    rows += series("Idle", DROP) + [row("Idle", d, channel="pc_idle") for d in (2, 3, 4)]
+    rows += series("Unmapped", DROP)
+    rows += series("Unlisted", DROP)
+    rows += series("NullMit", DROP, mit=None)
+    rows += series("NullChannel", DROP, channel=None)
+    rows += series("Doubled", DROP)
+    rows += series("Tricky", DROP)
+    rows += series("Today", DROP) + [row("Today", 0, accepted=900, hour=0)]
+    for i in range(7):
+        rows += series("Seven", DROP, channel=f"pc_{i}", amount=25_000.0 + 1000 * i)
+    rows += series(None, DROP, merchant="42")
+    # Mapped by both keys: the entity's account wins.
+    rows += series("Drop2", DROP, merchant="43")
+    rows += series("Mixed", DROP, mit=True) + series("Mixed", [900] * 4, mit=False)
+    # Unknown counts: NULL fraud and dispute sums are zero, NULL accepted is no rate.
+    rows += [row("NullCounts", d, accepted=None, fraud=None, disputed=None) for d in (1, 2, 3)]
+    # Older than the lookback by an hour; would change the mean.
+    rows += series("Edge", DROP) + [row("Edge", 30, accepted=0, hour=-1), row("Edge", 30, hour=0)]
+    return rows
+
+
+def aliases():
+    names = sorted({r[1] for r in payments() if r[1]} - {"Unmapped"})
+    named = {name: TRICKY_ALIAS if name == "Tricky" else name for name in names}
+    return named | {"Fallback": "Fallback"}
+
+
+def tables(spark, rows=None) -> Tables:
+    named = aliases()
+    account_map = [(entity, None, f"acc-{entity}") for entity in named if entity != "Fallback"]
+    account_map += [("Doubled", None, "acc-Doubled"), (None, 42, "acc-Fallback"), (None, 43, "acc-Flat")]
+    managers = {alias: (f"m-{i}", f"Manager of {alias}") for i, alias in enumerate(sorted(named.values()))}
+    frame = spark.createDataFrame
+    return Tables(
+        payments=frame(payments() if rows is None else rows, schemas.PAYMENTS),
+        account_map=frame(account_map, schemas.ACCOUNT_MAP),
+        account_dim=frame([(f"acc-{e}", a) for e, a in named.items()], schemas.ACCOUNT_DIM),
+        alias_dim=frame(
+            [(alias, *manager) for alias, manager in managers.items() if alias != "Unlisted"], schemas.ALIAS_DIM
+        ),
+        employee_dim=frame(
+            [(manager, f"{manager}@example.com") for manager, _ in managers.values() if manager != "m-0"],
+            schemas.EMPLOYEE_DIM,
+        ),
+    )

@@ -1,0 +1,170 @@
+"""The whole detection against a plain-Python computation over random rows.
+
+The rows are full of NULLs, zero denominators, missing days, duplicate and
+missing lookup keys, one merchant that owns a third of them, and both ways a
+fact can be resolved.
+"""
+
+from __future__ import annotations
+
+import math
+import random
+import statistics
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+
+from ratewatch import DEFAULT_SPECS, Clock
+from ratewatch.operators.classify import classify
+from ratewatch.operators.daily import daily_performance
+from ratewatch.operators.resolve import Lookups
+from ratewatch.operators.score import score
+from ratewatch.sources import schemas
+
+CLOCK = Clock.at("2024-01-31T09:30:00")
+METRICS = {"AR Anomaly": (0, 1), "Fraud Anomaly": (4, 0), "Dispute Anomaly": (5, 0)}
+
+
+def make_inputs(seed):
+    rng = random.Random(seed)
+    entities = [f"e{i}" for i in range(12)]
+    payments = []
+    for _ in range(3000):
+        entity = "e0" if rng.random() < 1 / 3 else rng.choice([*entities, None, "stranger"])
+        at = CLOCK.as_of - timedelta(minutes=rng.randrange(-600, 33 * 1440))
+        requested = rng.choice([0, 1, 5, 20, 20, 40])
+        accepted = None if rng.random() < 0.02 else rng.randint(requested // 2, requested)
+        captured = rng.choice([None, 0, accepted, accepted])
+        amount = None if rng.random() < 0.05 else float(rng.randint(0, 4000))
+        payments.append((
+            at, entity, str(rng.randrange(8)) if rng.random() < 0.7 else None,
+            rng.choice(["pc_0", "pc_0", "pc_1", None]), rng.choice([True, False, False, None]),
+            accepted, requested, amount, captured,
+            rng.choice([None, 0, 0, 1, 4]), rng.choice([None, 0, 0, 0, 2]),
+        ))
+    account_map = [(e, None, f"a{i % 7}") for i, e in enumerate(entities)]
+    account_map += [(None, m, f"a{m + 3}") for m in range(6)] + [("e3", None, "a1"), ("e5", 2, None)]
+    account_dim = [(f"a{i}", f"alias{i % 5}") for i in range(9)] + [("a2", "alias0")]
+    alias_dim = [(f"alias{i}", None, None) for i in range(4)]
+    return payments, account_map, account_dim, alias_dim
+
+
+def expected(payments, account_map, account_dim, alias_dim):
+    by_entity, by_merchant, accounts = defaultdict(list), defaultdict(list), defaultdict(list)
+    for entity, merchant, account in account_map:
+        if entity is not None:
+            by_entity[entity].append(account)
+        if merchant is not None:
+            by_merchant[str(merchant)].append(account)
+    for account, alias in account_dim:
+        accounts[account].append(alias)
+    listed = {a[0] for a in alias_dim}
+
+    days = defaultdict(lambda: [[] for _ in range(6)])
+    for at, entity, merchant, channel, mit, *measures in payments:
+        if at < CLOCK.as_of - timedelta(days=30):
+            continue
+        for first in by_entity.get(entity, [None]):
+            for second in by_merchant.get(merchant, [None]):
+                for alias in accounts.get(first if first is not None else second, [None]):
+                    if alias in listed and mit is not None:
+                        for total, value in zip(days[alias, channel, mit, at.date()], measures, strict=True):
+                            total.append(value)
+
+    def add(values):
+        known = [v for v in values if v is not None]
+        return sum(known) if known else None
+
+    # accepted, requested, amount, captured, fraud, disputed; the last two and the amount default to 0
+    sums = {key: [add(v) for v in cell] for key, cell in days.items()}
+    for cell in sums.values():
+        for index in (2, 4, 5):
+            cell[index] = cell[index] or 0
+
+    def rate(part, whole):
+        return None if part is None or not whole else part / whole
+
+    def base(series):
+        known = [r for r in series.values() if r is not None]
+        mean = sum(known) / len(known) if known else None
+        std = statistics.stdev(known) if len(known) > 1 else None
+        t1 = series.get(CLOCK.yesterday)
+        t = None
+        if t1 is not None and std:
+            t = (t1 - mean) / (std / math.sqrt(len(series)))
+        return t1, mean, t
+
+    result = {}
+    for metric, (part, whole) in METRICS.items():
+        channels, merchant_cells = defaultdict(dict), defaultdict(lambda: defaultdict(list))
+        for (alias, channel, mit, day), cell in sums.items():
+            channels[alias, channel, mit][day] = rate(cell[part], cell[whole])
+            merchant_cells[alias, mit][day].append(cell)
+        merchants = {
+            key: {d: rate(add([c[part] for c in cells]), add([c[whole] for c in cells])) for d, cells in by_day.items()}
+            for key, by_day in merchant_cells.items()
+        }
+        for (alias, channel, mit), series in channels.items():
+            t1, mean, t = base(series)
+            if t1 is None:
+                continue
+            cell = sums[alias, channel, mit, CLOCK.yesterday]
+            active = sum(
+                sums[a, c, m, CLOCK.yesterday][whole]
+                for (a, c, m), s in channels.items()
+                if (a, m) == (alias, mit) and s.get(CLOCK.yesterday) is not None
+            )
+            atv = rate(cell[2], cell[3])
+            lost = max(0.0, mean - t1) * cell[whole]
+            result[metric, alias, channel, mit] = (
+                base(merchants[alias, mit])[2],
+                t,
+                100 * cell[whole] / active,
+                lost if part == 0 else float(cell[part]),
+                lost * atv if part == 0 and atv is not None else None,
+                atv if part == 0 else None,
+            )
+    return result
+
+
+@pytest.mark.parametrize(("seed", "max_rows"), [(1, 10_000), (2, 0)])
+def test_scores_match_brute_force(spark, seed, max_rows):
+    payments, account_map, account_dim, alias_dim = make_inputs(seed)
+    frame = spark.createDataFrame
+    lookups = Lookups.prepare(
+        frame(account_map, schemas.ACCOUNT_MAP),
+        frame(account_dim, schemas.ACCOUNT_DIM),
+        frame(alias_dim, schemas.ALIAS_DIM),
+        max_rows=max_rows,
+    )
+    assert lookups.small == (max_rows > 0)
+    daily = daily_performance(frame(payments, schemas.PAYMENTS), lookups, CLOCK)
+    scored = score(daily, DEFAULT_SPECS, CLOCK)
+    rows = classify(scored, DEFAULT_SPECS, keep_all=True).collect()
+    got = {(r.Anomaly_Type, r.alias_name, r.channel_id, r.is_mit): r for r in rows}
+    wanted = expected(payments, account_map, account_dim, alias_dim)
+    assert got.keys() == wanted.keys() and len(rows) == len(wanted) > 30
+    tolerances = (1e-9, 1e-9, 0.00501, 0.501, 0.00501, 1e-9)
+    for key, values in wanted.items():
+        r = got[key]
+        actual = (
+            r.t_stat_alias_global, r.t_stat_channel_specific, r.channel_vol_share_pct,
+            r.Lost_Volume, r.Total_Volume_Amount_Lost, r.ATV,
+        )
+        for one, other, tolerance in zip(actual, values, tolerances, strict=True):
+            assert one == (None if other is None else pytest.approx(other, rel=1e-9, abs=tolerance)), key
+
+    # Properties: shares add up, and what survives the gates satisfies them.
+    shares = defaultdict(float)
+    for (metric, alias, _, mit), r in got.items():
+        shares[metric, alias, mit] += r.channel_vol_share_pct
+    assert all(total == pytest.approx(100, abs=0.05) for total in shares.values())
+    for r in classify(scored, DEFAULT_SPECS).collect():
+        sign = -1 if r.Anomaly_Type == "AR Anomaly" else 1
+        assert sign * r.t_stat_alias_global > 2.576 and sign * r.t_stat_channel_specific > 2.576
+        assert r.overall_status.startswith("P1: Critical")
+
+
+def test_datetime_inputs_are_naive_utc():
+    assert CLOCK.as_of == datetime(2024, 1, 31, 9, 30)

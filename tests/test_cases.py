@@ -1,0 +1,196 @@
+"""Worked-out cases: see ``shop`` for the series behind each merchant."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+import shop
+
+from ratewatch import DEFAULT_SPECS, Clock, detect
+from ratewatch.operators.classify import classify
+from ratewatch.operators.daily import daily_performance
+from ratewatch.operators.resolve import Lookups
+from ratewatch.operators.score import score
+from ratewatch.plans.detect import daily, detect_in
+from ratewatch.sources import schemas
+
+CLOCK = Clock.at(shop.AS_OF)
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return shop.tables(spark)
+
+
+@pytest.fixture(scope="module")
+def all_rows(tables):
+    scored = score(daily(tables, CLOCK), DEFAULT_SPECS, CLOCK)
+    rows = classify(scored, DEFAULT_SPECS, keep_all=True).collect()
+    return {(r.Anomaly_Type.split()[0], r.alias_name, r.channel_id, r.is_mit): r for r in rows}
+
+
+@pytest.fixture(scope="module")
+def flagged(tables):
+    return detect(tables, shop.AS_OF).collect()
+
+
+def test_exactly_the_expected_rows_are_flagged(flagged):
+    ar = {(r.alias_name, r.channel_id, r.is_mit) for r in flagged if r.Anomaly_Type == "AR Anomaly"}
+    expected = {
+        (alias, "pc", False)
+        for alias in ("Drop", "Drop2", "ZeroDay", "Idle", "Doubled", "Today", "Edge", "Fallback", shop.TRICKY_ALIAS)
+    }
+    expected |= {("Twins", "pc_a", False), ("Twins", "pc_b", False), ("NullChannel", None, False)}
+    expected |= {("Seven", f"pc_{i}", False) for i in range(7)} | {("Mixed", "pc", True)}
+    assert ar == expected
+    assert {r.alias_name for r in flagged if r.Anomaly_Type == "Fraud Anomaly"} == {"Fraud5"}
+    assert {r.alias_name for r in flagged if r.Anomaly_Type == "Dispute Anomaly"} == {"Dispute3"}
+
+
+def test_drop_is_scored_and_valued(all_rows):
+    r = all_rows["AR", "Drop", "pc", False]
+    assert r.t_stat_alias_global == pytest.approx(-3, abs=1e-9)
+    assert r.t_stat_channel_specific == pytest.approx(-3, abs=1e-9)
+    assert (r.channel_vol_share_pct, r.Lost_Volume, r.ATV) == (100.0, 300.0, 50.0)
+    assert r.Total_Volume_Amount_Lost == 15_000.0
+    assert r.overall_status == "P1: Critical - Primary Channel Outage"
+
+
+def test_a_lone_deviation_among_three_days_cannot_breach(all_rows):
+    r = all_rows["AR", "Short", "pc", False]
+    assert r.t_stat_alias_global == pytest.approx(-2, abs=1e-9)
+    assert r.overall_status == "Alert: Significant Degradation"
+
+
+def test_no_spread_gives_no_statistic(all_rows):
+    assert all_rows["AR", "Flat", "pc", False].t_stat_alias_global is None
+    assert all_rows["AR", "Single", "pc", False].t_stat_alias_global is None
+
+
+def test_nothing_captured_gives_no_amount(all_rows):
+    r = all_rows["AR", "Uncaptured", "pc", False]
+    assert (r.Lost_Volume, r.ATV, r.Total_Volume_Amount_Lost) == (300.0, None, None)
+
+
+def test_even_channels_are_a_merchant_wide_outage(flagged):
+    twins = [r for r in flagged if r.alias_name == "Twins"]
+    assert [r.channel_vol_share_pct for r in twins] == [50.0, 50.0]
+    assert {r.overall_status for r in twins} == {"P1: Critical - Global Merchant Outage"}
+
+
+def test_days_without_a_rate_count_as_days(all_rows):
+    r = all_rows["AR", "ZeroDay", "pc", False]
+    assert r.t_stat_alias_global == pytest.approx(-0.3 / (0.2 / math.sqrt(5)), abs=1e-9)
+
+
+def test_incident_counts_gate_spikes(all_rows):
+    for alias, metric in (("Fraud4", "Fraud"), ("Dispute2", "Dispute"), ("Fraud5", "Fraud"), ("Dispute3", "Dispute")):
+        r = all_rows[metric, alias, "pc", False]
+        assert r.t_stat_alias_global == pytest.approx(3, abs=1e-9)
+        assert r.overall_status == "P1: Critical - Primary Channel Spike"
+        assert r.Lost_Volume == float(alias[-1])
+        assert r.Total_Volume_Amount_Lost is None and r.ATV is None
+
+
+def test_idle_channels_are_neither_reported_nor_in_the_share(all_rows):
+    assert ("AR", "Idle", "pc_idle", False) not in all_rows
+    assert all_rows["AR", "Idle", "pc", False].channel_vol_share_pct == 100.0
+
+
+def test_unresolved_merchants_and_unknown_flags_vanish(all_rows):
+    aliases = {key[1] for key in all_rows}
+    assert aliases.isdisjoint({"Unmapped", "Unlisted", "NullMit", None})
+    assert all(key[3] is not None for key in all_rows)
+
+
+def test_null_counts(all_rows):
+    assert ("AR", "NullCounts", "pc", False) not in all_rows
+    assert ("Fraud", "NullCounts", "pc", False) not in all_rows
+
+
+def test_duplicate_map_keys_multiply_sums_but_not_rates(all_rows, tables):
+    r = all_rows["AR", "Doubled", "pc", False]
+    assert r.t_stat_alias_global == pytest.approx(-3, abs=1e-9)
+    assert r.Lost_Volume == 600.0
+    with pytest.raises(ValueError, match="account_map has duplicate keys"):
+        tables.assert_unique_lookups()
+
+
+def test_rows_of_today_join_the_baseline(all_rows):
+    assert all_rows["AR", "Today", "pc", False].t_stat_alias_global == pytest.approx(-4, abs=1e-9)
+
+
+def test_upto_cuts_rows_of_today(tables):
+    rolled = daily(tables, CLOCK, upto=shop.AS_OF)
+    scored = score(rolled, DEFAULT_SPECS, CLOCK).where("alias_name = 'Today' AND Anomaly_Type = 'AR Anomaly'")
+    assert scored.first().t_stat_alias_global == pytest.approx(-3, abs=1e-9)
+
+
+def test_the_lookback_is_cut_by_instant_not_by_day(all_rows, tables):
+    # Four plain days and the one at the exact bound; the hour before it is out.
+    assert all_rows["AR", "Edge", "pc", False].t_stat_alias_global == pytest.approx(-4, abs=1e-9)
+    later = Clock.at("2024-01-31T00:00:01")
+    scored = score(daily(tables, later), DEFAULT_SPECS, later)
+    edge = scored.where("alias_name = 'Edge' AND Anomaly_Type = 'AR Anomaly'").first()
+    assert edge.t_stat_alias_global == pytest.approx(-3, abs=1e-9)
+
+
+def test_resolution_prefers_the_entity(flagged):
+    assert "Drop2" in {r.alias_name for r in flagged}
+    assert "Fallback" in {r.alias_name for r in flagged}
+
+
+def test_links_and_managers(flagged):
+    by_alias = {r.alias_name: r for r in flagged}
+    link = by_alias[shop.TRICKY_ALIAS].Link_to_Look
+    assert "&Alias=%22Shop%20%22A%22%2C%20Inc.%22&" in link
+    assert link.endswith('View Channel Data Shop ""A"", Inc.")')
+    assert "(Yes%20%2F%20No)=No&Requested%20Date=15%20days&" in link
+    assert by_alias["NullChannel"].Link_to_Look.split('","')[0].endswith("&Processing%20Channel%20ID=")
+    assert "(Yes%20%2F%20No)=Yes&" in by_alias["Mixed"].Link_to_Look
+    assert by_alias["Drop"].Account_Manager_Name == "Manager of Drop"
+    assert by_alias["Drop"].Account_Manager_Email.endswith("@example.com")
+    assert {r.Date_of_Detection for r in flagged} == {"2024-01-31"}
+
+
+def test_report_order(flagged):
+    keys = [
+        (r.Anomaly_Type, r.is_mit, -(r.Total_Volume_Amount_Lost or 0), r.alias_name, r.channel_id or "")
+        for r in flagged
+    ]
+    assert keys == sorted(keys)
+
+
+def test_columns_and_types(tables):
+    result = detect(tables, shop.AS_OF)
+    assert [(f.name, f.dataType) for f in result.schema] == [(f.name, f.dataType) for f in schemas.ANOMALIES]
+
+
+def test_missing_columns_fail_early(tables):
+    with pytest.raises(ValueError, match="payments lacks columns"):
+        type(tables)(
+            tables.payments.drop("disputed_payments"),
+            tables.account_map, tables.account_dim, tables.alias_dim, tables.employee_dim,
+        )
+
+
+def test_result_does_not_depend_on_the_session_time_zone(spark, tables, flagged):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        elsewhere = detect(tables, shop.AS_OF).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert _comparable(elsewhere) == _comparable(flagged)
+
+
+def test_shuffle_joins_give_the_same_rows(tables, flagged):
+    lookups = Lookups.prepare(tables.account_map, tables.account_dim, tables.alias_dim, max_rows=0)
+    assert not lookups.small
+    rolled = daily_performance(tables.payments, lookups, CLOCK)
+    assert _comparable(detect_in(rolled, tables, CLOCK).collect()) == _comparable(flagged)
+
+
+def _comparable(rows):
+    texts = [tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in rows]
+    return sorted(texts, key=repr)
