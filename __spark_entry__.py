@@ -133,7 +133,7 @@ def _alias_daily(spec: MetricSpec) -> Query:
 def _alias_baseline(spec: MetricSpec) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = baseline.merchant_baseline(_daily(spark, sf_dir), [spec], _CLOCK)
-        return _rounded(base, ("t1", "mean", "std")).drop("Anomaly_Type", "active_volume")
+        return _rounded(base, ("t1", "mean", "std")).drop("Anomaly_Type", "active_volume", "atv")
 
     return query
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
@@ -19,27 +19,40 @@ from ratewatch.operators.daily import CHANNEL_KEYS, MERCHANT_KEYS, SUMS, merchan
 from ratewatch.specs import MetricSpec
 
 
-def _statistics(specs: Sequence[MetricSpec]) -> list[Column]:
-    # The date is unique within a group, so a plain count is the distinct count.
-    # Days without a rate count as days, but do not enter mean and spread.
-    statistics = ["count(requested_date) AS n"]
-    for spec in specs:
-        statistics.append(f"avg({spec.rate()}) AS {spec.key}_mean")
-        statistics.append(f"stddev_samp({spec.rate()}) AS {spec.key}_std")
-    return [F.expr(statistic) for statistic in statistics]
-
-
 def _sums_in_use(specs: Sequence[MetricSpec]) -> list[str]:
-    """Daily sums that the channel branch reads for these metrics."""
     used = {name for spec in specs for name in (spec.numerator, spec.denominator, spec.volume)}
-    if any(spec.impact == "loss" for spec in specs):
-        used |= {"captured_amount_sum", "captured_sum"}
     return [name for name in SUMS if name in used]
 
 
-def _on_day(clock: Clock, value: str, name: str) -> Column:
-    """Yesterday's ``value``, picked within a group of days."""
-    return F.expr(f"max(CASE WHEN requested_date = DATE'{clock.yesterday}' THEN {value} END) AS {name}")
+def _baseline(
+    days: DataFrame, keys: Sequence[str], specs: Sequence[MetricSpec], clock: Clock, picked: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key: day count, mean and spread of each rate, and yesterday's values.
+
+    The date is unique within a group, so a plain count is the distinct count.
+    Days without a rate count as days, but do not enter mean and spread.
+    Yesterday's sums, ``picked`` columns and average value keep their names.
+    """
+    on_yesterday = {name: name for name in (*_sums_in_use(specs), *picked)}
+    on_yesterday["atv"] = average_value("captured_amount_sum", "captured_sum")
+    aggregates = ["count(requested_date) AS n"]
+    for name, value in on_yesterday.items():
+        aggregates.append(f"max(CASE WHEN requested_date = DATE'{clock.yesterday}' THEN {value} END) AS {name}")
+    for spec in specs:
+        aggregates.append(f"avg({spec.rate()}) AS {spec.key}_mean")
+        aggregates.append(f"stddev_samp({spec.rate()}) AS {spec.key}_std")
+    return days.groupBy(*keys).agg(*map(F.expr, aggregates))
+
+
+def _fields(spec: MetricSpec) -> dict[str, str]:
+    return {
+        "t1": spec.rate(),
+        "mean": f"{spec.key}_mean",
+        "std": f"{spec.key}_std",
+        "n": "n",
+        # Only an estimated loss needs the average value.
+        "atv": "atv" if spec.impact == "loss" else "CAST(NULL AS double)",
+    }
 
 
 def _unpivot(
@@ -58,54 +71,29 @@ def _unpivot(
 
 
 def merchant_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Clock) -> DataFrame:
-    """(metric, alias, MIT flag): t1, mean, std, n, active_volume.
+    """(metric, alias, MIT flag): t1, mean, std, n, atv, active_volume.
 
-    Yesterday is picked as one whole record. Besides being one aggregate
-    instead of many, it keeps in use every daily sum that the channel branch
-    reads, so both branches need the same daily roll-up and the planner computes
-    it, and reads the facts, once for both.
+    Carrying ``atv`` here too makes this branch need the same daily sums as the
+    channel branch, so the planner computes the daily roll-up, and reads the
+    facts, once for both.
     """
-    record = [*_sums_in_use(specs), *[f"{spec.key}_active_volume" for spec in specs]]
-    wide = (
-        merchant_daily(daily, specs)
-        .groupBy(*MERCHANT_KEYS)
-        .agg(_on_day(clock, f"struct({', '.join(record)})", "yesterday"), *_statistics(specs))
+    days = merchant_daily(daily, specs)
+    active = [f"{spec.key}_active_volume" for spec in specs]
+    wide = _baseline(days, MERCHANT_KEYS, specs, clock, picked=active)
+    return _unpivot(
+        wide, MERCHANT_KEYS, specs, lambda spec: {**_fields(spec), "active_volume": f"{spec.key}_active_volume"}
     )
 
-    def fields(spec: MetricSpec) -> dict[str, str]:
-        return {
-            "t1": spec.rate("yesterday."),
-            "mean": f"{spec.key}_mean",
-            "std": f"{spec.key}_std",
-            "n": "n",
-            "active_volume": f"yesterday.{spec.key}_active_volume",
-        }
-
-    return _unpivot(wide, MERCHANT_KEYS, specs, fields)
-
 
 def channel_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Clock) -> DataFrame:
-    """(metric, alias, channel, MIT flag): t1, mean, std, n, volume, incidents, atv.
+    """(metric, alias, channel, MIT flag): t1, mean, std, n, atv, volume, incidents.
 
-    ``incidents`` is yesterday's numerator; ``atv`` is yesterday's average value,
-    which only metrics with an estimated loss need.
+    ``volume`` and ``incidents`` (the numerator) are yesterday's sums.
     """
-    ticket = average_value("captured_amount_sum", "captured_sum")
-    wide = daily.groupBy(*CHANNEL_KEYS).agg(
-        *[_on_day(clock, name, name) for name in _sums_in_use(specs)],
-        _on_day(clock, ticket, "atv"),
-        *_statistics(specs),
+    wide = _baseline(daily, CHANNEL_KEYS, specs, clock)
+    return _unpivot(
+        wide,
+        CHANNEL_KEYS,
+        specs,
+        lambda spec: {**_fields(spec), "volume": spec.volume, "incidents": spec.numerator},
     )
-
-    def fields(spec: MetricSpec) -> dict[str, str]:
-        return {
-            "t1": spec.rate(),
-            "mean": f"{spec.key}_mean",
-            "std": f"{spec.key}_std",
-            "n": "n",
-            "volume": spec.volume,
-            "incidents": spec.numerator,
-            "atv": "atv" if spec.impact == "loss" else "CAST(NULL AS double)",
-        }
-
-    return _unpivot(wide, CHANNEL_KEYS, specs, fields)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock, utc_date, utc_instant
 from ratewatch.functions.stats import average_value
-from ratewatch.operators.resolve import Lookups
+from ratewatch.operators.resolve import ID_KEYS, Lookups, join_resolved_pairs
 from ratewatch.specs import MetricSpec
 
 LOOKBACK_DAYS = 30
@@ -28,7 +28,6 @@ SUMS = tuple(MEASURES.values())
 # A day without any of these is a zero, not an unknown: it stays in the baseline.
 ZERO_WHEN_ABSENT = ("captured_amount_sum", "fraud_reported_sum", "disputed_sum")
 
-_FACT_KEYS = ("requested_date", "entity_id", "merchant_account_id", "channel_id", "is_mit")
 CHANNEL_KEYS = ("alias_name", "channel_id", "is_mit")
 MERCHANT_KEYS = ("alias_name", "is_mit")
 
@@ -74,15 +73,18 @@ def daily_performance(
 
     Small lookups are broadcast, so the facts are shuffled once, after partial
     aggregation. Larger lookups need shuffle joins on ids that may be badly
-    skewed; then the facts are first summed per id and day, so that the joins
-    move that roll-up and never the raw rows. Sums are linear, so both ways give
+    skewed. Then only the distinct id pairs go through them, and the facts,
+    summed per pair and day, meet the resolved pairs in a single join. Sums are
+    linear and a row's resolution depends on its pair alone, so both ways give
     the same result, also where duplicate lookup keys multiply rows.
     """
     facts = lookback(payments, clock, lookback_days, upto, day_column)
-    if not lookups.small:
-        sums = [F.sum(measure).alias(measure) for measure in MEASURES]
-        facts = facts.groupBy(*_FACT_KEYS).agg(*sums)
-    return roll_up_days(lookups.resolve(facts))
+    if lookups.small:
+        return roll_up_days(lookups.resolve(facts))
+    pairs = lookups.resolve(facts.select(*ID_KEYS).distinct())
+    sums = [F.sum(measure).alias(measure) for measure in MEASURES]
+    summed = facts.groupBy("requested_date", *ID_KEYS, "channel_id", "is_mit").agg(*sums)
+    return roll_up_days(join_resolved_pairs(summed, pairs))
 
 
 def roll_up_days(resolved: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# The fact ids that decide a row's resolution.
+ID_KEYS = ("entity_id", "merchant_account_id")
+
 
 def join_entity(facts: DataFrame, account_map: DataFrame) -> DataFrame:
     """Adds ``entity_account_id``: the account mapped to the fact's entity, or NULL."""
@@ -100,6 +103,13 @@ def all_within(frames: list[DataFrame], max_rows: int, max_bytes: int) -> bool:
     return all(row["rows"] <= max_rows and row["bytes"] <= max_bytes for row in measured.collect())
 
 
+def join_resolved_pairs(facts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Adds ``alias_name`` from resolved id pairs; an absent id matches an absent id."""
+    known = pairs.select(*[F.col(key).alias(f"pair_{key}") for key in ID_KEYS], "alias_name")
+    same = [F.col(key).eqNullSafe(F.col(f"pair_{key}")) for key in ID_KEYS]
+    return facts.join(known, same, "inner").drop(*[f"pair_{key}" for key in ID_KEYS])
+
+
 def resolve_alias(
     payments: DataFrame, account_map: DataFrame, account_dim: DataFrame, alias_dim: DataFrame
 ) -> DataFrame:

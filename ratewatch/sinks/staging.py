@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all nodes share, from ``spark.checkpoint.dir``.
+    """The folder all nodes share: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only a local session may fall back to a folder of its own.
+    Only a local session without either gets a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
-    fallback = tempfile.mkdtemp(prefix="ratewatch-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ratewatch-"))
+    return context.getCheckpointDir()
 
 
 def stage(frame: DataFrame, label: str) -> DataFrame:

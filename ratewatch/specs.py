@@ -41,9 +41,8 @@ class MetricSpec:
         if not self.volume:
             object.__setattr__(self, "volume", self.denominator)
 
-    def rate(self, within: str = "") -> str:
-        """The rate as SQL; ``within`` is a prefix for the columns, such as ``record.``."""
-        return ratio(within + self.numerator, within + self.denominator)
+    def rate(self) -> str:
+        return ratio(self.numerator, self.denominator)
 
     def breaches(self, t: str) -> str:
         return f"{t} > {self.critical!r}D" if self.rises else f"{t} < {-self.critical!r}D"

@@ -38,6 +38,7 @@ def test_facts_are_scanned_once(spark, specs):
     scans = fact_scans(plan)
     assert len(scans) == 1
     assert "ReusedExchange" in plan
+    assert "SortAggregate" not in plan
     assert "GreaterThanOrEqual(ts" in scans[0]
     assert "event_id" not in scans[0]
     assert "Window" not in plan
@@ -59,8 +60,11 @@ def test_large_lookups_meet_pre_aggregated_facts(spark):
     lookups = Lookups.prepare(tables.account_map, tables.account_dim, tables.alias_dim, max_rows=1)
     assert not lookups.small
     plan = executed(detect_in(daily_performance(tables.payments, lookups, CLOCK), tables, CLOCK))
-    assert len(fact_scans(plan)) == 1
-    # The aggregate on the facts' own ids sits between the scan and the first join.
+    # One scan for the sums, one of the ids alone for the distinct pairs.
+    schemas_read = sorted(re.search(r"ReadSchema: (\S+)", scan).group(1) for scan in fact_scans(plan))
+    assert schemas_read[1] == "struct<ts:timestamp_ntz,user_id:bigint>"
+    assert len(schemas_read) == 2
+    # The facts are aggregated on their own ids before they meet any lookup.
     assert re.search(r"HashAggregate\(keys=\[requested_date\S*, entity_id", plan)
 
 

@@ -179,3 +179,28 @@ def test_staging_uses_the_configured_folder(spark, anomalies):
     assert sorted(staged.collect(), key=repr) == sorted(anomalies.collect(), key=repr)
     assert all(path.startswith(f"file://{shared_dir(spark)}/ratewatch/probe-") for path in staged.inputFiles())
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class _Session:
+    """Stands in for a session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master, folder=None):
+        self.conf, self.sparkContext, self.master, self.folder = self, self, master, folder
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_local_sessions_get_a_folder_of_their_own():
+    local = _Session("local[2]")
+    assert shared_dir(local) == local.folder != ""
+    assert shared_dir(local) == local.folder
+    assert shared_dir(_Session("yarn", "hdfs:///ck/1")) == "hdfs:///ck/1"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("yarn"))
