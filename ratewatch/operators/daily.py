@@ -57,7 +57,13 @@ def lookback(
         "merchant_account_id",
         F.col("processing_channel_id").alias("channel_id"),
         F.col("is_merchant_initiated").alias("is_mit"),
-        *MEASURES,
+        "accepted_payments",
+        "requested_payments",
+        # Money may be stored as a decimal; rates and impacts are doubles.
+        F.col("captured_amount_usd").cast("double").alias("captured_amount_usd"),
+        "captured_payments",
+        "fraud_reported_payments",
+        "disputed_payments",
     )
 
 

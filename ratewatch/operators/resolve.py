@@ -76,7 +76,7 @@ class Lookups:
         max_rows: int = BROADCAST_ROWS,
         max_bytes: int = BROADCAST_BYTES,
     ) -> Lookups:
-        """Measure the lookups with one small job that stops at the bound."""
+        """Count the lookups' rows and bytes in one aggregation, and hint a broadcast if both fit."""
         keys = account_map.select("entity_id", "merchant_account_id", "account_id")
         accounts = accounts_with_alias(account_dim, alias_dim)
         small = all_within([keys, accounts], max_rows, max_bytes)
@@ -96,9 +96,7 @@ def all_within(frames: list[DataFrame], max_rows: int, max_bytes: int) -> bool:
     measured = None
     for frame in frames:
         widths = " + ".join(f"coalesce(octet_length(cast({name} AS string)), 0)" for name in frame.columns)
-        size = frame.limit(max_rows + 1).agg(
-            F.expr("count(1) AS rows"), F.expr(f"coalesce(sum({widths}), 0) AS bytes")
-        )
+        size = frame.agg(F.expr("count(1) AS rows"), F.expr(f"coalesce(sum({widths}), 0) AS bytes"))
         measured = size if measured is None else measured.union(size)
     return all(row["rows"] <= max_rows and row["bytes"] <= max_bytes for row in measured.collect())
 
