@@ -36,7 +36,8 @@ _ROUNDED = ("t_stat_alias_global", "t_stat_channel_specific", "ATV")
 
 
 def _rounded(frame: DataFrame, columns: Sequence[str] = _ROUNDED) -> DataFrame:
-    return frame.withColumns({name: F.round(name, 6) for name in columns if name in frame.columns})
+    # Adding zero turns a negative zero into zero.
+    return frame.withColumns({name: F.round(name, 6) + 0.0 for name in columns if name in frame.columns})
 
 
 def _daily(spark: SparkSession, sf_dir: str, clock: Clock = _CLOCK) -> DataFrame:
@@ -177,6 +178,24 @@ def severity_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(classify.classify(scored, DEFAULT_SPECS, keep_all=True))
 
 
+def severity_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many sparse merchants: days without rates, single days, no spread.
+
+    The impact columns are left out: on such short series losses lie exactly
+    halfway between two whole payments, where the order of a sum decides.
+    """
+    rolled = plan_daily(testview.customer_tables(spark, sf_dir), _CLOCK)
+    scored = score.score(rolled, DEFAULT_SPECS, _CLOCK)
+    labelled = classify.classify(scored, DEFAULT_SPECS, keep_all=True)
+    return _rounded(labelled).drop("Total_Volume_Amount_Lost", "Lost_Volume", "ATV")
+
+
+def baseline_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rolled = plan_daily(testview.customer_tables(spark, sf_dir), _CLOCK)
+    base = baseline.channel_baseline(rolled, DEFAULT_SPECS, _CLOCK)
+    return _rounded(base, ("t1", "mean", "std", "atv"))
+
+
 def anomalies_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_anomalies(spark, sf_dir))
 
@@ -252,7 +271,7 @@ def queries() -> dict[str, Query]:
     registered = [
         scan_lookback, resolve_entity_join, resolve_merchant_fallback_join, resolve_account_join,
         resolve_alias_join, duplicate_lookup_keys, daily_performance, daily_performance_mid_day,
-        daily_performance_shuffle_joins, channel_share, lost_impact, severity_all, anomalies_union,
+        daily_performance_shuffle_joins, channel_share, lost_impact, severity_all, severity_by_customer, baseline_by_customer, anomalies_union,
         manager_lookup, anomalies_with_manager, anomalies_with_links, detect_full,
         detect_full_more_breaches, counts_by_metric, digest_top_merchants, digest_top_channels,
         digest_messages, run_table, csv_roundtrip, json_roundtrip,

@@ -21,7 +21,7 @@ from ratewatch.sources.testview import AS_OF, DIGEST_AS_OF, MID_DAY_AS_OF
 
 STYLE = DigestStyle()
 
-INPUTS = """
+_PAYMENTS = """
 payments AS (
   SELECT ts AS requested_at, user_id AS entity_id, CAST(user_id AS VARCHAR) AS merchant_account_id,
          CASE WHEN k < 60 THEN 'pc_0' WHEN k < 85 THEN 'pc_1' ELSE 'pc_2' END AS processing_channel_id,
@@ -33,7 +33,9 @@ payments AS (
          CAST(event_type = 'click' AS BIGINT) AS fraud_reported_payments,
          CAST(event_type = 'view' AS BIGINT) AS disputed_payments
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
-),
+),"""
+
+_REGIONAL = """
 account_map AS (
   SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS entity_id,
          CASE WHEN c_custkey % 2 <> 0 THEN c_custkey END AS merchant_account_id,
@@ -49,7 +51,24 @@ alias_dim AS (
   SELECT r_name AS salesforce_alias, r_regionkey AS account_manager_id,
          'Manager ' || r_name AS account_manager_name
   FROM region
+),"""
+
+# Every customer is a merchant of its own.
+_CUSTOMERS = """
+account_map AS (
+  SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS entity_id,
+         CASE WHEN c_custkey % 2 <> 0 THEN c_custkey END AS merchant_account_id,
+         c_custkey AS account_id
+  FROM customer
 ),
+account_dim AS (SELECT c_custkey AS account_id, c_name AS salesforce_alias FROM customer),
+alias_dim AS (
+  SELECT c_name AS salesforce_alias, c_nationkey AS account_manager_id,
+         'Manager ' || c_nationkey AS account_manager_name
+  FROM customer
+),"""
+
+_RESOLVED = """
 employee_dim AS (
   SELECT s_suppkey AS user_id, lower(replace(s_name, '#', '.')) || '@example.com' AS email
   FROM supplier
@@ -65,6 +84,9 @@ resolved AS (
   LEFT JOIN alias_dim a ON a.salesforce_alias = d.salesforce_alias
 )"""
 
+INPUTS = _PAYMENTS + _REGIONAL + _RESOLVED
+CUSTOMER_INPUTS = _PAYMENTS + _CUSTOMERS + _RESOLVED
+
 
 def _clock(as_of: str) -> str:
     return f"TIMESTAMP '{as_of.replace('T', ' ')}'"
@@ -74,7 +96,7 @@ def _yesterday(as_of: str) -> str:
     return f"(CAST({_clock(as_of)} AS DATE) - INTERVAL 1 DAY)"
 
 
-def _detection(as_of: str) -> str:
+def _detection(as_of: str, inputs: str = INPUTS) -> str:
     """CTEs from the resolved facts to labelled, enriched anomalies."""
     day_before = f"requested_date = {_yesterday(as_of)}"
     metrics = {
@@ -87,7 +109,7 @@ def _detection(as_of: str) -> str:
         f"{part} AS part, {whole} AS whole, CAST({part} AS DOUBLE) / NULLIF({whole}, 0) AS rate FROM daily"
         for metric, (part, whole) in metrics.items()
     )
-    return f"""{INPUTS},
+    return f"""{inputs},
 daily AS (
   SELECT CAST(requested_at AS DATE) AS requested_date, alias_name,
          processing_channel_id AS channel_id, is_merchant_initiated AS is_mit,
@@ -216,10 +238,12 @@ messages AS (
 )"""
 
 
-_ANOMALY = """Anomaly_Type, overall_status, alias_name, channel_id, is_mit,
-  ROUND(t_stat_alias_global, 6) AS t_stat_alias_global,
-  ROUND(t_stat_channel_specific, 6) AS t_stat_channel_specific,
-  channel_vol_share_pct, Total_Volume_Amount_Lost, Lost_Volume, ROUND(ATV, 6) AS ATV"""
+# Rounded statistics; a tiny negative one must not become a negative zero.
+_STATISTICS = ", ".join(
+    f"CASE WHEN ROUND({name}, 6) = 0 THEN 0 ELSE ROUND({name}, 6) END AS {name}"
+    for name in ("t_stat_alias_global", "t_stat_channel_specific")
+)
+_ANOMALY = f"""Anomaly_Type, overall_status, alias_name, channel_id, is_mit, {_STATISTICS}, channel_vol_share_pct, Total_Volume_Amount_Lost, Lost_Volume, ROUND(ATV, 6) AS ATV"""
 _RESULT = f"{_ANOMALY}, Date_of_Detection, Link_to_Look, Account_Manager_Name, Account_Manager_Email"
 _BASELINE = "ROUND(t1, 6) AS t1, ROUND(mean, 6) AS mean, ROUND(std, 6) AS std, n"
 _FACT = """processing_channel_id AS channel_id, is_merchant_initiated AS is_mit,
@@ -230,8 +254,8 @@ _DAILY = """requested_date, alias_name, channel_id, is_mit, accepted_sum, reques
   fraud_reported_sum, disputed_sum, ROUND(daily_atv, 6) AS daily_atv"""
 
 
-def _from(select: str, as_of: str = AS_OF) -> str:
-    return f"WITH {_detection(as_of)} {select}"
+def _from(select: str, as_of: str = AS_OF, inputs: str = INPUTS) -> str:
+    return f"WITH {_detection(as_of, inputs)} {select}"
 
 
 def _per_metric(metric: str) -> dict[str, str]:
@@ -241,8 +265,7 @@ def _per_metric(metric: str) -> dict[str, str]:
         "alias_baseline": f"SELECT alias_name, is_mit, {_BASELINE} FROM merchants WHERE metric = '{metric}'",
         "channel_baseline": f"SELECT alias_name, channel_id, is_mit, {_BASELINE}, volume, incidents, "
         f"ROUND(atv, 6) AS atv FROM channels WHERE metric = '{metric}'",
-        "scored": f"""SELECT alias_name, channel_id, is_mit, ROUND(t_stat_alias_global, 6) AS t_stat_alias_global,
-          ROUND(t_stat_channel_specific, 6) AS t_stat_channel_specific, channel_vol_share_pct,
+        "scored": f"""SELECT alias_name, channel_id, is_mit, {_STATISTICS}, channel_vol_share_pct,
           Total_Volume_Amount_Lost, Lost_Volume, ROUND(ATV, 6) AS ATV
           FROM scored WHERE Anomaly_Type = '{metric}'""",
     }
@@ -275,6 +298,16 @@ def oracle_sql() -> dict[str, str]:
             "FROM scored WHERE Anomaly_Type = 'AR Anomaly'"
         ),
         "severity_all": _from(f"SELECT {_ANOMALY} FROM labelled"),
+        "severity_by_customer": _from(
+            f"""SELECT Anomaly_Type, overall_status, alias_name, channel_id, is_mit, {_STATISTICS},
+            channel_vol_share_pct FROM labelled""",
+            inputs=CUSTOMER_INPUTS,
+        ),
+        "baseline_by_customer": _from(
+            f"SELECT metric AS Anomaly_Type, alias_name, channel_id, is_mit, {_BASELINE}, volume, incidents, "
+            "ROUND(atv, 6) AS atv FROM channels",
+            inputs=CUSTOMER_INPUTS,
+        ),
         "anomalies_union": _from(f"SELECT {_ANOMALY} FROM anomalies"),
         "manager_lookup": f"WITH {INPUTS}" + """
             SELECT a.salesforce_alias, a.account_manager_name AS Account_Manager_Name,

@@ -31,6 +31,6 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     costs at most a re-read of them, never of the facts.
     """
     spark = frame.sparkSession
-    path = f"{shared_dir(spark)}/ratewatch/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/ratewatch/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

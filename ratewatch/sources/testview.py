@@ -8,6 +8,8 @@ the alias table does not know, so their payments stay unresolved.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ MID_DAY_AS_OF = "2024-02-10T12:00:00"
 # The columns read, declared so that no job has to infer them.
 _COLUMNS = {
     "events": "ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "customer": "c_custkey bigint, c_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
     "nation": "n_nationkey int, n_regionkey int",
     "region": "r_regionkey int, r_name string",
     "supplier": "s_suppkey bigint, s_name string",
@@ -96,3 +98,26 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
         alias_dim=alias_dim(spark, sf_dir),
         employee_dim=employee_dim(spark, sf_dir),
     )
+
+
+def customer_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The same payments with every customer as a merchant of its own: many short, sparse series."""
+    customer = _read(spark, sf_dir, "customer")
+    regional = tables(spark, sf_dir)
+    even = F.col("c_custkey") % 2 == 0
+    return replace(
+        regional,
+        account_map=customer.select(
+            F.when(even, F.col("c_custkey")).alias("entity_id"),
+            F.when(~even, F.col("c_custkey")).alias("merchant_account_id"),
+            F.col("c_custkey").alias("account_id"),
+        ),
+        account_dim=customer.select(
+            F.col("c_custkey").alias("account_id"), F.col("c_name").alias("salesforce_alias")
+        ),
+        alias_dim=customer.select(
+            F.col("c_name").alias("salesforce_alias"),
+            F.col("c_nationkey").alias("account_manager_id"),
+            F.concat(F.lit("Manager "), F.col("c_nationkey")).alias("account_manager_name"),
+        ),
+    )
