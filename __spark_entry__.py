@@ -182,7 +182,8 @@ def severity_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many sparse merchants: days without rates, single days, no spread.
 
     The impact columns are left out: on such short series losses lie exactly
-    halfway between two whole payments, where the order of a sum decides.
+    halfway between two whole payments, where the oracle's plain rounding
+    depends on the order of its sums. ``tests/test_brute_force.py`` checks them.
     """
     rolled = plan_daily(testview.customer_tables(spark, sf_dir), _CLOCK)
     scored = score.score(rolled, DEFAULT_SPECS, _CLOCK)
@@ -271,7 +272,8 @@ def queries() -> dict[str, Query]:
     registered = [
         scan_lookback, resolve_entity_join, resolve_merchant_fallback_join, resolve_account_join,
         resolve_alias_join, duplicate_lookup_keys, daily_performance, daily_performance_mid_day,
-        daily_performance_shuffle_joins, channel_share, lost_impact, severity_all, severity_by_customer, baseline_by_customer, anomalies_union,
+        daily_performance_shuffle_joins, channel_share, lost_impact, severity_all,
+        severity_by_customer, baseline_by_customer, anomalies_union,
         manager_lookup, anomalies_with_manager, anomalies_with_links, detect_full,
         detect_full_more_breaches, counts_by_metric, digest_top_merchants, digest_top_channels,
         digest_messages, run_table, csv_roundtrip, json_roundtrip,

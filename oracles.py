@@ -243,7 +243,8 @@ _STATISTICS = ", ".join(
     f"CASE WHEN ROUND({name}, 6) = 0 THEN 0 ELSE ROUND({name}, 6) END AS {name}"
     for name in ("t_stat_alias_global", "t_stat_channel_specific")
 )
-_ANOMALY = f"""Anomaly_Type, overall_status, alias_name, channel_id, is_mit, {_STATISTICS}, channel_vol_share_pct, Total_Volume_Amount_Lost, Lost_Volume, ROUND(ATV, 6) AS ATV"""
+_ANOMALY = f"""Anomaly_Type, overall_status, alias_name, channel_id, is_mit, {_STATISTICS},
+  channel_vol_share_pct, Total_Volume_Amount_Lost, Lost_Volume, ROUND(ATV, 6) AS ATV"""
 _RESULT = f"{_ANOMALY}, Date_of_Detection, Link_to_Look, Account_Manager_Name, Account_Manager_Email"
 _BASELINE = "ROUND(t1, 6) AS t1, ROUND(mean, 6) AS mean, ROUND(std, 6) AS std, n"
 _FACT = """processing_channel_id AS channel_id, is_merchant_initiated AS is_mit,

@@ -34,10 +34,20 @@ def average_value(amount: str, count: str) -> str:
     return ratio(f"coalesce({amount}, 0)", count)
 
 
+def _round_settled(value: str, digits: int) -> str:
+    """``value`` rounded half away from zero, alike in every run.
+
+    The order in which a mean's values are summed shows in its last bits and
+    would decide values that lie exactly halfway. Rounding that noise off first
+    leaves them halfway.
+    """
+    return f"round(round({value}, 9), {digits})"
+
+
 def lost_units(mean: str, value: str, volume: str) -> str:
-    return f"round({clamp_at_zero(f'({mean} - {value})')} * {volume})"
+    return _round_settled(f"{clamp_at_zero(f'({mean} - {value})')} * {volume}", 0)
 
 
 def lost_amount(mean: str, value: str, volume: str, unit_value: str) -> str:
     """Money lost, from the unrounded loss."""
-    return f"round({clamp_at_zero(f'({mean} - {value})')} * {volume} * {unit_value}, 2)"
+    return _round_settled(f"{clamp_at_zero(f'({mean} - {value})')} * {volume} * {unit_value}", 2)

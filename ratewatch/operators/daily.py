@@ -47,10 +47,12 @@ def lookback(
     """
     since = clock.days_before(days)
     recent = payments.where(F.col("requested_at") >= utc_instant(payments, "requested_at", since))
-    if upto is not None:
-        recent = recent.where(F.col("requested_at") < utc_instant(payments, "requested_at", upto))
     if day_column is not None:
         recent = recent.where(F.col(day_column) >= F.lit(since.date()))
+    if upto is not None:
+        recent = recent.where(F.col("requested_at") < utc_instant(payments, "requested_at", upto))
+        if day_column is not None:
+            recent = recent.where(F.col(day_column) <= F.lit(upto.date()))
     return recent.select(
         utc_date(payments, "requested_at").alias("requested_date"),
         "entity_id",

@@ -12,6 +12,7 @@ import random
 import statistics
 from collections import defaultdict
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import pytest
 
@@ -83,16 +84,19 @@ def expected(payments, account_map, account_dim, alias_dim):
             cell[index] = cell[index] or 0
 
     def rate(part, whole):
-        return None if part is None or not whole else part / whole
+        return None if part is None or not whole else Fraction(part) / Fraction(whole)
+
+    def half_away(value, digits):
+        return math.floor(value * 10**digits + Fraction(1, 2)) / 10**digits
 
     def base(series):
         known = [r for r in series.values() if r is not None]
         mean = sum(known) / len(known) if known else None
-        std = statistics.stdev(known) if len(known) > 1 else None
+        std = float(statistics.stdev(known)) if len(known) > 1 else None
         t1 = series.get(CLOCK.yesterday)
         t = None
         if t1 is not None and std:
-            t = (t1 - mean) / (std / math.sqrt(len(series)))
+            t = float(t1 - mean) / (std / math.sqrt(len(series)))
         return t1, mean, t
 
     result = {}
@@ -116,14 +120,15 @@ def expected(payments, account_map, account_dim, alias_dim):
                 if (a, m) == (alias, mit) and s.get(CLOCK.yesterday) is not None
             )
             atv = rate(cell[2], cell[3])
-            lost = max(0.0, mean - t1) * cell[whole]
+            # Exact fractions: values halfway between two payments or cents occur here.
+            lost = max(Fraction(0), mean - t1) * cell[whole]
             result[metric, alias, channel, mit] = (
                 base(merchants[alias, mit])[2],
                 t,
                 100 * cell[whole] / active,
-                lost if part == 0 else float(cell[part]),
-                lost * atv if part == 0 and atv is not None else None,
-                atv if part == 0 else None,
+                half_away(lost, 0) if part == 0 else float(cell[part]),
+                half_away(lost * atv, 2) if part == 0 and atv is not None else None,
+                float(atv) if part == 0 and atv is not None else None,
             )
     return result
 
@@ -145,7 +150,7 @@ def test_scores_match_brute_force(spark, seed, max_rows):
     got = {(r.Anomaly_Type, r.alias_name, r.channel_id, r.is_mit): r for r in rows}
     wanted = expected(payments, account_map, account_dim, alias_dim)
     assert got.keys() == wanted.keys() and len(rows) == len(wanted) > 30
-    tolerances = (1e-9, 1e-9, 0.00501, 0.501, 0.00501, 1e-9)
+    tolerances = (1e-9, 1e-9, 0.00501, 1e-9, 1e-9, 1e-9)
     for key, values in wanted.items():
         r = got[key]
         actual = (

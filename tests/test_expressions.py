@@ -77,6 +77,17 @@ def test_rounding_is_half_away_from_zero(spark):
     assert lost == [0.0, 0.0, 3.0]
 
 
+def test_halfway_losses_do_not_depend_on_summation_noise(spark):
+    noisy = [(0.75 + noise, 0.0, 2.0) for noise in (-2e-16, 0.0, 2e-16)]
+    lost = stats.lost_units("m", "v", "n")
+    assert evaluate(spark, lost, noisy, "m double, v double, n double") == [2.0, 2.0, 2.0]
+    near = [(0.74999999, 0.0, 2.0), (0.75000001, 0.0, 2.0)]
+    assert evaluate(spark, lost, near, "m double, v double, n double") == [1.0, 2.0]
+    amount = stats.lost_amount("m", "v", "n", "1.0D")
+    cents = [(0.0025 + noise, 0.0, 2.0) for noise in (-4e-19, 0.0, 4e-19)]
+    assert evaluate(spark, amount, cents, "m double, v double, n double") == [0.01, 0.01, 0.01]
+
+
 def test_linked_url(spark):
     rows = [('=HYPERLINK("https://x/y?a=%22b%22","label ""q""")',), ("no link",), (None,)]
     assert evaluate(spark, linked_url("s"), rows, "s string") == ["https://x/y?a=%22b%22", "", None]

@@ -58,6 +58,18 @@ def test_another_ratio_is_another_spec(spark):
     assert {r.Anomaly_Type for r in rows} == {capture.label} | {s.label for s in DEFAULT_SPECS}
 
 
+def test_money_can_be_a_numerator(spark):
+    ticket = MetricSpec(
+        key="ticket", label="Ticket", numerator="captured_amount_sum", denominator="captured_sum",
+        rises=True, impact="count", gate=100_000.0,
+        primary_label="Primary", global_label="Global", below_label="Below",
+    )
+    rows = [shop.row("Drop", 5 - i, amount=25_000.0 if i < 4 else 150_000.0) for i in range(5)]
+    found = detect(shop.tables(spark, rows), shop.AS_OF, specs=[*DEFAULT_SPECS, ticket]).collect()
+    assert [(r.Anomaly_Type, r.Lost_Volume, r.ATV) for r in found] == [("Ticket", 150_000.0, None)]
+    assert found[0].t_stat_alias_global == pytest.approx(4)
+
+
 def test_specs_are_checked():
     with pytest.raises(ValueError, match="impact"):
         MetricSpec("x", "X", "a", "b", True, "maybe", 1.0, "p", "g", "b")

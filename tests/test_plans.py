@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from datetime import datetime
 
 import pytest
 
@@ -116,6 +117,10 @@ def test_partition_column_prunes_days(spark, tmp_path):
     scan = re.search(r"FileScan.*", executed(recent)).group()
     assert re.search(r"PartitionFilters: \[[^\]]*day\S* >= 2024-01-21", scan)
     assert recent.count() == payments.where("day >= DATE'2024-01-21'").count()
+    bounded = lookback(spark.read.parquet(path), CLOCK, upto=datetime(2024, 1, 5, 12), day_column="day")
+    scan = re.search(r"FileScan.*", executed(bounded)).group()
+    assert re.search(r"PartitionFilters: \[[^\]]*day\S* <= 2024-01-05", scan)
+    assert bounded.count() == payments.where("requested_at < TIMESTAMP_NTZ'2024-01-05 12:00:00'").count()
 
 
 def test_digest_ranks_before_it_shuffles(spark):

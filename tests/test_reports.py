@@ -49,7 +49,8 @@ def test_top_merchants_rank_by_amount_then_alias(anomalies):
 
 
 def test_top_channels_are_cut_per_merchant(anomalies):
-    rows = digest.top_channels(anomalies, digest.top_merchants(anomalies)).orderBy("alias_name", "channel_rank").collect()
+    ranked = digest.top_channels(anomalies, digest.top_merchants(anomalies))
+    rows = ranked.orderBy("alias_name", "channel_rank").collect()
     big = [r.channel_id for r in rows if r.alias_name == "Big"]
     assert big == ["pc_6", "pc_5", "pc_4", "pc_3", "pc_2"]
     assert [r.is_mit for r in rows if r.alias_name == "Both"] == [False, True]
@@ -77,7 +78,8 @@ def test_messages(anomalies):
         "",
         "**Channel Breakdown:**",
         *[
-            f"• `pc_{i}` | {status} | MIT: No | 1,00{i} payments | **${round(10_000.5 + i):,}** | <https://d/x|🔍 Dashboard>"
+            f"• `pc_{i}` | {status} | MIT: No | 1,00{i} payments | **${round(10_000.5 + i):,}**"
+            " | <https://d/x|🔍 Dashboard>"
             for i in (6, 5, 4, 3, 2)
         ],
         "_...2 more channel(s) — see CSV for full breakdown_",
