@@ -54,12 +54,16 @@ def _rows_of(anomalies: DataFrame, metric: str) -> DataFrame:
 
 
 def merchant_totals(anomalies: DataFrame, metric: str = ACCEPTANCE.label) -> DataFrame:
-    """Lost amount, lost payments and channel count per alias, over MIT flags and channels."""
+    """Lost amount, lost payments and channel count per alias, over MIT flags and channels.
+
+    Amounts are in cents; rounding the sum to cents keeps its order of addition
+    from deciding ties.
+    """
     return (
         _rows_of(anomalies, metric)
         .groupBy("alias_name")
         .agg(
-            F.sum("lost_amount").alias("lost_amount"),
+            F.round(F.sum("lost_amount"), 2).alias("lost_amount"),
             F.sum("lost_payments").alias("lost_payments"),
             F.count(F.lit(1)).alias("channels"),
         )
