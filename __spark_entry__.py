@@ -27,6 +27,15 @@ from ratewatch.sinks.staging import shared_dir, stage  # noqa: E402
 from ratewatch.sources import schemas, testview  # noqa: E402
 from ratewatch.specs import ACCEPTANCE, MetricSpec  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from ratewatch.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    # The subpackage and its pipeline are optional; a missing module of theirs is an error.
+    if missing.name not in ("corpus_pipeline", "ratewatch.llm"):
+        raise
+    corpus_pipeline = corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _CLOCK = Clock.at(testview.AS_OF)
@@ -284,8 +293,10 @@ def queries() -> dict[str, Query]:
         by_name[f"alias_baseline_{spec.key}"] = _alias_baseline(spec)
         by_name[f"channel_baseline_{spec.key}"] = _channel_baseline(spec)
         by_name[f"scored_{spec.key}"] = _scored(spec)
+    if corpus:
+        by_name |= corpus.queries() | {"pipeline": corpus_pipeline.run}
     return by_name
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (corpus.oracle_sql() if corpus else {})
