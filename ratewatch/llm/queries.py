@@ -7,24 +7,42 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewatch.llm import bpe, tokens
+from ratewatch.llm import bpe, mixing, pii, quality, simhash, tokens
 from ratewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(encoded, path))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scores = quality.scored(docs, labels, ["doc_id"])
+    return scores.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
-    registered = [op5_byte_bpe, op8_token_counts]
+    registered = [op1_mix_sources, op3_personal_data, op5_byte_bpe, op7_simhash, op8_token_counts, op10_quality]
     return {query.__name__: query for query in registered}
 
 
