@@ -6,27 +6,48 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratewatch.llm import bpe, mixing, pii, quality, simhash, tokens
+from ratewatch.llm import ann, bpe, mixing, pii, quality, simhash, substrings, tokens, topk, urls
 from ratewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Hosts, path starts and verdicts of the rules.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filtered(table(spark, sf_dir, "pages"), urls.rules_of(spark, URL_RULES))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(encoded, path))
 
 
+def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,6 +56,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return found.withColumn("removed", F.to_json("removed"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scores = quality.scored(docs, labels, ["doc_id"])
@@ -42,9 +68,39 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    registered = [op1_mix_sources, op3_personal_data, op5_byte_bpe, op7_simhash, op8_token_counts, op10_quality]
+    registered = [
+        op1_mix_sources, op2_url_filters, op3_personal_data, op4_nearest, op5_byte_bpe,
+        op6_top_products, op7_simhash, op8_token_counts, op9_substrings, op10_quality,
+    ]
     return {query.__name__: query for query in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filters": OP2_SQL}
+
+
+#: Rules by host suffix and path start, the longest first; no rule allows.
+OP2_SQL = """
+WITH parts AS (
+  SELECT page_id,
+    CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), judged AS (
+  SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path,
+    CASE
+      WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/'
+    END AS rule
+  FROM split
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
