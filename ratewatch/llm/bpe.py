@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -214,11 +214,12 @@ def decode(
     return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
-def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Count and SHA-256 of what ``decode`` gives."""
+def digests(decoded: DataFrame, id_col: str = "doc_id", more: Sequence[str] = ()) -> DataFrame:
+    """Count and SHA-256 of what ``decode`` gives, and ``more`` of its columns."""
     return decoded.select(
         id_col,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )

@@ -14,13 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 2 << 20
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """``frame`` from a reliable checkpoint in the folder that all nodes share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all nodes share: ``spark.checkpoint.dir``.
 
-    The folder is ``spark.checkpoint.dir``. Only a local session without one
-    gets a temporary folder of its own.
+    Only a local session without one gets a temporary folder of its own.
     """
-    spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -29,6 +27,12 @@ def cut(frame: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
             folder = tempfile.mkdtemp(prefix="ratewatch-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """``frame`` from a reliable checkpoint in the shared folder."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 

@@ -308,28 +308,31 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, weights: Weights | None = None, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets, and ``length_col`` renewed.
+def redacted(
+    docs: DataFrame, weights: Weights | None = None, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars"
+) -> DataFrame:
+    """``docs`` with every span replaced by its kind in brackets, and ``length_col``, if there is one, renewed.
 
     Overlapping spans are replaced together, by the kind of the first. All
-    columns are kept; a null text stays null, with its length as it was.
+    columns and rows are kept; a null text stays null, with its length as it was.
     """
-    weights = weights or train(docs, docs.columns[0], text_col)
+    weights = weights or train(docs, id_col, text_col)
+    columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                texts = part.column("_text").to_pylist()
+            for part in slices(batch, text_col):
+                texts = part.column(text_col).to_pylist()
                 _, every = spans_of([t or "" for t in texts], weights)
                 cleaned = [t and replaced(t, spans) for t, spans in zip(texts, every, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(cleaned, pa.string())], ["_row", "_text"])
-
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    kind = docs.select(row.alias("_row")).schema["_row"].dataType.simpleString()
-    rows = docs.select(row.alias("_row"), F.col(text_col).alias("_text")).mapInArrow(run, f"_row {kind}, _text string")
-    size = F.coalesce(F.length("_text").cast("long"), F.col(f"_row.{length_col}").cast("long")) if length_col in docs.columns else None
-    new = {text_col: F.col("_text")} | ({length_col: size.cast(docs.schema[length_col].dataType)} if size is not None else {})
-    return rows.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+                new = {text_col: pa.array(cleaned, pa.string())}
+                if length_col in columns:
+                    old = part.column(length_col)
+                    sizes = [o if t is None else len(t) for o, t in zip(old.to_pylist(), cleaned, strict=True)]
+                    new[length_col] = pa.array(sizes, old.type)
+                yield pa.RecordBatch.from_arrays([new.get(c, part.column(c)) for c in columns], columns)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def replaced(text: str, spans: list[tuple[int, int, int]]) -> str:

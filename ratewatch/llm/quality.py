@@ -10,7 +10,7 @@ documents, turns it into a logit, and a temperature fitted on a part of the samp
 that the network did not see into a calibrated probability.
 
 What reaches the driver is the table of context vectors (``BUCKETS`` x ``DIMS``) and
-the sample of at most ``SAMPLE`` vectors, whatever the corpus.
+the sample of ``SAMPLE`` vectors, at most twice as many where ids repeat.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ratewatch.llm.common import cut, lists, slices, sql_type
+from ratewatch.llm.common import lists, slices
 
 BUCKETS, DIMS, NONZERO = 1 << 14, 32, 4
 POOLED = 2 * DIMS
@@ -101,21 +102,6 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return vectors
 
 
-def document_vectors(docs: DataFrame, vectors: np.ndarray, columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns`` and ``vector``, what ``pool`` gives."""
-    sent = docs.sparkSession.sparkContext.broadcast(vectors)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
-                pooled = list(pool(*words([raw or b"" for raw in part.column("_text").to_pylist()]), sent.value))
-                kept = [part.column(c) for c in columns]
-                yield pa.RecordBatch.from_arrays([*kept, lists(pooled, pa.float32())], [*columns, "vector"])
-
-    schema = ", ".join([*(f"`{c}` {sql_type(docs, c)}" for c in columns), "vector array<float>"])
-    return docs.select(*columns, F.col(text_col).cast("binary").alias("_text")).mapInArrow(run, schema)
-
-
 def pool(word: np.ndarray, begin: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """A row for each text: the mean vector, and the mean product of neighbours. Zeros without words."""
     out = np.zeros((len(begin), POOLED))
@@ -193,38 +179,75 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(vectors: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Network:
-    """Fitted on the ``SAMPLE`` labelled rows outside the held-out part that come first by a hash of their id."""
-    known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col)).select(id_col, F.col(label_col).alias("_label"))
+@dataclass
+class Model:
+    """The word vectors and the network on top of them."""
+
+    vectors: np.ndarray
+    net: Network
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+) -> Model:
+    """Word vectors from all documents, and a network fitted on a sample.
+
+    The sample is the documents of the ``SAMPLE`` labels 0 or 1, outside the
+    held-out part, that come first by a hash of their id.
+    """
+    vectors = context_vectors(docs, text_col)
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     order = F.xxhash64(F.lit("quality"), F.col(id_col))
-    sample = (
-        vectors.join(known, id_col).select("vector", "_label", order.alias("_order"))
-        .orderBy("_order", "_label", "vector").limit(SAMPLE).toArrow()
-    )
+    known = known.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label"), order.alias("_order"))
+    known = known.orderBy("_order", "_id", "_label").limit(SAMPLE)
+    sent = docs.sparkSession.sparkContext.broadcast(vectors)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text", 1 << 20):
+                pooled = pool(*words([raw or b"" for raw in part.column("_text").to_pylist()]), sent.value)
+                columns = [part.column("_order"), part.column("_label"), lists(list(pooled), pa.float32())]
+                yield pa.RecordBatch.from_arrays(columns, ["_order", "_label", "vector"])
+
+    # At most SAMPLE labels are broadcast; a document may be there more than once.
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).join(F.broadcast(known), "_id")
+    sample = rows.drop("_id").mapInArrow(run, "_order bigint, _label double, vector array<float>")
+    sample = sample.orderBy("_order", "_label", "vector").limit(2 * SAMPLE).toArrow()
     x = sample["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, POOLED)
-    return fit(x, np.array(sample["_label"].to_pylist(), float))
+    return Model(vectors, fit(x, sample["_label"].to_numpy().astype(float)))
 
 
-def scored(
-    docs: DataFrame, labels: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
-) -> DataFrame:
-    """``columns`` of every document, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (1 from 0.5 on).
+def scored(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``columns`` of every document and ``score_col``, 0 to 1, higher where label 1 is likelier.
 
-    ``columns`` must hold ``id_col``, by which labels are found; it is never an
-    input of a score. Empty and null texts have the zero vector and are scored
-    like any other. Labels other than 0 and 1, and labels of the held-out part,
-    are not learnt from; a document with several labels counts with each. Rows
-    with the same id are scored one by one.
+    Only the text is an input of the score. Empty and null texts have the zero
+    vector and are scored like any other. Rows are kept as they come, repeated
+    or with a null id.
     """
-    vectors = cut(document_vectors(docs, context_vectors(docs, text_col), columns, text_col))
-    net = train(vectors, labels, id_col, label_col)
+    sent, net = docs.sparkSession.sparkContext.broadcast(model.vectors), model.net
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-            score = net.scores(flat.reshape(-1, POOLED).astype(float))
-            kept = [batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(score)], [*columns, "score"])
+            for part in slices(batch, text_col, 1 << 20):
+                raw = part.column(text_col).cast(pa.binary()).to_pylist()
+                pooled = pool(*words([r or b"" for r in raw]), sent.value)
+                scores = pa.array(net.scores(pooled.astype(float)))
+                yield pa.RecordBatch.from_arrays([*map(part.column, columns), scores], [*columns, score_col])
+
+    rows = docs.select(*dict.fromkeys([*columns, text_col]))
+    schema = StructType([*(docs.schema[c] for c in columns), StructField(score_col, DoubleType())])
+    return rows.mapInArrow(run, schema)
+
 
-    schema = ", ".join([*(f"`{c}` {sql_type(docs, c)}" for c in columns), "score double"])
-    return vectors.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+def qualities(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+) -> DataFrame:
+    """``id_col``, ``held_out``, ``score`` and ``predicted`` (1 from a score of 0.5 on) of every document.
+
+    ``labels`` has ``id_col`` and ``label_col``; labels other than 0 and 1, and
+    those of the held-out part, are not learnt from. A document with several
+    labels counts with each.
+    """
+    found = scored(docs, train(docs, labels, id_col, text_col, label_col), [id_col], text_col)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return found.select(id_col, held_out(id_col).alias("held_out"), "score", predicted)

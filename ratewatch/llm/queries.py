@@ -62,9 +62,7 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scores = quality.scored(docs, labels, ["doc_id"])
-    return scores.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+    return quality.qualities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Query]:

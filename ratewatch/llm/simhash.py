@@ -13,13 +13,13 @@ a long list is dealt out as pairs of blocks. Equal fingerprints are one node.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewatch.llm.common import cut, slices, sql_type
@@ -57,18 +57,21 @@ def fingerprint(raw: bytes, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(starts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and ``fp``, the fingerprint as a signed long, of every row."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", more: Sequence[Column] = ()
+) -> DataFrame:
+    """``_id``, ``fp`` (the fingerprint as a signed long) and ``more`` long columns of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
                 found = [fingerprint(raw or b"", shingle) for raw in part.column("_text").to_pylist()]
                 fps = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("_id"), fps], ["_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("_id"), fps, *map(part.column, added)], ["_id", "fp", *added])
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
-    return rows.mapInArrow(run, f"_id {sql_type(docs, id_col)}, fp bigint").withColumnRenamed("_id", id_col)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"), *more)
+    added = rows.columns[2:]
+    return rows.mapInArrow(run, f"_id {sql_type(docs, id_col)}, fp bigint" + "".join(f", {c} bigint" for c in added))
 
 
 def position_sets(matches: int) -> list[tuple[int, ...]]:
@@ -188,6 +191,17 @@ def _linked(fp: np.ndarray, group: np.ndarray, bits: int) -> Iterator[pa.RecordB
     )
 
 
+def components(hashed: DataFrame, bits: int) -> DataFrame:
+    """``fp``, ``root`` (the smallest fingerprint that links reach) and ``component_id`` of every fingerprint."""
+    classes = hashed.groupBy("fp").agg(F.min("_id").alias("_least"))
+    found = roots(edges(classes.select("fp"), bits))
+    joined = classes.join(found, classes["fp"] == found["node"], "left").drop("node")
+    # Only linked fingerprints are gathered by component.
+    linked = joined.where("root IS NOT NULL").groupBy("root").agg(F.min("_least").alias("_component"))
+    named = joined.join(linked, "root", "left")
+    return named.select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("_component", "_least").alias("component_id"))
+
+
 def near_duplicates(
     docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -201,14 +215,24 @@ def near_duplicates(
     read. The fingerprints are checkpointed, so texts are hashed once.
     """
     hashed = cut(fingerprints(docs, shingle, id_col, text_col))
-    classes = hashed.groupBy("fp").agg(F.min(id_col).alias("_least"))
-    found = roots(edges(classes.select("fp"), bits))
-    joined = classes.join(found, classes["fp"] == found["node"], "left")
-    linked = joined.where("root is not null").groupBy("root").agg(F.min("_least").alias("_component"))
-    by_print = found.join(linked, "root").select(F.col("node").alias("fp"), "_component")
-    named = classes.join(by_print, "fp", "left").select(
-        "fp", F.coalesce("_component", "_least").alias("component_id")
-    )
-    return hashed.join(named, "fp").select(
-        id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return hashed.join(components(hashed, bits), "fp").select(F.col("_id").alias(id_col), shown, "component_id")
+
+
+def representatives(
+    docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: the row with the smallest id.
+
+    A null id comes last. Rows with equal ids are told apart by two hashes of
+    id and text; of equal rows, one stays.
+    """
+    keys = [F.xxhash64(F.lit(n), F.col(id_col), F.col(text_col)).alias(f"_key{n}") for n in (1, 2)]
+    hashed = cut(fingerprints(docs, shingle, id_col, text_col, keys))
+    order = F.struct(F.col("_id").isNull(), "_id", "_key1", "_key2")
+    least = hashed.groupBy("fp").agg(F.min(order).alias("least"))
+    chosen = components(hashed, bits).join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *keys)
+    met = rows.join(chosen.select("least._key1", "least._key2"), ["_key1", "_key2"])
+    same = Window.partitionBy("_key1", "_key2").orderBy(F.lit(0))
+    return met.withColumn("_n", F.row_number().over(same)).where("_n = 1").select("_row.*")
