@@ -25,16 +25,18 @@ SCALE = 1024
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of whole numbers, as longs."""
+    """Exact inner products of rows of whole numbers: as doubles if these are exact, else as Python numbers."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < 2**53:
-        return (a @ b.T).astype(np.int64)
-    exact = np.array([[int(x) for x in row] for row in a], dtype=object) @ np.array(
-        [[int(x) for x in row] for row in b], dtype=object
-    ).T
-    if any(abs(x) >= 2**63 for x in exact.flat):
+        return a @ b.T
+    x, y = (np.array([[int(c) for c in row] for row in m], dtype=object).reshape(m.shape) for m in (a, b))
+    return x @ y.T
+
+
+def longs(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype == object and any(abs(x) >= 2**63 for x in scores):
         raise ValueError("an inner product does not fit a long")
-    return exact.astype(np.int64)
+    return scores.astype(np.int64)
 
 
 def lowered(bound: np.ndarray) -> np.ndarray:
@@ -102,11 +104,11 @@ def top_products(
                     rows = slice(starts[annulus], ends[annulus])
                     scores = products(whole[near], x[rows])
                     # Beyond 2^53 the bound is rounded; a score that comes near it stays.
-                    hit = (scores >= lowered(least[near])[:, None]) & (own[rows] != ids[near, None])
+                    hit = (scores >= lowered(least[near])[:, None]).astype(bool) & (own[rows] != ids[near, None])
                     at, column = np.nonzero(hit)
                     if not len(at):
                         continue
-                    found = scores[at, column]
+                    found = longs(scores[at, column])
                     out[0].append(near[at])
                     out[1].append(own[rows][column])
                     out[2].append(found)

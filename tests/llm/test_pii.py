@@ -1,0 +1,137 @@
+"""Personal data: the patterns against plain regular expressions, the field on worked documents."""
+
+from __future__ import annotations
+
+import random
+import re
+import time
+
+import numpy as np
+import pytest
+
+from ratewatch.llm import pii
+
+# The patterns as the contract states them, with their checks.
+PLAIN = {
+    0: r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    1: r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    2: r"[0-9]([\x20-]?[0-9])+",
+    3: r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub(r"[^0-9]", "", m.group())
+            total = sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits)))
+            fits = [
+                True,
+                kind == 1 and all(int(p) <= 255 for p in m.group().split(".")),
+                14 <= len(digits) <= 19 and total % 10 == 0,
+                10 <= len(digits) <= 15,
+            ][kind]
+            if fits:
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+def test_patterns():
+    rng = random.Random(0)
+    for signs in ("a1.@-+ 25()9%é0\n", "0123456789 -", "ab.@1", "+12 ().-x", "12.34.5"):
+        for _ in range(1500):
+            text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 60)))
+            assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_very_long_texts_are_scanned_in_linear_time():
+    began = time.time()
+    for text in ("a" * 400_000, "1" * 400_000, "1." * 200_000, "+1 " * 130_000, "a@" * 200_000, "1 " * 200_000, "a@b." * 100_000):
+        pii.base_spans(text)
+        pii.graph([text], [pii.base_spans(text)])
+    assert time.time() - began < 60
+
+
+@pytest.fixture(scope="module")
+def weights():
+    rng = random.Random(3)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = []
+    for i in range(400):
+        words = ["word", f"in {number(4)},", f"no. {number(9)}", f"v{number(2)}.{number(1)}"]
+        words += rng.sample([f"n{i}.{number(2)}@mail{i % 9}.example.com", f"10.{i % 250}.3.4", f"+1 ({number(3)}) 555-{number(4)}"], 1)
+        rng.shuffle(words)
+        texts.append(" text ".join(words))
+    return pii.fit(texts)
+
+
+TEXT = (
+    "Call +1 (743) 555-3824 now, or later 7435553824. Again 743-555-3824!\n"
+    "Order 8837465521 and 446575. Mail joe.smith19@mail5.example.com on 12.05.2024 from 10.0.0.7."
+)
+
+
+def test_the_field_carries_a_label_to_distant_mentions(weights):
+    base, every = (s[0] for s in pii.spans_of([TEXT], weights))
+    assert [TEXT[s:e] for s, _, e in base] == ["+1 (743) 555-3824", "joe.smith19@mail5.example.com", "10.0.0.7"]
+    added = [(TEXT[s:e], pii.KINDS[k]) for s, k, e in every if (s, k, e) not in base]
+    assert added == [("7435553824", "phone"), ("743-555-3824", "phone")]
+
+
+def test_without_the_first_mention_nothing_is_added(weights):
+    text = TEXT.replace("+1 (743) 555-3824", "us")
+    base, every = (s[0] for s in pii.spans_of([text], weights))
+    assert every == base
+
+
+def test_documents_do_not_mix(weights):
+    texts = [TEXT, "", "later 7435553824", TEXT, "no digits"]
+    together = pii.spans_of(texts, weights)[1]
+    assert together == [pii.spans_of([t], weights)[1][0] for t in texts]
+    assert together[2] == []
+
+
+def test_propagation_is_exact_on_a_tree(weights):
+    """On a chain, belief propagation gives the marginals of full enumeration."""
+    g = pii.graph(["10 20 30 40"], [[]])
+    assert len(g.chain) == 3 and not len(g.skip)
+    unary = np.hstack([g.seen, g.shape]) @ weights.unary
+    total = np.zeros((4, 5))
+    for y in np.ndindex(5, 5, 5, 5):
+        score = sum(unary[i, y[i]] for i in range(4)) + sum(weights.chain[a, b] for a, b in zip(y, y[1:], strict=False))
+        for i in range(4):
+            total[i, y[i]] += np.exp(score)
+    want = total / total.sum(axis=1, keepdims=True)
+    assert np.allclose(pii.marginals(g, weights, rounds=60), want, atol=1e-6)
+
+
+ROWS = [(1, TEXT), (2, None), (3, ""), (None, "a@b.cd"), (4, "x 4785380592391139 y"), (4, "x 4785380592391139 y"), (5, "é🙂 a@b.cd")]
+
+
+def test_frame(documents, weights):
+    rows = {(r["doc_id"]): r for r in pii.digests(pii.personal_data(documents(ROWS), weights)).collect()}
+    assert rows[2]["spans"] == rows[3]["spans"] == ""
+    assert rows[None]["spans"] == "email:0:6" and rows[5]["spans"] == "email:3:9"
+    assert (rows[1]["n_email"], rows[1]["n_ip"], rows[1]["n_card"], rows[1]["n_phone"]) == (1, 1, 0, 1)
+    assert (rows[4]["n_card"], rows[4]["spans"]) == (1, "card:2:18")
+    assert rows[1]["spans"].startswith("phone:5:22,phone:")
+
+
+def test_redaction(documents, weights):
+    frame = documents(ROWS)
+    out = pii.redacted(frame, weights)
+    assert out.schema == frame.schema
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert out.count() == len(ROWS) and rows[2]["text"] is None
+    assert rows[4]["text"] == "x [CARD] y" and rows[4]["n_chars"] == 10
+    assert rows[5]["text"] == "é🙂 [EMAIL]"
+    assert "743" not in rows[1]["text"] and "8837465521" in rows[1]["text"]
+    assert pii.replaced("abcdef", [(1, 0, 3), (2, 3, 4), (4, 1, 5)]) == "a[EMAIL][IP]f"
+
+
+def test_fitting_on_the_frame_and_empty_table(documents):
+    rows = pii.personal_data(documents([(i, f"mail a{i}@b.cd of {i}") for i in range(30)])).collect()
+    assert all(len(r["base"]) == 1 for r in rows)
+    assert pii.personal_data(documents([])).count() == 0
+    assert pii.redacted(documents([(1, None)])).count() == 1

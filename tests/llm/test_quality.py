@@ -1,0 +1,115 @@
+"""The quality classifier: word hashing, exact sums, held-out accuracy, degenerate labels."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from ratewatch.llm import quality as Q
+
+
+def test_words_are_runs():
+    texts = [b"", b"ab cd!! ab", b"  ", b" ab", "é½x --- \x0b9".encode(), b"x" * 300 + b" y"]
+    bucket, begin = Q.words(texts)
+    runs = [re.findall(rb"[A-Za-z0-9\x80-\xff]+|[^\sA-Za-z0-9\x80-\xff]+", t) for t in texts]
+    assert np.diff(np.append(begin, len(bucket))).tolist() == [len(r) for r in runs]
+    of: dict = {}
+    for run, b in zip([r for rs in runs for r in rs], bucket.tolist(), strict=True):
+        assert of.setdefault(run, b) == b
+    assert Q.words([])[0].size == 0
+
+
+def test_context_vectors_are_plain_sums(spark, documents):
+    texts = ["a b a c", "b a", "", None, "c"]
+    got = Q.context_vectors(documents(list(enumerate(texts))).repartition(3))
+    places, signs = Q.index_vectors()
+    total = np.zeros((Q.BUCKETS, Q.DIMS))
+    for text in texts:
+        w = Q.words([(text or "").encode()])[0]
+        for i in range(len(w)):
+            for j in (i - 1, i + 1):
+                if 0 <= j < len(w):
+                    np.add.at(total[w[i]], places[w[j]], signs[w[j]])
+    norm = np.linalg.norm(total, axis=1, keepdims=True)
+    assert np.allclose(got, total / np.maximum(norm, 1e-9), atol=1e-6)
+
+
+def test_pooling_does_not_depend_on_neighbouring_texts():
+    rng = np.random.default_rng(0)
+    vectors = rng.normal(size=(Q.BUCKETS, Q.DIMS)).astype(np.float32)
+    texts = [b"", b"one", b"a b c d", b"", b"a a a a a", b"x ! y"]
+    together = Q.pool(*Q.words(texts), vectors)
+    for i, text in enumerate(texts):
+        alone = Q.pool(*Q.words([text]), vectors)[0]
+        assert (together[i] == alone).all()
+    w = Q.words([texts[2]])[0]
+    assert np.allclose(together[2, : Q.DIMS], vectors[w].mean(axis=0), atol=1e-5)
+    assert np.allclose(together[2, Q.DIMS :], (vectors[w][:-1] * vectors[w][1:]).mean(axis=0), atol=1e-5)
+    assert not together[0].any() and not together[1, Q.DIMS :].any()
+
+
+def labelled(prose, count=500):
+    rows, labels = [], []
+    for i in range(count):
+        good = random.Random(i).random() < 0.8
+        text = prose(i, 60)
+        rows.append((i, text if good else re.sub(r" ", "!! ", text).upper()))
+        labels.append((i, int(good)))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark, documents, prose):
+    rows, labels = labelled(prose)
+    frame = spark.createDataFrame([*labels, (3, 7), (None, 1), (99_999, 1)], "doc_id long, quality int")
+    got = Q.qualities(documents([*rows, (None, "x"), (600, None), (601, ""), (3, rows[3][1])]), frame).collect()
+    assert len(got) == len(rows) + 4
+    truth = dict(labels)
+    for r in got:
+        expected = r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1
+        assert r["held_out"] == expected and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    apart = [r for r in got if r["held_out"] and r["doc_id"] in truth]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in apart]) >= 0.97
+    twins = [r["score"] for r in got if r["doc_id"] == 3]
+    assert len(twins) == 2 and twins[0] == twins[1]
+
+
+def test_labels_of_the_held_out_part_do_not_count(spark, documents, prose):
+    rows, labels = labelled(prose, 150)
+    flipped = [(i, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, y in labels]
+    scores = []
+    for given in (labels, flipped):
+        frame = spark.createDataFrame(given, "doc_id long, quality int")
+        scores.append({r["doc_id"]: r["score"] for r in Q.qualities(documents(rows), frame).collect()})
+    assert scores[0] == scores[1]
+
+
+@pytest.mark.parametrize("given,score", [([], 0.5), ([(1, 1), (2, 1)], None)])
+def test_labels_of_one_kind(spark, documents, given, score):
+    frame = spark.createDataFrame(given, "doc_id long, quality int")
+    got = Q.qualities(documents([(0, "a b"), (2, "c"), (3, None)]), frame).collect()
+    assert len({r["score"] for r in got}) == 1 and all(r["predicted"] == 1 for r in got)
+    assert score is None or got[0]["score"] == score
+
+
+def test_the_temperature_calibrates():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(6000, Q.POOLED))
+    p = 1 / (1 + np.exp(-1.5 * x[:, 0]))
+    y = (rng.random(6000) < p).astype(float)
+    net = Q.fit(x[:3000], y[:3000], decay=0)
+
+    def loss(heat):
+        logits = net.logits(x[3000:]) / heat
+        return np.mean(np.logaddexp(0, logits) - y[3000:] * logits)
+
+    # Without decay the network is too sure of itself.
+    assert net.heat > 1.2 and loss(net.heat) < loss(1.0)
+
+
+def test_empty_documents(spark, documents):
+    frame = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert Q.qualities(documents([]), frame).count() == 0

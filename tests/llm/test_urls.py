@@ -1,0 +1,76 @@
+"""URL filters against a plain reading of the rules."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from ratewatch.llm import urls
+from ratewatch.llm.queries import URL_RULES
+
+
+def judge(url, rules, default="allow"):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        path = re.match(r"[^?#]*", rest[len(host) :]).group()
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [
+        (len(h + p), len(h), h + p, v)
+        for h, p, v in rules
+        if h is not None and p is not None and (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    best = max(fits, default=(0, 0, None, default))
+    return host, path, best[2], best[3]
+
+
+AWKWARD = [
+    None, "", "example.net/en/", "http://", "http:///en/", "http://net/", "http://NET/x", "http://a.ExAmple.NET/en/1?x=/de/",
+    "http://example.net", "http://example.net/en", "http://notexample.net/en/", "http://example.com/de/", "x://example.com./de/",
+    "http://fr.org/fr/#t", "http://org/fr/", "http://a.b.c.d.e.f.net/?q", "http://É.net/", "http://example.com:80/de/",
+    "a://b://example.net/en/", "http://example.net?/en/", "http://" + "a." * 5000 + "net/" + "x" * 50_000, "http://.net/", "http://net./",
+]
+
+
+def check(spark, given, rules, **more):
+    pages = spark.createDataFrame([(i, u, "h") for i, u in given], "page_id long, url string, host string")
+    got = urls.filtered(pages, urls.rules_of(spark, rules), **more).collect()
+    want = [(i, *judge(u, rules)) for i, u in given]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+
+
+def test_awkward_urls(spark):
+    check(spark, [*enumerate(AWKWARD), (None, AWKWARD[7]), (3, AWKWARD[3]), (3, AWKWARD[3])], URL_RULES)
+
+
+def random_case(seed):
+    rng = random.Random(seed)
+    label = lambda: rng.choice(["a", "b", "net", "org", "example"])
+    host = lambda most: ".".join(label() for _ in range(rng.randint(1, most)))
+    path = lambda: "".join(rng.choice(["/", "/en/", "e", "/de", "x"]) for _ in range(rng.randint(0, 3)))
+    rules = {(host(3), path()): rng.choice(["allow", "block"]) for _ in range(25)}
+    given = [(i, f"http://{host(5)}{path()}{rng.choice(['', '?q=/', '#/en/'])}") for i in range(300)]
+    return given, [(*k, v) for k, v in rules.items()] + [(None, "/", "block"), ("a", None, "block")]
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_any_rules_by_broadcast_and_by_shuffle(spark, monkeypatch, limit):
+    monkeypatch.setattr(urls, "BROADCAST_RULES", limit)
+    given, rules = random_case(limit)
+    check(spark, given, rules)
+
+
+def test_no_rules_and_no_pages(spark):
+    check(spark, [(1, "http://a/"), (2, None)], [(None, None, "block")])
+    check(spark, [], URL_RULES)
+
+
+def test_no_python_in_the_plan(spark):
+    pages = spark.createDataFrame([(1, "http://a/")], "page_id long, url string")
+    plan = urls.filtered(spark.range(3).selectExpr("id page_id", "string(id) url"), urls.rules_of(spark, URL_RULES))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert pages is not None and not re.search("Python|Arrow|Pandas|ExistingRDD", text)
