@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +24,8 @@ from ratewatch.operators import baseline, classify, counts, daily, digest, links
 from ratewatch.plans.detect import daily as plan_daily  # noqa: E402
 from ratewatch.plans.detect import detect_in  # noqa: E402
 from ratewatch.sinks import files  # noqa: E402
-from ratewatch.sinks.staging import shared_dir, stage  # noqa: E402
 from ratewatch.sources import schemas, testview  # noqa: E402
-from ratewatch.specs import ACCEPTANCE, MetricSpec  # noqa: E402
+from ratewatch.specs import ACCEPTANCE, FRAUD, MetricSpec  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -41,6 +41,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 _CLOCK = Clock.at(testview.AS_OF)
 _DIGEST_CLOCK = Clock.at(testview.DIGEST_AS_OF)
 _MID_DAY_CLOCK = Clock.at(testview.MID_DAY_AS_OF)
+ANY_DROP = (replace(ACCEPTANCE, critical=0.0, gate=0.0),)
+# A second acceptance metric beside the default one, looser.
+TWO_LEVELS = (ACCEPTANCE, replace(ACCEPTANCE, key="ar_loose", label="AR Drift", critical=1.0, gate=100.0), FRAUD)
 _ROUNDED = ("t_stat_alias_global", "t_stat_channel_specific", "ATV")
 
 
@@ -60,11 +63,25 @@ def _anomalies(spark: SparkSession, sf_dir: str, clock: Clock = _CLOCK) -> DataF
 def _stored_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result as the reports see it: written once, then read."""
     tables = testview.tables(spark, sf_dir)
-    return stage(detect_in(plan_daily(tables, _DIGEST_CLOCK), tables, _DIGEST_CLOCK), "anomalies")
+    return _written(spark, detect_in(plan_daily(tables, _DIGEST_CLOCK), tables, _DIGEST_CLOCK))
+
+
+def _awkward_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any drop in acceptance counts, so there are more merchants and channels than the digest lists."""
+    tables = testview.awkward_tables(spark, sf_dir)
+    return _written(spark, detect_in(plan_daily(tables, _DIGEST_CLOCK), tables, _DIGEST_CLOCK, ANY_DROP))
+
+
+def _written(spark: SparkSession, anomalies: DataFrame) -> DataFrame:
+    out_dir = _fresh_dir(spark)
+    files.write_table(anomalies, out_dir, _DIGEST_CLOCK)
+    return files.read_table(spark, out_dir, _DIGEST_CLOCK)
 
 
 def _fresh_dir(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/out-{uuid.uuid4().hex}"
+    """A new folder where the cluster shares files: its checkpoint folder, or its warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared}/ratewatch-out-{uuid.uuid4().hex}"
 
 
 # --- scans and resolution -------------------------------------------------
@@ -125,6 +142,18 @@ def daily_performance_shuffle_joins(spark: SparkSession, sf_dir: str) -> DataFra
     )
 
 
+def daily_by_customer_shuffle_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That way with many merchants; half of the map's rows lack one id."""
+    tables = testview.customer_tables(spark, sf_dir)
+    return _rounded(plan_daily(tables, _CLOCK, max_rows=0), ("captured_amount_sum", "daily_atv"))
+
+
+def daily_performance_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts with text ids against a map with numbers."""
+    rolled = plan_daily(testview.text_id_tables(spark, sf_dir), _CLOCK)
+    return _rounded(rolled, ("captured_amount_sum", "daily_atv"))
+
+
 def _alias_daily(spec: MetricSpec) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         days = daily.merchant_daily(_daily(spark, sf_dir), [spec])
@@ -188,16 +217,10 @@ def severity_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def severity_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many sparse merchants: days without rates, single days, no spread.
-
-    The impact columns are left out: on such short series losses lie exactly
-    halfway between two whole payments, where the oracle's plain rounding
-    depends on the order of its sums. ``tests/test_brute_force.py`` checks them.
-    """
+    """Many sparse merchants: days without rates, single days, no spread, losses exactly halfway."""
     rolled = plan_daily(testview.customer_tables(spark, sf_dir), _CLOCK)
     scored = score.score(rolled, DEFAULT_SPECS, _CLOCK)
-    labelled = classify.classify(scored, DEFAULT_SPECS, keep_all=True)
-    return _rounded(labelled).drop("Total_Volume_Amount_Lost", "Lost_Volume", "ATV")
+    return _rounded(classify.classify(scored, DEFAULT_SPECS, keep_all=True))
 
 
 def baseline_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +229,12 @@ def baseline_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(base, ("t1", "mean", "std", "atv"))
 
 
+def two_levels_of_one_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two metrics over the same ratio, each with its own label and gates."""
+    scored = score.score(_daily(spark, sf_dir, _DIGEST_CLOCK), TWO_LEVELS, _DIGEST_CLOCK)
+    return _rounded(classify.classify(scored, TWO_LEVELS))
+
+
 def anomalies_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_anomalies(spark, sf_dir))
 
@@ -253,6 +282,22 @@ def digest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.digest_messages(_stored_anomalies(spark, sf_dir), _DIGEST_CLOCK)
 
 
+def digest_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both cuts and the overflow line, over awkward names."""
+    return digest.digest_messages(_awkward_anomalies(spark, sf_dir), _DIGEST_CLOCK, critical=0.0)
+
+
+def links_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _awkward_anomalies(spark, sf_dir)
+    return found.select("alias_name", "channel_id", "is_mit", "Link_to_Look")
+
+
+def csv_awkward_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with spaces at their ends, quotes, commas and line breaks, through the CSV."""
+    path = files.write_csv(_awkward_anomalies(spark, sf_dir), _fresh_dir(spark), _DIGEST_CLOCK)
+    return _rounded(files.read_csv(spark, path))
+
+
 def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_dir = _fresh_dir(spark)
     run(testview.tables(spark, sf_dir), out_dir, _DIGEST_CLOCK)
@@ -277,15 +322,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return detect_full(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def own_queries() -> dict[str, Query]:
+    """The queries of the reference's operators; each has an oracle."""
     registered = [
         scan_lookback, resolve_entity_join, resolve_merchant_fallback_join, resolve_account_join,
         resolve_alias_join, duplicate_lookup_keys, daily_performance, daily_performance_mid_day,
-        daily_performance_shuffle_joins, channel_share, lost_impact, severity_all,
-        severity_by_customer, baseline_by_customer, anomalies_union,
+        daily_performance_shuffle_joins, daily_by_customer_shuffle_joins, daily_performance_text_ids, channel_share, lost_impact, severity_all,
+        severity_by_customer, baseline_by_customer, two_levels_of_one_rate, anomalies_union,
         manager_lookup, anomalies_with_manager, anomalies_with_links, detect_full,
         detect_full_more_breaches, counts_by_metric, digest_top_merchants, digest_top_channels,
-        digest_messages, run_table, csv_roundtrip, json_roundtrip,
+        digest_messages, digest_by_customer, links_by_customer, run_table, csv_roundtrip,
+        csv_awkward_roundtrip, json_roundtrip,
     ]
     by_name: dict[str, Query] = {query.__name__: query for query in registered}
     for spec in DEFAULT_SPECS:
@@ -293,10 +340,12 @@ def queries() -> dict[str, Query]:
         by_name[f"alias_baseline_{spec.key}"] = _alias_baseline(spec)
         by_name[f"channel_baseline_{spec.key}"] = _channel_baseline(spec)
         by_name[f"scored_{spec.key}"] = _scored(spec)
-    if corpus:
-        by_name |= corpus.queries() | {"pipeline": corpus_pipeline.run}
     return by_name
 
 
+def queries() -> dict[str, Query]:
+    return own_queries() | (corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {})
+
+
 def oracle_sql() -> dict[str, str]:
     return oracles.oracle_sql() | (corpus.oracle_sql() if corpus else {})

@@ -7,19 +7,20 @@ share from the merchant sums) appears here, so an error in one of them shows.
 
 from __future__ import annotations
 
-from ratewatch.operators.links import (
-    ALIAS_FILTER,
-    CHANNEL_FILTER,
-    DATE_FILTER,
-    DEFAULT_BASE_URL,
-    LINK_LABEL,
-    MIT_FILTER,
-    OPEN_FILTERS,
-)
-from ratewatch.operators.digest import EXPLANATION, KEYCAP, RULE, SUBTITLE, DigestStyle
-from ratewatch.sources.testview import AS_OF, DIGEST_AS_OF, MID_DAY_AS_OF
+AS_OF, DIGEST_AS_OF, MID_DAY_AS_OF = "2024-01-31", "2024-01-21", "2024-02-10T12:00:00"
 
-STYLE = DigestStyle()
+# Fixed values, written out here so that a wrong one in the package shows.
+BASE_URL = "https://dashboards.example.com/payments"
+LINK_LABEL = "🔍 View Channel Data "
+TITLE = "🤖 **Rate Watch** — Acceptance Rate Anomaly Report"
+CHANNEL_LINK = "🔍 Dashboard"
+FOOTER = "_Powered by ratewatch_"
+TARGET = "rate-alerts"
+RULE = "━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━━"
+EXPLANATION = (
+    " merchants** with the highest estimated processing volume impact due to acceptance rate drops"
+    " vs. their historical baseline. Figures represent estimated lost payments and processing volume."
+)
 
 _PAYMENTS = """
 payments AS (
@@ -53,6 +54,25 @@ alias_dim AS (
   FROM region
 ),"""
 
+_AWKWARD = """
+account_map AS (
+  SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS entity_id,
+         CASE WHEN c_custkey % 2 <> 0 THEN c_custkey END AS merchant_account_id,
+         c_nationkey AS account_id
+  FROM customer
+),
+account_dim AS (
+  SELECT n_nationkey AS account_id,
+         CASE WHEN n_nationkey % 3 = 0 THEN ' Shop, ' ELSE 'Shop ' END || n_nationkey
+           || CASE n_nationkey % 4 WHEN 0 THEN ' "A" *' WHEN 1 THEN '~ ' WHEN 2 THEN chr(10) || 'line'
+                ELSE chr(39) || 's é' END AS salesforce_alias
+  FROM nation
+),
+alias_dim AS (
+  SELECT salesforce_alias, account_id AS account_manager_id, 'Manager ' || account_id AS account_manager_name
+  FROM account_dim
+),"""
+
 # Every customer is a merchant of its own.
 _CUSTOMERS = """
 account_map AS (
@@ -86,6 +106,8 @@ resolved AS (
 
 INPUTS = _PAYMENTS + _REGIONAL + _RESOLVED
 CUSTOMER_INPUTS = _PAYMENTS + _CUSTOMERS + _RESOLVED
+_CHANNELS = "CASE WHEN k < 60 THEN 'pc_0' WHEN k < 85 THEN 'pc_1' ELSE 'pc_2' END"
+AWKWARD_INPUTS = _PAYMENTS.replace(_CHANNELS, "'pc ' || (hour(ts) % 9) || ' '") + _AWKWARD + _RESOLVED
 
 
 def _clock(as_of: str) -> str:
@@ -96,14 +118,32 @@ def _yesterday(as_of: str) -> str:
     return f"(CAST({_clock(as_of)} AS DATE) - INTERVAL 1 DAY)"
 
 
-def _detection(as_of: str, inputs: str = INPUTS) -> str:
-    """CTEs from the resolved facts to labelled, enriched anomalies."""
+def _decimal_mean(rate: str) -> str:
+    """An exact mean, by the decimal text of each double, as a correctly rounded double."""
+    total = f"SUM(CAST(CAST({rate} AS VARCHAR) AS DECIMAL(38, 18)))"
+    return f"CAST(CAST({total} AS VARCHAR) AS DOUBLE) / NULLIF(COUNT({rate}), 0)"
+
+
+def _round(value: str, digits: int) -> str:
+    """A double rounded once, half away from zero by its decimal text."""
+    return f"CAST(ROUND(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
+def _detection(as_of: str, inputs: str = INPUTS, critical: float = 2.576, gate: float = 1000, loose: bool = False) -> str:
+    """CTEs from the resolved facts to labelled, enriched anomalies.
+
+    ``critical`` and ``gate`` are those of the acceptance rate; ``loose`` adds a
+    second metric over it.
+    """
     day_before = f"requested_date = {_yesterday(as_of)}"
     metrics = {
         "AR Anomaly": ("accepted_sum", "requested_sum"),
         "Fraud Anomaly": ("fraud_reported_sum", "accepted_sum"),
         "Dispute Anomaly": ("disputed_sum", "accepted_sum"),
     }
+    if loose:
+        metrics["AR Drift"] = metrics["AR Anomaly"]
+        del metrics["Dispute Anomaly"]
     measured = " UNION ALL ".join(
         f"SELECT '{metric}' AS metric, requested_date, alias_name, channel_id, is_mit, daily_atv, "
         f"{part} AS part, {whole} AS whole, CAST({part} AS DOUBLE) / NULLIF({whole}, 0) AS rate FROM daily"
@@ -131,16 +171,17 @@ merchant_days AS (
   FROM measured GROUP BY 1, 2, 3, 4
 ),
 merchants AS (
-  SELECT metric, alias_name, is_mit, MAX(rate) FILTER (WHERE {day_before}) AS t1, AVG(rate) AS mean,
+  SELECT metric, alias_name, is_mit, MAX(rate) FILTER (WHERE {day_before}) AS t1,
+         {_decimal_mean("rate")} AS mean,
          STDDEV_SAMP(rate) AS std, COUNT(DISTINCT requested_date) AS n
   FROM merchant_days GROUP BY 1, 2, 3
 ),
 channels AS (
   SELECT metric, alias_name, channel_id, is_mit, MAX(rate) FILTER (WHERE {day_before}) AS t1,
-         AVG(rate) AS mean, STDDEV_SAMP(rate) AS std, COUNT(DISTINCT requested_date) AS n,
+         {_decimal_mean("rate")} AS mean, STDDEV_SAMP(rate) AS std, COUNT(DISTINCT requested_date) AS n,
          MAX(whole) FILTER (WHERE {day_before}) AS volume,
          MAX(part) FILTER (WHERE {day_before}) AS incidents,
-         CASE WHEN metric = 'AR Anomaly' THEN MAX(daily_atv) FILTER (WHERE {day_before}) END AS atv
+         CASE WHEN metric LIKE 'AR %' THEN MAX(daily_atv) FILTER (WHERE {day_before}) END AS atv
   FROM measured GROUP BY 1, 2, 3, 4
 ),
 scored AS (
@@ -150,13 +191,13 @@ scored AS (
          ROUND(CAST(c.volume AS DOUBLE) /
                NULLIF(SUM(c.volume) OVER (PARTITION BY c.metric, c.alias_name, c.is_mit), 0) * 100, 2)
            AS channel_vol_share_pct,
-         CASE WHEN c.metric = 'AR Anomaly'
-              THEN ROUND(CASE WHEN c.mean > c.t1 THEN c.mean - c.t1 ELSE 0 END * c.volume)
+         CASE WHEN c.metric LIKE 'AR %'
+              THEN {_round("CASE WHEN c.mean > c.t1 THEN c.mean - c.t1 ELSE 0 END * c.volume", 0)}
               ELSE CAST(c.incidents AS DOUBLE) END AS Lost_Volume,
-         CASE WHEN c.metric = 'AR Anomaly'
-              THEN ROUND(CASE WHEN c.mean > c.t1 THEN c.mean - c.t1 ELSE 0 END * c.volume * c.atv, 2)
+         CASE WHEN c.metric LIKE 'AR %'
+              THEN {_round("CASE WHEN c.mean > c.t1 THEN c.mean - c.t1 ELSE 0 END * c.volume * c.atv", 2)}
               END AS Total_Volume_Amount_Lost,
-         CASE WHEN c.metric = 'AR Anomaly' THEN c.atv END AS ATV
+         CASE WHEN c.metric LIKE 'AR %' THEN c.atv END AS ATV
   FROM channels c
   JOIN merchants m ON m.metric = c.metric AND m.alias_name = c.alias_name AND m.is_mit = c.is_mit
   WHERE c.t1 IS NOT NULL
@@ -164,18 +205,21 @@ scored AS (
 judged AS (
   SELECT *,
          CASE WHEN Anomaly_Type = 'AR Anomaly'
-              THEN t_stat_alias_global < -2.576 AND t_stat_channel_specific < -2.576
+              THEN t_stat_alias_global < -{critical} AND t_stat_channel_specific < -{critical}
+              WHEN Anomaly_Type = 'AR Drift'
+              THEN t_stat_alias_global < -1 AND t_stat_channel_specific < -1
               ELSE t_stat_alias_global > 2.576 AND t_stat_channel_specific > 2.576 END AS breach,
-         CASE Anomaly_Type WHEN 'AR Anomaly' THEN Total_Volume_Amount_Lost > 1000
+         CASE Anomaly_Type WHEN 'AR Anomaly' THEN Total_Volume_Amount_Lost > {gate}
+              WHEN 'AR Drift' THEN Total_Volume_Amount_Lost > 100
               WHEN 'Fraud Anomaly' THEN Lost_Volume >= 5 ELSE Lost_Volume >= 3 END AS large,
-         CASE WHEN Anomaly_Type = 'AR Anomaly' THEN 'Outage' ELSE 'Spike' END AS word
+         CASE WHEN Anomaly_Type LIKE 'AR %' THEN 'Outage' ELSE 'Spike' END AS word
   FROM scored
 ),
 labelled AS (
   SELECT *,
          CASE WHEN breach AND channel_vol_share_pct > 50 THEN 'P1: Critical - Primary Channel ' || word
               WHEN breach THEN 'P1: Critical - Global Merchant ' || word
-              WHEN Anomaly_Type = 'AR Anomaly' THEN 'Alert: Significant Degradation'
+              WHEN Anomaly_Type LIKE 'AR %' THEN 'Alert: Significant Degradation'
               ELSE 'Alert: Significant Increase' END AS overall_status
   FROM judged
 ),
@@ -188,9 +232,9 @@ managers AS (
 linked AS (
   SELECT a.*, g.Account_Manager_Name, g.Account_Manager_Email,
          strftime({_clock(as_of)}, '%Y-%m-%d') AS Date_of_Detection,
-         '{DEFAULT_BASE_URL}{MIT_FILTER}' || CASE WHEN is_mit THEN 'Yes' ELSE 'No' END
-           || '{DATE_FILTER}{OPEN_FILTERS}{ALIAS_FILTER}' || url_encode('"' || alias_name || '"')
-           || '{CHANNEL_FILTER}' || url_encode(COALESCE(channel_id, '')) AS url,
+         '{BASE_URL}?mit=' || CASE WHEN is_mit THEN 'Yes' ELSE 'No' END
+           || '&alias=' || url_encode('"' || alias_name || '"')
+           || '&channel=' || url_encode(COALESCE(channel_id, '')) AS url,
          '=HYPERLINK("' || url || '","{LINK_LABEL}' || replace(alias_name, '"', '""') || '")' AS Link_to_Look
   FROM anomalies a LEFT JOIN managers g ON g.salesforce_alias = a.alias_name
 ),
@@ -214,17 +258,18 @@ texts AS (
            || CASE WHEN is_mit THEN 'Yes' ELSE 'No' END || ' | '
            || format('{{:,}}', CAST(trunc(a.lost_payments) AS BIGINT)) || ' payments | **$'
            || format('{{:,}}', CAST(round_even(a.lost_amount, 0) AS BIGINT)) || '** | <' || url
-           || '|{STYLE.link_label}>', chr(10) ORDER BY channel_rank) AS lines
+           || '|{CHANNEL_LINK}>', chr(10) ORDER BY channel_rank) AS lines
   FROM ar a JOIN top t ON t.alias_name = a.alias_name WHERE channel_rank <= 5 GROUP BY 1
 ),
 messages AS (
   SELECT CAST(0 AS INTEGER) AS position,
-         '{STYLE.title}' || chr(10) || '📅 **' || strftime({_clock(as_of)}, '%-d %b %Y') || '**{SUBTITLE}'
+         '{TITLE}' || chr(10) || '📅 **' || strftime({_clock(as_of)}, '%-d %b %Y')
+           || '**  |  Critical value: ±{critical:g}  |  Baseline: 30-day average'
            || chr(10) || chr(10) || 'Flagged **' || merchants || '{EXPLANATION}' AS message
   FROM top WHERE rank = 1
   UNION ALL
   SELECT CAST(rank AS INTEGER),
-         '{RULE}' || chr(10) || chr(10) || '**' || rank || '{KEYCAP}  ' || t.alias_name || '**' || chr(10)
+         '{RULE}' || chr(10) || chr(10) || '**' || rank || '️⃣  ' || t.alias_name || '**' || chr(10)
            || '> 📅 Date of Detection: **' || strftime({_clock(as_of)}, '%-d %b %Y') || '**' || chr(10)
            || '> 🔍 Anomaly Type: **AR Anomaly**' || chr(10)
            || '> 💳 Lost Payments: **' || format('{{:,}}', CAST(trunc(lost_payments) AS BIGINT)) || '**' || chr(10)
@@ -232,7 +277,7 @@ messages AS (
            || '**' || chr(10) || chr(10) || '**Channel Breakdown:**' || chr(10) || lines
            || CASE WHEN channels > 5 THEN chr(10) || '_...' || (channels - 5)
                 || ' more channel(s) — see CSV for full breakdown_' ELSE '' END
-           || CASE WHEN rank = merchants THEN chr(10) || chr(10) || '{RULE}' || chr(10) || '{STYLE.footer}'
+           || CASE WHEN rank = merchants THEN chr(10) || chr(10) || '{RULE}' || chr(10) || '{FOOTER}'
                 ELSE '' END
   FROM top t JOIN texts x ON x.alias_name = t.alias_name
 )"""
@@ -255,8 +300,8 @@ _DAILY = """requested_date, alias_name, channel_id, is_mit, accepted_sum, reques
   fraud_reported_sum, disputed_sum, ROUND(daily_atv, 6) AS daily_atv"""
 
 
-def _from(select: str, as_of: str = AS_OF, inputs: str = INPUTS) -> str:
-    return f"WITH {_detection(as_of, inputs)} {select}"
+def _from(select: str, as_of: str = AS_OF, inputs: str = INPUTS, **gates) -> str:
+    return f"WITH {_detection(as_of, inputs, **gates)} {select}"
 
 
 def _per_metric(metric: str) -> dict[str, str]:
@@ -275,6 +320,11 @@ def _per_metric(metric: str) -> dict[str, str]:
 def oracle_sql() -> dict[str, str]:
     detect = f"SELECT {_RESULT} FROM linked"
     daily = f"SELECT {_DAILY} FROM daily"
+    messages = (
+        "SELECT position, message, CAST(length(message) AS INTEGER) AS length, "
+        "length(message) <= 5000 AS fits FROM messages"
+    )
+    any_drop = {"critical": 0.0, "gate": 0.0}
     sql = {
         "scan_lookback": f"""WITH {INPUTS}
             SELECT CAST(requested_at AS DATE) AS requested_date, entity_id, merchant_account_id, {_FACT}
@@ -299,10 +349,17 @@ def oracle_sql() -> dict[str, str]:
             "FROM scored WHERE Anomaly_Type = 'AR Anomaly'"
         ),
         "severity_all": _from(f"SELECT {_ANOMALY} FROM labelled"),
-        "severity_by_customer": _from(
-            f"""SELECT Anomaly_Type, overall_status, alias_name, channel_id, is_mit, {_STATISTICS},
-            channel_vol_share_pct FROM labelled""",
-            inputs=CUSTOMER_INPUTS,
+        "severity_by_customer": _from(f"SELECT {_ANOMALY} FROM labelled", inputs=CUSTOMER_INPUTS),
+        "daily_by_customer_shuffle_joins": _from(daily, inputs=CUSTOMER_INPUTS),
+        "daily_performance_text_ids": _from(daily),
+        "two_levels_of_one_rate": _from(f"SELECT {_ANOMALY} FROM anomalies", DIGEST_AS_OF, loose=True),
+        "digest_by_customer": _from(messages, DIGEST_AS_OF, AWKWARD_INPUTS, **any_drop),
+        "links_by_customer": _from(
+            "SELECT alias_name, channel_id, is_mit, Link_to_Look FROM linked WHERE Anomaly_Type = 'AR Anomaly'",
+            DIGEST_AS_OF, AWKWARD_INPUTS, **any_drop,
+        ),
+        "csv_awkward_roundtrip": _from(
+            f"{detect} WHERE Anomaly_Type = 'AR Anomaly'", DIGEST_AS_OF, AWKWARD_INPUTS, **any_drop
         ),
         "baseline_by_customer": _from(
             f"SELECT metric AS Anomaly_Type, alias_name, channel_id, is_mit, {_BASELINE}, volume, incidents, "
@@ -336,14 +393,10 @@ def oracle_sql() -> dict[str, str]:
             FROM ar a JOIN top t ON t.alias_name = a.alias_name WHERE channel_rank <= 5""",
             DIGEST_AS_OF,
         ),
-        "digest_messages": _from(
-            "SELECT position, message, CAST(length(message) AS INTEGER) AS length, "
-            "length(message) <= 5000 AS fits FROM messages",
-            DIGEST_AS_OF,
-        ),
+        "digest_messages": _from(messages, DIGEST_AS_OF),
         "csv_roundtrip": _from(detect, DIGEST_AS_OF),
         "json_roundtrip": _from(
-            f"""SELECT '{STYLE.target}' AS channel_id, STRING_AGG(message, chr(10) ORDER BY position) AS messages,
+            f"""SELECT '{TARGET}' AS channel_id, STRING_AGG(message, chr(10) ORDER BY position) AS messages,
             '{DIGEST_AS_OF}' AS today FROM messages HAVING COUNT(*) > 0""",
             DIGEST_AS_OF,
         ),

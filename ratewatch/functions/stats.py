@@ -34,20 +34,19 @@ def average_value(amount: str, count: str) -> str:
     return ratio(f"coalesce({amount}, 0)", count)
 
 
-def _round_settled(value: str, digits: int) -> str:
-    """``value`` rounded half away from zero, alike in every run.
+def mean(value: str) -> str:
+    """The mean of doubles, the same to the last bit in whatever order they come.
 
-    The order in which a mean's values are summed shows in its last bits and
-    would decide values that lie exactly halfway. Rounding that noise off first
-    leaves them halfway.
+    Decimal sums are exact, and 18 digits hold a rate's. The order of a sum of
+    doubles would decide which way losses that lie exactly halfway are rounded.
     """
-    return f"round(round({value}, 9), {digits})"
+    return ratio(f"cast(sum(cast({value} AS decimal(38, 18))) AS double)", f"count({value})")
 
 
 def lost_units(mean: str, value: str, volume: str) -> str:
-    return _round_settled(f"{clamp_at_zero(f'({mean} - {value})')} * {volume}", 0)
+    return f"round({clamp_at_zero(f'({mean} - {value})')} * {volume}, 0)"
 
 
 def lost_amount(mean: str, value: str, volume: str, unit_value: str) -> str:
     """Money lost, from the unrounded loss."""
-    return _round_settled(f"{clamp_at_zero(f'({mean} - {value})')} * {volume} * {unit_value}", 2)
+    return f"round({clamp_at_zero(f'({mean} - {value})')} * {volume} * {unit_value}, 2)"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
-from ratewatch.functions.stats import average_value
+from ratewatch.functions.stats import average_value, mean
 from ratewatch.functions.text import quoted
 from ratewatch.operators.daily import CHANNEL_KEYS, MERCHANT_KEYS, SUMS, merchant_daily
 from ratewatch.specs import MetricSpec
@@ -39,7 +39,7 @@ def _baseline(
     for name, value in on_yesterday.items():
         aggregates.append(f"max(CASE WHEN requested_date = DATE'{clock.yesterday}' THEN {value} END) AS {name}")
     for spec in specs:
-        aggregates.append(f"avg({spec.rate()}) AS {spec.key}_mean")
+        aggregates.append(f"{mean(spec.rate())} AS {spec.key}_mean")
         aggregates.append(f"stddev_samp({spec.rate()}) AS {spec.key}_std")
     return days.groupBy(*keys).agg(*map(F.expr, aggregates))
 

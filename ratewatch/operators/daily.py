@@ -61,8 +61,7 @@ def lookback(
         F.col("is_merchant_initiated").alias("is_mit"),
         "accepted_payments",
         "requested_payments",
-        # Money may be stored as a decimal; rates and impacts are doubles.
-        F.col("captured_amount_usd").cast("double").alias("captured_amount_usd"),
+        "captured_amount_usd",
         "captured_payments",
         "fraud_reported_payments",
         "disputed_payments",
@@ -99,7 +98,8 @@ def roll_up_days(resolved: DataFrame) -> DataFrame:
     """Daily sums of resolved facts."""
     sums = []
     for measure, name in MEASURES.items():
-        total = f"sum({measure})"
+        # Money is summed as it is stored, exactly if that is a decimal; rates and impacts are doubles.
+        total = f"cast(sum({measure}) AS double)" if measure == "captured_amount_usd" else f"sum({measure})"
         sums.append(f"coalesce({total}, 0) AS {name}" if name in ZERO_WHEN_ABSENT else f"{total} AS {name}")
     daily = resolved.groupBy("requested_date", *CHANNEL_KEYS).agg(*map(F.expr, sums))
     return daily.selectExpr("*", f"{average_value('captured_amount_sum', 'captured_sum')} AS daily_atv")

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
 from ratewatch.functions.text import blank_if_null, dollars, quoted, whole, yes_no
+from ratewatch.operators.daily import LOOKBACK_DAYS
 from ratewatch.operators.links import linked_url
-from ratewatch.specs import ACCEPTANCE
+from ratewatch.specs import ACCEPTANCE, CRITICAL_VALUE
 
 TOP_MERCHANTS = 5
 TOP_CHANNELS = 5
@@ -23,7 +24,7 @@ MESSAGE_LIMIT = 5000
 # The digest's line formats.
 RULE = "━" * 40
 KEYCAP = "️⃣"
-SUBTITLE = "  |  Confidence Threshold: 99%  |  Baseline: 15-day rolling average"
+SUBTITLE = "  |  Critical value: ±{critical:g}  |  Baseline: {days}-day average"
 EXPLANATION = (
     " merchants** with the highest estimated processing volume impact due to acceptance rate drops"
     " vs. their historical baseline. Figures represent estimated lost payments and processing volume."
@@ -120,10 +121,10 @@ def _channel_line(style: DigestStyle) -> str:
     )
 
 
-def _header(date_text: str, style: DigestStyle) -> str:
+def _header(date_text: str, subtitle: str, style: DigestStyle) -> str:
     return _lines(
         quoted(style.title),
-        quoted(f"📅 **{date_text}**{SUBTITLE}"),
+        quoted(f"📅 **{date_text}**{subtitle}"),
         "''",
         _text(quoted("Flagged **"), "merchants", quoted(EXPLANATION)),
     )
@@ -134,7 +135,8 @@ def _block(date_text: str, metric: str, style: DigestStyle) -> str:
     return _lines(
         quoted(RULE),
         "''",
-        _text(quoted("**"), "rank", quoted(f"{KEYCAP}  "), "alias_name", quoted("**")),
+        # A keycap makes one sign of one digit; longer numbers get a point.
+        _text(quoted("**"), "rank", f"if(rank < 10, '{KEYCAP}', '.')", quoted("  "), "alias_name", quoted("**")),
         quoted(f"> 📅 Date of Detection: **{date_text}**"),
         quoted(f"> 🔍 Anomaly Type: **{metric}**"),
         _text(quoted("> 💳 Lost Payments: **"), whole("lost_payments"), quoted("**")),
@@ -154,11 +156,14 @@ def digest_messages(
     channels: int = TOP_CHANNELS,
     style: DigestStyle | None = None,
     metric: str = ACCEPTANCE.label,
+    lookback_days: int = LOOKBACK_DAYS,
+    critical: float = CRITICAL_VALUE,
 ) -> DataFrame:
     """(position, message, length, fits): a header, then one message per ranked merchant.
 
     Empty when the metric has no rows. ``fits`` tells whether the message stays
-    within the length that chat tools accept.
+    within the length that chat tools accept. ``lookback_days`` and ``critical``
+    are what the detection used; the header states them.
     """
     style = style or DigestStyle()
     merchants = top_merchants(anomalies, top, metric)
@@ -169,7 +174,8 @@ def digest_messages(
     blocks = merchants.join(lines, "alias_name").selectExpr("*", "ranked.line AS lines")
 
     date_text = f"{clock.today.day} {clock.today:%b %Y}"
-    header = f"struct(0 AS position, {_header(date_text, style)} AS message)"
+    subtitle = SUBTITLE.format(critical=critical, days=lookback_days)
+    header = f"struct(0 AS position, {_header(date_text, subtitle, style)} AS message)"
     block = f"struct(rank AS position, {_block(date_text, metric, style)} AS message)"
     messages = blocks.selectExpr(f"inline(if(rank = 1, array({header}, {block}), array({block})))")
     return messages.selectExpr(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from ratewatch.clock import Clock
@@ -9,27 +11,31 @@ from ratewatch.functions.text import blank_if_null, percent_encode, quoted, yes_
 
 DEFAULT_BASE_URL = "https://dashboards.example.com/payments"
 
-# The dashboard's filter names, percent-encoded, and the link label.
-MIT_FILTER = "?Is%20Merchant%20Initiated%20(Yes%20%2F%20No)="
-DATE_FILTER = "&Requested%20Date=15%20days"
-OPEN_FILTERS = "&MCC%20Used%20Payment%20Level=&Account%20Manager%20Name%20(Salesforce)="
-ALIAS_FILTER = "&Alias="
-CHANNEL_FILTER = "&Processing%20Channel%20ID="
-LINK_LABEL = "🔍 View Channel Data "
+
+@dataclass(frozen=True)
+class LinkStyle:
+    """The dashboard's filter names, percent-encoded where need be, and the link label."""
+
+    mit_filter: str = "mit"
+    alias_filter: str = "alias"
+    channel_filter: str = "channel"
+    #: Further filters that every link carries, such as ``&days=30``.
+    fixed_filters: str = ""
+    label: str = "🔍 View Channel Data "
 
 
-def drill_down_url(alias: str, channel: str, is_mit: str, base_url: str) -> str:
+def drill_down_url(alias: str, channel: str, is_mit: str, base_url: str, style: LinkStyle) -> str:
     """Dashboard URL for one merchant, MIT flag and channel.
 
     The alias is wrapped in double quotes, so a comma in it is not read as two values.
     """
     quoted_alias = f"concat('\"', {blank_if_null(alias)}, '\"')"
     parts = [
-        quoted(base_url + MIT_FILTER),
+        quoted(f"{base_url}?{style.mit_filter}="),
         yes_no(is_mit),
-        quoted(DATE_FILTER + OPEN_FILTERS + ALIAS_FILTER),
+        quoted(f"{style.fixed_filters}&{style.alias_filter}="),
         percent_encode(quoted_alias),
-        quoted(CHANNEL_FILTER),
+        quoted(f"&{style.channel_filter}="),
         percent_encode(blank_if_null(channel)),
     ]
     return f"concat({', '.join(parts)})"
@@ -47,10 +53,13 @@ def linked_url(formula: str) -> str:
     return f"regexp_extract({formula}, {pattern}, 1)"
 
 
-def with_links(anomalies: DataFrame, clock: Clock, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
+def with_links(
+    anomalies: DataFrame, clock: Clock, base_url: str = DEFAULT_BASE_URL, style: LinkStyle | None = None
+) -> DataFrame:
     """Adds ``Date_of_Detection`` and ``Link_to_Look``."""
-    url = drill_down_url("alias_name", "channel_id", "is_mit", base_url)
-    label = f"concat({quoted(LINK_LABEL)}, {blank_if_null('alias_name')})"
+    style = style or LinkStyle()
+    url = drill_down_url("alias_name", "channel_id", "is_mit", base_url, style)
+    label = f"concat({quoted(style.label)}, {blank_if_null('alias_name')})"
     return anomalies.selectExpr(
         "*",
         f"'{clock.today}' AS Date_of_Detection",

@@ -22,20 +22,45 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ID_KEYS = ("entity_id", "merchant_account_id")
 
 
-def join_entity(facts: DataFrame, account_map: DataFrame) -> DataFrame:
+# Parts that rows without a key are dealt to in a shuffle join.
+NULL_PARTS = 4096
+
+
+def left_join(facts: DataFrame, lookup: DataFrame, key: str, spread: bool = False) -> DataFrame:
+    """A left join on ``key``, as text where the two sides store it in different types.
+
+    A NULL key finds nothing, but in a shuffle all rows without a key would
+    still go to one task. With ``spread`` they get a text key of their own
+    instead, one of ``NULL_PARTS`` by a hash of the row, which no lookup holds,
+    and so are dealt out evenly.
+    """
+    same_type = facts.schema[key].dataType == lookup.schema[key].dataType
+    if same_type and not spread:
+        return facts.join(lookup, key, "left")
+    text = F.col(key).cast("string")
+    if spread:
+        others = [F.col(name) for name in facts.columns if name != key]
+        part = F.pmod(F.xxhash64(*others), F.lit(NULL_PARTS)).cast("string")
+        # A NUL character keeps these keys apart from any id.
+        text = F.coalesce(text, F.concat(F.lit("\0"), part))
+    known = lookup.withColumn("_key", F.col(key).cast("string")).where(~F.col("_key").startswith("\0")).drop(key)
+    return facts.withColumn("_key", text).join(known, "_key", "left").drop("_key")
+
+
+def join_entity(facts: DataFrame, account_map: DataFrame, spread: bool = False) -> DataFrame:
     """Adds ``entity_account_id``: the account mapped to the fact's entity, or NULL."""
-    return facts.join(_by_entity(account_map), "entity_id", "left")
+    return left_join(facts, _by_entity(account_map), "entity_id", spread)
 
 
-def join_merchant_account(facts: DataFrame, account_map: DataFrame) -> DataFrame:
+def join_merchant_account(facts: DataFrame, account_map: DataFrame, spread: bool = False) -> DataFrame:
     """Adds ``merchant_account_ref``: the account mapped to the merchant account, or NULL."""
-    return facts.join(_by_merchant_account(account_map), "merchant_account_id", "left")
+    return left_join(facts, _by_merchant_account(account_map), "merchant_account_id", spread)
 
 
-def join_account(facts: DataFrame, accounts: DataFrame) -> DataFrame:
+def join_account(facts: DataFrame, accounts: DataFrame, spread: bool = False) -> DataFrame:
     """Joins account attributes on the entity's account, else the merchant account's."""
     resolved = facts.withColumn("account_id", F.coalesce("entity_account_id", "merchant_account_ref"))
-    return resolved.join(accounts, "account_id", "left")
+    return left_join(resolved, accounts, "account_id", spread)
 
 
 def accounts_with_alias(account_dim: DataFrame, alias_dim: DataFrame) -> DataFrame:
@@ -86,9 +111,11 @@ class Lookups:
 
     def resolve(self, facts: DataFrame) -> DataFrame:
         """Adds ``alias_name``; NULL when the merchant cannot be resolved."""
-        mapped = join_merchant_account(join_entity(facts, self.account_map), self.account_map)
+        spread = not self.small
+        mapped = join_entity(facts, self.account_map, spread)
+        mapped = join_merchant_account(mapped, self.account_map, spread)
         dropped = ("account_id", "entity_account_id", "merchant_account_ref")
-        return join_account(mapped, self.accounts).drop(*dropped)
+        return join_account(mapped, self.accounts, spread).drop(*dropped)
 
 
 def all_within(frames: list[DataFrame], max_rows: int, max_bytes: int) -> bool:

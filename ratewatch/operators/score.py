@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ratewatch.clock import Clock
 from ratewatch.functions.stats import lost_amount, lost_units, share_pct, t_stat
 from ratewatch.operators.baseline import channel_baseline, merchant_baseline
-from ratewatch.specs import MetricSpec, by_metric
+from ratewatch.specs import MetricSpec, by_metric, require_distinct
 
 
 def score_merchants(
@@ -60,6 +60,7 @@ def score(
     as one more daily sum, so no window has to gather all channels of a
     merchant in one task.
     """
+    require_distinct(specs)
     merchants = score_merchants(merchant_baseline(daily, specs, clock), specs, min_std)
     channels = score_channels(channel_baseline(daily, specs, clock), specs, min_std)
     joined = channels.join(merchants, ["Anomaly_Type", "alias_name", "is_mit"], "inner")

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from ratewatch.clock import Clock
 from ratewatch.operators.counts import counts_by_metric
 from ratewatch.operators.daily import LOOKBACK_DAYS
-from ratewatch.operators.digest import DigestStyle, digest_document, digest_messages
-from ratewatch.operators.links import DEFAULT_BASE_URL
+from ratewatch.operators.digest import TOP_CHANNELS, TOP_MERCHANTS, DigestStyle, digest_document, digest_messages
+from ratewatch.operators.links import DEFAULT_BASE_URL, LinkStyle
+from ratewatch.operators.resolve import BROADCAST_BYTES, BROADCAST_ROWS
 from ratewatch.plans.detect import daily, detect_in
-from ratewatch.sinks.files import read_table, write_csv, write_digest, write_table
-from ratewatch.sinks.staging import stage
+from ratewatch.sinks.files import read_table, remove, write_csv, write_digest, write_table
 from ratewatch.sources.tables import Tables
-from ratewatch.specs import DEFAULT_SPECS, MetricSpec
+from ratewatch.specs import ACCEPTANCE, DEFAULT_SPECS, MetricSpec
 
 
 @dataclass(frozen=True)
@@ -37,19 +37,38 @@ def run(
     base_url: str = DEFAULT_BASE_URL,
     style: DigestStyle | None = None,
     day_column: str | None = None,
+    upto: datetime | None = None,
+    min_std: float | None = None,
+    top: int = TOP_MERCHANTS,
+    channels: int = TOP_CHANNELS,
+    metric: str = ACCEPTANCE.label,
+    link_style: LinkStyle | None = None,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> RunResult:
     """Run one day and write the result table, the CSV and, if anything dropped, the digest.
 
-    The daily roll-up is staged: it is far smaller than the facts, and once it
-    is written no failure later in the run reads the facts again. The reports
-    read the written result, not the plan.
+    The daily roll-up is staged below the output folder: it is far smaller than
+    the facts, and once it is written no failure later in the run reads the
+    facts again. The reports read the written result, not the plan. A rerun
+    replaces the day's staged roll-up, and the end of the run removes it.
+
+    ``upto`` bounds the facts, so that a past day run again gives what it gave
+    then. ``top``, ``channels`` and ``metric`` shape the digest; ``max_rows``
+    and ``max_bytes`` bound the lookups that may be broadcast.
     """
     clock = Clock.at(as_of)
     spark = tables.payments.sparkSession
-    rolled = stage(daily(tables, clock, lookback_days, day_column=day_column), "daily")
-    table_path = write_table(detect_in(rolled, tables, clock, specs, base_url), out_dir, clock)
+    plan = daily(tables, clock, lookback_days, upto, day_column, max_rows, max_bytes)
+    staged = f"{out_dir}/_staging/{clock.today.isoformat()}"
+    plan.write.mode("overwrite").parquet(staged)
+    rolled = spark.read.schema(plan.schema).parquet(staged)
+    found = detect_in(rolled, tables, clock, specs, base_url, min_std, link_style)
+    table_path = write_table(found, out_dir, clock)
+    remove(spark, staged)
     anomalies = read_table(spark, out_dir, clock)
-    messages = digest_messages(anomalies, clock, style=style)
+    critical = next((spec.critical for spec in specs if spec.label == metric), ACCEPTANCE.critical)
+    messages = digest_messages(anomalies, clock, top, channels, style, metric, lookback_days, critical)
     return RunResult(
         table_path=table_path,
         csv_path=write_csv(anomalies, out_dir, clock),

@@ -1 +1 @@
-"""Outputs: dated table, CSV, JSON, and staging between jobs."""
+"""Outputs: dated table, CSV, JSON."""

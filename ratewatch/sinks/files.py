@@ -13,7 +13,14 @@ from ratewatch.sources.schemas import ANOMALIES, COLUMN_ORDER
 CSV_NAME = "AnomalyFile_{today}.csv"
 DIGEST_NAME = "digest_{today}.json"
 
-_CSV_OPTIONS = {"header": True, "escape": '"', "emptyValue": ""}
+# Texts keep the spaces at their ends.
+_CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def table_path(out_dir: str, clock: Clock) -> str:
@@ -58,9 +65,19 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_digest(document: DataFrame, out_dir: str, clock: Clock) -> str | None:
-    """Replace the day's digest; writes nothing and returns None when there is no document."""
-    if document.isEmpty():
-        return None
+    """Replace the day's digest; without a document the day has none, and the result is None.
+
+    The plan runs once: what it wrote tells whether there was a document.
+    """
     path = f"{out_dir}/{DIGEST_NAME.format(today=clock.today.isoformat())}"
     document.write.mode("overwrite").json(path)
+    if document.sparkSession.read.schema(document.schema).json(path).isEmpty():
+        remove(document.sparkSession, path)
+        return None
     return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

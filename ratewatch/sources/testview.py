@@ -121,3 +121,38 @@ def customer_tables(spark: SparkSession, sf_dir: str) -> Tables:
             F.concat(F.lit("Manager "), F.col("c_nationkey")).alias("account_manager_name"),
         ),
     )
+
+
+def text_id_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The regional tables with text entity ids in the facts, which the map stores as numbers."""
+    regional = tables(spark, sf_dir)
+    return replace(regional, payments=regional.payments.withColumn("entity_id", F.col("entity_id").cast("string")))
+
+
+def awkward_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Many merchants of many channels, with spaces, commas, quotes, stars, tildes and line breaks in their names."""
+    regional = tables(spark, sf_dir)
+    customer, nation = _read(spark, sf_dir, "customer"), _read(spark, sf_dir, "nation")
+    number = F.col("n_nationkey")
+    alias = F.concat(
+        F.when(number % 3 == 0, " Shop, ").otherwise("Shop "), number.cast("string"),
+        F.when(number % 4 == 0, ' "A" *').when(number % 4 == 1, "~ ").when(number % 4 == 2, "\nline").otherwise("'s é"),
+    )
+    named = nation.select(number, alias.alias("alias"))
+    channel = F.concat(F.lit("pc "), (F.hour("requested_at") % 9).cast("string"), F.lit(" "))
+    even = F.col("c_custkey") % 2 == 0
+    return replace(
+        regional,
+        payments=regional.payments.withColumn("processing_channel_id", channel),
+        account_map=customer.select(
+            F.when(even, F.col("c_custkey")).alias("entity_id"),
+            F.when(~even, F.col("c_custkey")).alias("merchant_account_id"),
+            F.col("c_nationkey").alias("account_id"),
+        ),
+        account_dim=named.select(number.alias("account_id"), F.col("alias").alias("salesforce_alias")),
+        alias_dim=named.select(
+            F.col("alias").alias("salesforce_alias"),
+            number.alias("account_manager_id"),
+            F.concat(F.lit("Manager "), number).alias("account_manager_name"),
+        ),
+    )

@@ -94,6 +94,14 @@ DISPUTE = MetricSpec(
 DEFAULT_SPECS: tuple[MetricSpec, ...] = (ACCEPTANCE, FRAUD, DISPUTE)
 
 
+def require_distinct(specs: Sequence[MetricSpec]) -> None:
+    """Fail while the plan is built when two specs would share columns or rows."""
+    for name in ("key", "label"):
+        values = [getattr(spec, name) for spec in specs]
+        if len(set(values)) < len(values):
+            raise ValueError(f"specs need a {name} each, not {values}")
+
+
 def by_metric(specs: Sequence[MetricSpec], value: Callable[[MetricSpec], str]) -> str:
     """``value(spec)`` for the spec named by each row's ``Anomaly_Type``."""
     cases = " ".join(f"WHEN {quoted(spec.label)} THEN {value(spec)}" for spec in specs)

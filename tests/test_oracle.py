@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+import oracles
 
 SF_DIR = "/root/testdata/sf0.01"
 TABLES = (
@@ -24,17 +25,17 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert driver.own_queries().keys() == oracles.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.own_queries()))
 def test_query(spark, oracle, name):
     frame = driver.queries()[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     rows = [tuple(row) for row in frame.select(*columns).collect()]
-    relation = oracle.sql(driver.oracle_sql()[name])
+    relation = oracle.sql(oracles.oracle_sql()[name])
     assert sorted(relation.columns) == columns
-    expected = oracle.sql(f"SELECT {', '.join(columns)} FROM ({driver.oracle_sql()[name]})").fetchall()
+    expected = oracle.sql(f"SELECT {', '.join(columns)} FROM ({oracles.oracle_sql()[name]})").fetchall()
     assert rows
     assert sorted(map(repr, rows)) == sorted(map(repr, expected))
 
