@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 import pytest
 import shop
 
-from ratewatch import DEFAULT_SPECS, Clock, detect
+from ratewatch import ACCEPTANCE, DEFAULT_SPECS, Clock, detect
 from ratewatch.operators.classify import classify
 from ratewatch.operators.daily import daily_performance
+from ratewatch.operators.links import LinkStyle
 from ratewatch.operators.resolve import Lookups
 from ratewatch.operators.score import score
 from ratewatch.plans.detect import daily, detect_in
@@ -144,11 +146,11 @@ def test_resolution_prefers_the_entity(flagged):
 def test_links_and_managers(flagged):
     by_alias = {r.alias_name: r for r in flagged}
     link = by_alias[shop.TRICKY_ALIAS].Link_to_Look
-    assert "&Alias=%22Shop%20%22A%22%2C%20Inc.%22&" in link
+    assert "&alias=%22Shop%20%22A%22%2C%20Inc.%22&" in link
     assert link.endswith('View Channel Data Shop ""A"", Inc.")')
-    assert "(Yes%20%2F%20No)=No&Requested%20Date=15%20days&" in link
-    assert by_alias["NullChannel"].Link_to_Look.split('","')[0].endswith("&Processing%20Channel%20ID=")
-    assert "(Yes%20%2F%20No)=Yes&" in by_alias["Mixed"].Link_to_Look
+    assert "?mit=No&alias=" in link
+    assert by_alias["NullChannel"].Link_to_Look.split('","')[0].endswith("&channel=")
+    assert "?mit=Yes&" in by_alias["Mixed"].Link_to_Look
     assert by_alias["Drop"].Account_Manager_Name == "Manager of Drop"
     assert by_alias["Drop"].Account_Manager_Email.endswith("@example.com")
     assert {r.Date_of_Detection for r in flagged} == {"2024-01-31"}
@@ -194,3 +196,46 @@ def test_shuffle_joins_give_the_same_rows(tables, flagged):
 def _comparable(rows):
     texts = [tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in rows]
     return sorted(texts, key=repr)
+
+
+def test_link_names_are_the_installation_s(tables):
+    style = LinkStyle(mit_filter="m", alias_filter="who", channel_filter="c", fixed_filters="&days=30", label="Open ")
+    links = {r.alias_name: r.Link_to_Look for r in detect(tables, shop.AS_OF, link_style=style).collect()}
+    assert "/payments?m=No&days=30&who=%22Drop%22&c=pc\",\"Open Drop\")" in links["Drop"]
+
+
+def test_specs_need_keys_and_labels_of_their_own(spark):
+    loose = replace(ACCEPTANCE, critical=1.0, gate=1.0)
+    for twin in (replace(loose, key="ar2"), replace(loose, label="Other")):
+        with pytest.raises(ValueError, match="each"):
+            detect(shop.tables(spark), shop.AS_OF, [ACCEPTANCE, twin])
+    other = replace(loose, key="ar2", label="Other")
+    both = detect(shop.tables(spark), shop.AS_OF, [ACCEPTANCE, other]).groupBy("Anomaly_Type").count().collect()
+    alone = {spec.label: detect(shop.tables(spark), shop.AS_OF, [spec]).count() for spec in (ACCEPTANCE, other)}
+    assert {r["Anomaly_Type"]: r["count"] for r in both} == alone
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(20,2)"])
+def test_losses_do_not_depend_on_partitions(spark, kind):
+    """Near 1e9, where a double has few digits left behind the point."""
+    accepted = [899_999, 900_001, 900_003, 900_007, 900_011, 499_999]
+    rows = [
+        shop.row("Drop", len(accepted) - i, channel=f"pc_{c}", requested=1_000_000, accepted=a - c, captured=499_999,
+                 amount=1_234_567_890.25 + c, hour=h)
+        for i, a in enumerate(accepted) for c in range(2) for h in range(3)
+    ]
+    results = []
+    for parts in (1, 7, 64):
+        given = shop.tables(spark, rows)
+        payments = given.payments.withColumn("captured_amount_usd", given.payments.captured_amount_usd.cast(kind))
+        found = detect(replace(given, payments=payments.repartition(parts)), shop.AS_OF).collect()
+        results.append(sorted((r.channel_id, r.Lost_Volume, r.Total_Volume_Amount_Lost) for r in found))
+    assert len(results[0]) == 2 and results[0] == results[1] == results[2]
+    assert results[0][0][2] > 1e9
+
+
+def test_a_loss_just_below_a_half_is_none(spark):
+    from ratewatch.functions.stats import lost_units
+
+    row = spark.sql(f"SELECT {lost_units('0.4999999996D', '0D', '1')} AS low, {lost_units('0.5D', '0D', '1')} AS half").first()
+    assert (row.low, row.half) == (0.0, 1.0)

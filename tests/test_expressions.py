@@ -8,6 +8,7 @@ from urllib.parse import quote
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ratewatch import Clock
 from ratewatch.functions import stats, text
@@ -77,15 +78,13 @@ def test_rounding_is_half_away_from_zero(spark):
     assert lost == [0.0, 0.0, 3.0]
 
 
-def test_halfway_losses_do_not_depend_on_summation_noise(spark):
-    noisy = [(0.75 + noise, 0.0, 2.0) for noise in (-2e-16, 0.0, 2e-16)]
-    lost = stats.lost_units("m", "v", "n")
-    assert evaluate(spark, lost, noisy, "m double, v double, n double") == [2.0, 2.0, 2.0]
-    near = [(0.74999999, 0.0, 2.0), (0.75000001, 0.0, 2.0)]
-    assert evaluate(spark, lost, near, "m double, v double, n double") == [1.0, 2.0]
-    amount = stats.lost_amount("m", "v", "n", "1.0D")
-    cents = [(0.0025 + noise, 0.0, 2.0) for noise in (-4e-19, 0.0, 4e-19)]
-    assert evaluate(spark, amount, cents, "m double, v double, n double") == [0.01, 0.01, 0.01]
+def test_means_do_not_depend_on_the_order_of_their_values(spark):
+    values = [1 / 3, 0.1, 1e-9, 0.7, 1.0, 0.30000000000000004, 2 / 7] * 9
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    orders = [frame.repartition(n).sortWithinPartitions(F.rand(n)) for n in (1, 3, 16)]
+    means = {f.selectExpr(f"{stats.mean('x')} AS m").first().m for f in orders}
+    assert len(means) == 1 and abs(means.pop() - sum(values) / len(values)) < 1e-15
+    assert spark.sql(f"SELECT {stats.mean('x')} AS m FROM VALUES (CAST(NULL AS double)) AS t(x)").first().m is None
 
 
 def test_linked_url(spark):

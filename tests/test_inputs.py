@@ -99,3 +99,17 @@ def test_unique_lookups_pass_the_check(spark):
     alias_dim = shop.tables(spark).alias_dim
     schemas.assert_unique(alias_dim, ["salesforce_alias"], "alias_dim")
     assert schemas.duplicate_keys(alias_dim, ["salesforce_alias"]).count() == 0
+
+
+def test_text_ids_meet_numbers(spark):
+    from ratewatch.operators.resolve import Lookups
+
+    facts = spark.createDataFrame([("7", "1"), ("x7", "2"), (None, "5")], "entity_id string, merchant_account_id string")
+    account_map = spark.createDataFrame(
+        [(7, None, 70), (None, 5, 50)], "entity_id bigint, merchant_account_id bigint, account_id bigint"
+    )
+    account_dim = spark.createDataFrame([("70", "A"), ("50", "B")], "account_id string, salesforce_alias string")
+    for bound in (0, 1000):
+        lookups = Lookups.prepare(account_map, account_dim, account_dim.select("salesforce_alias"), max_rows=bound)
+        found = {r["merchant_account_id"]: r["alias_name"] for r in lookups.resolve(facts).collect()}
+        assert found == {"1": "A", "2": None, "5": "B"}

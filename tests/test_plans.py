@@ -8,13 +8,13 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratewatch import DEFAULT_SPECS, FRAUD, Clock, detect
 from ratewatch.operators import digest
 from ratewatch.operators.daily import daily_performance, lookback
-from ratewatch.operators.resolve import Lookups
+from ratewatch.operators.resolve import Lookups, join_account, join_entity, join_merchant_account
 from ratewatch.plans.detect import detect_in
-from ratewatch.sinks.staging import stage
 from ratewatch.sources import schemas, testview
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -109,6 +109,34 @@ def test_a_hot_key_is_split(spark):
     assert rows == 60_000
 
 
+def test_rows_without_a_key_are_dealt_out(spark):
+    """With 60 % of the ids missing, no partition of a shuffle join holds over twice the mean."""
+    facts = spark.range(0, 200_000, 1, 8).selectExpr(
+        "if(id % 10 < 6, NULL, concat('e', id)) AS entity_id", "concat('m', id) AS merchant_account_id"
+    )
+    account_map = spark.range(0, 200_000, 7).selectExpr(
+        "concat('e', id) AS entity_id", "CAST(NULL AS bigint) AS merchant_account_id", "cast(id AS string) AS account_id"
+    )
+    account_dim = account_map.selectExpr("account_id", "concat('s', account_id) AS salesforce_alias")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        lookups = Lookups.prepare(account_map, account_dim, account_dim.select("salesforce_alias"), max_rows=0)
+        joins = [join_entity(facts, lookups.account_map, spread=True)]
+        joins.append(join_merchant_account(joins[0], lookups.account_map, spread=True))
+        joins.append(join_account(joins[1], lookups.accounts, spread=True))
+        for joined in joins:
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 200_000 and max(sizes) <= 2 * 200_000 / 16
+        found = joins[2].where("alias_name IS NOT NULL").count()
+        assert found == facts.join(account_map, "entity_id").count() > 0
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_partition_column_prunes_days(spark, tmp_path):
     path = str(tmp_path / "payments")
     payments = testview.payments_daily(spark, SF_DIR).selectExpr("*", "to_date(requested_at) AS day")
@@ -123,7 +151,7 @@ def test_partition_column_prunes_days(spark, tmp_path):
     assert bounded.count() == payments.where("requested_at < TIMESTAMP_NTZ'2024-01-05 12:00:00'").count()
 
 
-def test_digest_ranks_before_it_shuffles(spark):
+def test_digest_ranks_before_it_shuffles(spark, tmp_path):
     rows = [
         (
             "AR Anomaly", "P1", f"alias{i % 9}", f"pc_{i}", False, -3.0, -3.0, 1.0, 1000.0 + i, 1.0, 1.0,
@@ -131,7 +159,8 @@ def test_digest_ranks_before_it_shuffles(spark):
         )
         for i in range(500)
     ]
-    stored = stage(spark.createDataFrame(rows, schemas.ANOMALIES), "digest-plan")
+    spark.createDataFrame(rows, schemas.ANOMALIES).write.parquet(f"{tmp_path}/stored")
+    stored = spark.read.parquet(f"{tmp_path}/stored")
     merchants = digest.top_merchants(stored)
     assert "TakeOrderedAndProject" in executed(merchants)
     plan = executed(digest.top_channels(stored, merchants))

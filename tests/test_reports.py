@@ -5,7 +5,9 @@ from __future__ import annotations
 import csv
 import glob
 import json
+import os
 import random
+from datetime import datetime
 
 import pytest
 import shop
@@ -14,7 +16,6 @@ from ratewatch import DEFAULT_SPECS, Clock, detect, run
 from ratewatch.operators import digest
 from ratewatch.operators.counts import counts_by_metric
 from ratewatch.sinks import files
-from ratewatch.sinks.staging import shared_dir, stage
 from ratewatch.sources import schemas
 
 CLOCK = Clock.at(shop.AS_OF)
@@ -63,7 +64,7 @@ def test_messages(anomalies):
     assert all(r.fits and r.length == len(r.message) for r in rows)
     header, first, *_, last = [r.message for r in rows]
     assert header.split("\n")[1] == (
-        "📅 **31 Jan 2024**  |  Confidence Threshold: 99%  |  Baseline: 15-day rolling average"
+        "📅 **31 Jan 2024**  |  Critical value: ±2.576  |  Baseline: 30-day average"
     )
     assert header.split("\n")[3].startswith("Flagged **5 merchants** with the highest")
     status = "P1: Critical - Global Merchant Outage"
@@ -166,6 +167,8 @@ def test_run_writes_everything_and_a_rerun_replaces_it(spark, tmp_path):
     header = open(glob.glob(f"{quiet.csv_path}/part-*.csv")[0], encoding="utf-8").read().strip()
     assert header == ",".join(schemas.COLUMN_ORDER)
     assert quiet.digest_path is None
+    assert result.digest_path and not os.path.exists(result.digest_path)
+    assert not os.path.exists(f"{out}/_staging/2024-01-31")
     assert {r.anomalies for r in quiet.counts.collect()} == {0}
 
 
@@ -176,33 +179,41 @@ def _same(rows, expected):
     return sorted(map(text, rows), key=repr) == sorted(map(text, expected), key=repr)
 
 
-def test_staging_uses_the_configured_folder(spark, anomalies):
-    staged = stage(anomalies, "probe")
-    assert sorted(staged.collect(), key=repr) == sorted(anomalies.collect(), key=repr)
-    assert all(path.startswith(f"file://{shared_dir(spark)}/ratewatch/probe-") for path in staged.inputFiles())
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
-class _Session:
-    """Stands in for a session without ``spark.checkpoint.dir``."""
-
-    def __init__(self, master, folder=None):
-        self.conf, self.sparkContext, self.master, self.folder = self, self, master, folder
-
-    def get(self, key, default):
-        return default
-
-    def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+def test_csv_keeps_spaces_quotes_and_line_breaks(spark, tmp_path):
+    names = [" Shop ", "pc ", '"quoted"', "a,b", "two\nlines", "tab\t", "  "]
+    rows = [anomaly(name, f" {name}", 1000.0 + i) for i, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, schemas.ANOMALIES)
+    path = files.write_csv(frame, str(tmp_path), CLOCK)
+    assert sorted(files.read_csv(spark, path).collect()) == sorted(frame.collect())
+    assert sorted(r["alias_name"] for r in _csv_rows(path)) == sorted(names)
 
 
-def test_only_local_sessions_get_a_folder_of_their_own():
-    local = _Session("local[2]")
-    assert shared_dir(local) == local.folder != ""
-    assert shared_dir(local) == local.folder
-    assert shared_dir(_Session("yarn", "hdfs:///ck/1")) == "hdfs:///ck/1"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(_Session("yarn"))
+def test_run_takes_what_detect_takes(spark, tmp_path):
+    tables = shop.tables(spark)
+    upto = datetime(2024, 1, 31)
+    result = run(
+        tables, str(tmp_path), "2024-01-31", upto=upto, min_std=1e-9, top=2, channels=1, max_rows=0, max_bytes=0
+    )
+    expected = sorted(detect(tables, "2024-01-31", upto=upto, min_std=1e-9).collect())
+    assert _same(files.read_table(spark, str(tmp_path), CLOCK).collect(), expected)
+    (document,) = spark.read.json(result.digest_path).collect()
+    assert len(document["messages"]) == 3
+    assert "more channel(s)" in "".join(document["messages"])
+    assert os.listdir(f"{tmp_path}/_staging") == []
+
+
+def test_a_past_day_gives_what_it_gave_then(spark, tmp_path):
+    early = shop.series("Drop", shop.DROP)
+    later = [shop.row("Drop", -d, accepted=100) for d in (1, 2)]
+    upto = datetime(2024, 2, 1)
+    run(shop.tables(spark, early), f"{tmp_path}/then", shop.AS_OF, upto=upto)
+    run(shop.tables(spark, early + later), f"{tmp_path}/now", shop.AS_OF, upto=upto)
+    then, now = (files.read_table(spark, f"{tmp_path}/{name}", CLOCK).collect() for name in ("then", "now"))
+    assert len(then) == 1 and _same(then, now)
+
+
+def test_ranks_above_nine_have_no_keycap(spark):
+    rows = [anomaly(f"Shop {i:02}", "pc", 5000.0 - i) for i in range(11)]
+    frame = spark.createDataFrame(rows, schemas.ANOMALIES)
+    messages = digest.digest_messages(frame, CLOCK, top=11).orderBy("position").collect()
+    assert "**9️⃣  Shop 08**" in messages[9].message and "**11.  Shop 10**" in messages[11].message
