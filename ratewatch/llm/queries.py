@@ -74,7 +74,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2_SQL}
+    return {"op2_url_filters": OP2_SQL, "op6_top_products": OP6_SQL}
 
 
 #: Rules by host suffix and path start, the longest first; no rule allows.
@@ -102,3 +102,22 @@ SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """
+
+#: All pairs of queries and candidates; whole numbers below 2^53 are exact as doubles.
+OP6_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w
+  FROM embeddings
+  WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""

@@ -102,7 +102,7 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "documents"):
+    for t in ("pages", "documents", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     want = con.execute(queries.oracle_sql()[name]).fetchall()
     columns = [d[0] for d in con.description]
