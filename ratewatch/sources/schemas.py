@@ -76,8 +76,8 @@ COLUMN_ORDER: tuple[str, ...] = tuple(ANOMALIES.fieldNames())
 def require_columns(frame: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     """Fail while the plan is built when an input lacks a column the pipeline reads.
 
-    Only names are checked: identifier types vary between warehouses, and the
-    joins compare whatever type both sides share.
+    Only names are checked: identifier types vary between warehouses. Ids that
+    two tables store in different types are compared as text.
     """
     missing = [field for field in schema.fieldNames() if field not in frame.columns]
     if missing:
