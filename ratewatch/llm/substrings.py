@@ -1,100 +1,188 @@
 """Operator 9: substring deduplication by sliding sentence spans.
 
-A sentence ends at a stop followed by white space, or at a line end. One of over
-``LONG`` words is cut further, behind the words that a hash picks (one in four), so
-unpunctuated text has shared boundaries too. A span is a run of consecutive
-sentences: from each sentence on, the shortest run of at least ``RUN`` sentences and
-``WORDS`` words. Every span is hashed, the hashes are counted over all documents, and
-the spans whose hash occurs more than once meet their first occurrence. Sentences that
-any later occurrence covers are removed.
-
-A first pass ships 64-bit hashes to their counts; only spans whose hash repeats are
-shuffled again, compared by 128 bits. Counting is by partial sums, and joins on hashes
-can be split by Spark, so a passage in a third of all documents loads no one task.
+A sentence ends behind a word that ends in a stop, at a line end, or at the text's end.
+One of over ``LONG`` words is cut further, behind the words that a hash picks (one in
+four), and where none is picked, every ``MOST`` words: so unpunctuated text has shared
+boundaries too. A span is a run of consecutive sentences: from each sentence on, the
+shortest run of at least ``RUN`` sentences and ``WORDS`` words. Every span is hashed by
+its words, hashes are joined over all documents, and sentences that any occurrence but
+the first covers are removed.
+
+A first pass counts 64-bit hashes by partial sums. Those that repeat set bits of a map
+of fixed size (``SLOTS`` bits, 16 MB, whatever the corpus), which is broadcast, so that
+only spans that may repeat are shuffled with their places and compared by 128 bits. The
+map only saves work; a bit set by another hash costs a row and changes no result.
+Counts and first places are partial aggregates, and joins on hashes can be split by
+Spark, so a passage in a third of all documents loads no one task.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import cut, slices, sql_type
-
-LONG, RUN, WORDS = 12, 3, 15
-
-_GAP = re.compile(r"(?<=[.!?])\s+|\n\s*")
-_WORD = re.compile(r"\S+")
-
-
-def sentences(text: str) -> list[tuple[int, int, bytes, int]]:
-    """Start, end, words joined by one space, and number of words of every sentence."""
-    out, start = [], 0
-    ends = [(m.start(), m.end()) for m in _GAP.finditer(text)]
-    for end, following in [*ends, (len(text), len(text))]:
-        words = text[start:end].split()
-        if len(words) <= LONG:
-            if words:
-                out.append((start, end, " ".join(words).encode(), len(words)))
-        else:
-            begin, held = None, []
-            for m in _WORD.finditer(text, start, end):
-                begin = m.start() if begin is None else begin
-                held.append(m.group().encode())
-                if zlib.crc32(held[-1]) & 3 == 0:
-                    out.append((begin, m.end(), b" ".join(held), len(held)))
-                    begin, held = None, []
-            if held:
-                out.append((begin, end, b" ".join(held), len(held)))
-        start = following
-    return out
-
-
-def spans(text: str) -> list[tuple[int, int, bytes]]:
-    """First sentence, sentence behind the last, and 128-bit hash of every span."""
-    found = sentences(text)
-    hashes = [xxhash.xxh3_128_digest(words) for _, _, words, _ in found]
-    out, end, held = [], 0, 0
-    for first in range(len(found)):
-        while end < len(found) and (end - first < RUN or held < WORDS):
-            held += found[end][3]
-            end += 1
-        if end - first < RUN or held < WORDS:
-            break
-        out.append((first, end, xxhash.xxh3_128_digest(b"".join(hashes[first:end]))))
-        held -= found[first][3]
-    return out
-
-
-def _key(id_col: str, text_col: str) -> list[Column]:
-    return [F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_text_hash"), F.col(text_col).alias("_text")]
-
-
-def span_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_id``, ``_text_hash``, ``first``, ``after``, ``h`` and ``g`` (the hash's halves) of every span."""
+from ratewatch.llm.common import slices, sql_type
+
+LONG, MOST, RUN, WORDS = 12, 12, 3, 15
+SLOTS = 1 << 27
+#: Bits of one row of the map, as Spark's bitmap functions have them.
+_ROW = 1 << 15
+#: Bytes of text handled at a time.
+_SLICE = 1 << 20
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[list(b".!?")] = True
+
+
+@dataclass
+class Sentences:
+    """Words and sentences of one or more texts, which are joined by line ends to ``raw``."""
+
+    raw: np.ndarray
+    word_start: np.ndarray
+    word_end: np.ndarray
+    word_hash: np.ndarray
+    #: First word and the word behind the last, of every sentence, and its text's number.
+    first: np.ndarray
+    after: np.ndarray
+    text: np.ndarray
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def sentences(texts: list[bytes]) -> Sentences:
+    """All sentences of these texts, by byte offsets in the joined texts."""
+    raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    none = np.empty(0, np.int64)
+    if not len(raw):
+        return Sentences(raw, none, none, none.astype(np.uint64), none, none, none)
+    space = _SPACE[raw]
+    edge = np.flatnonzero(np.diff(np.r_[True, space].astype(np.int8)))
+    start, end = edge[::2], edge[1::2]
+    if not len(start):
+        return Sentences(raw, none, none, none.astype(np.uint64), none, none, none)
+
+    # A word's hash is a sum over its bytes of random numbers by byte and place, mixed.
+    rng = np.random.default_rng(29)
+    of_byte = rng.integers(1 << 63, size=256, dtype=np.uint64)
+    of_place = rng.integers(1 << 63, size=4096, dtype=np.uint64) | np.uint64(1)
+    length = end - start
+    place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    letters = raw[~space]
+    hashed = mixed(np.add.reduceat(of_byte[letters] * of_place[place & 4095], np.cumsum(length) - length) + length.astype(np.uint64))
+
+    lines = np.cumsum(raw == 0x0A)
+    ends = _STOP[raw[end - 1]]
+    ends[:-1] |= lines[start[1:]] > lines[end[:-1] - 1]
+    ends[-1] = True
+    size, position = _within(ends)
+    ends |= (size > LONG) & (hashed & np.uint64(3) == 0)
+    size, position = _within(ends)
+    ends |= (size > MOST) & (position % MOST == MOST - 1)
+    after = np.flatnonzero(ends) + 1
+    first = np.r_[0, after[:-1]]
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return Sentences(raw, start, end, hashed, first, after, np.searchsorted(begins, start[first], side="right") - 1)
+
+
+def _within(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each word's sentence, and its place in it."""
+    last = np.flatnonzero(ends)
+    size = np.diff(np.r_[-1, last])
+    return np.repeat(size, size), np.arange(len(ends)) - np.repeat(last + 1 - size, size)
+
+
+@dataclass
+class Spans:
+    """The text's number, first sentence and the sentence behind the last (counted in its text), and both hashes."""
+
+    text: np.ndarray
+    first: np.ndarray
+    after: np.ndarray
+    h: np.ndarray
+    g: np.ndarray
+
+
+def spans(texts: list[bytes]) -> Spans:
+    s = sentences(texts)
+    count = len(s.first)
+    # Sentences of a text are numbered from its first one.
+    base = np.searchsorted(s.text, s.text)
+    stop = np.searchsorted(s.text, s.text, side="right")
+    number = np.arange(count)
+    after = np.maximum(number + RUN, np.searchsorted(s.after, s.first + WORDS) + 1)
+    kept = np.flatnonzero(after <= stop)
+    after = after[kept]
+    start, end = s.first[kept], s.after[after - 1]
+    hashes = []
+    for factor in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95):
+        # A polynomial over the words, shifted back to the span's own start.
+        power = np.cumprod(np.full(len(s.word_hash), factor, np.uint64)) if count else np.empty(0, np.uint64)
+        back = np.cumprod(np.full(len(s.word_hash), pow(factor, -1, 1 << 64), np.uint64)) if count else power
+        total = np.r_[np.uint64(0), np.cumsum(mixed(s.word_hash ^ np.uint64(factor)) * power, dtype=np.uint64)]
+        own = (total[end] - total[start]) * back[start] if len(kept) else np.empty(0, np.uint64)
+        hashes.append(mixed(own + (end - start).astype(np.uint64) * np.uint64(factor)).view(np.int64))
+    return Spans(s.text[kept], kept - base[kept], after - base[kept], *hashes)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col)
+    return docs.select(
+        F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text_hash"), text.cast("binary").alias("_text")
+    )
+
+
+def repeating(docs: DataFrame, text_col: str) -> np.ndarray:
+    """The map: one bit for each slot that a span's hash has which occurs more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text", _SLICE):
+                found = spans([t or b"" for t in part.column("_text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(found.h)], ["h"])
+
+    hashes = docs.select(F.col(text_col).cast("binary").alias("_text")).mapInArrow(run, "h bigint")
+    often = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    slot = F.col("h").bitwiseAND(SLOTS - 1) + 1
+    rows = often.groupBy(F.bitmap_bucket_number(slot).alias("row")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
+    )
+    bits = np.zeros((SLOTS // _ROW, _ROW // 8), np.uint8)
+    for row in rows.toLocalIterator():  # at most SLOTS / _ROW rows
+        bits[row["row"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return bits.reshape(-1)
+
+
+def candidates(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+    """``_id``, ``_text_hash``, ``first``, ``after``, ``h`` and ``g`` of the spans whose slot is set."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                each = [spans(text) for text in part.column("_text").to_pylist()]
-                count = [len(e) for e in each]
-                row = pa.array(np.repeat(np.arange(len(each)), count))
-                flat = [span for e in each for span in e]
-                halves = np.frombuffer(b"".join(h for _, _, h in flat), np.int64).reshape(-1, 2)
+            for part in slices(batch, "_text", _SLICE):
+                found = spans([t or b"" for t in part.column("_text").to_pylist()])
+                slot = found.h & (SLOTS - 1)
+                some = np.flatnonzero(sent.value[slot >> 3] >> (slot & 7) & 1)
+                row = pa.array(found.text[some])
                 columns = [part.column(c).take(row) for c in ("_id", "_text_hash")]
-                columns += [pa.array([s[i] for s in flat], pa.int32()) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(halves[:, 0]), pa.array(halves[:, 1])], names)
+                columns += [pa.array(x[some], pa.int32()) for x in (found.first, found.after)]
+                columns += [pa.array(x[some]) for x in (found.h, found.g)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["_id", "_text_hash", "first", "after", "h", "g"]
-    rows = docs.where(F.col(text_col).isNotNull()).select(*_key(id_col, text_col))
     kind = sql_type(docs, id_col)
-    return rows.mapInArrow(run, f"_id {kind}, _text_hash bigint, first int, after int, h bigint, g bigint")
+    schema = f"_id {kind}, _text_hash bigint, first int, after int, h bigint, g bigint"
+    return _rows(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,81 +191,75 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Occurrences are in order of id (null first), text hash and place; ``source``
     is the id of the first.
     """
-    every = span_rows(docs, id_col, text_col)
-    often = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    again = cut(every.join(often, "h"))
+    some = candidates(docs, repeating(docs, text_col), id_col, text_col)
     # Rows with the same id and text are one document, so they have one place.
-    where = F.struct("_id", "_text_hash", "first").alias("place")
-    firsts = again.groupBy("h", "g").agg(F.min(where).alias("place"))
-    met = again.join(firsts, ["h", "g"]).where(~F.struct("_id", "_text_hash", "first").eqNullSafe(F.col("place")))
+    place = F.struct("_id", "_text_hash", "first")
+    firsts = some.groupBy("h", "g").agg(F.min(place).alias("place"), F.max(place).alias("last"))
+    firsts = firsts.where("place <> last").select("h", "g", "place")
+    met = some.join(firsts, ["h", "g"]).where(~place.eqNullSafe(F.col("place")))
     return met.select("_id", "_text_hash", "first", "after", F.col("place._id").alias("source"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` without its repeated sentences: ``id_col``, ``text``, counts and sources.
-
-    ``n_sentences`` and ``n_removed`` count sentences; ``removed`` holds the
-    code points cut, as arrays of start and end; ``sources`` the ids of the
-    documents with the first occurrences, in order. The first occurrence stays
-    whole; within one document, too, the first stays. Removing takes the
-    sentence and the white space behind it. Rows that share id and text are one
-    document and come out alike; rows that share only the id are separate. A
-    null text stays null; a text of fewer than ``RUN`` sentences has no span and
-    stays whole. Further columns are not read.
+    """Every row of ``docs`` without its repeated sentences: ``id_col``, ``text``, ``n_removed``, ``removed``, ``sources``.
+
+    ``n_removed`` counts sentences; ``removed`` holds the code points cut, as
+    arrays of start and end; ``sources`` the ids of the documents with the first
+    occurrences, in order. The first occurrence stays whole; within one
+    document, too, the first stays. Removing takes the sentence and the white
+    space behind it. Rows that share id and text are one document and come out
+    alike; rows that share only the id are separate. A null text stays null; a
+    text of fewer than ``RUN`` sentences or ``WORDS`` words has no span and
+    stays whole. White space is ASCII's. Further columns are not read.
     """
     cover = repeated(docs, id_col, text_col).groupBy("_id", "_text_hash").agg(
         F.collect_set(F.struct("first", "after")).alias("covered"), F.sort_array(F.collect_set("source")).alias("sources")
     )  # at most one entry for each sentence of the document
-    rows = docs.select(*_key(id_col, text_col))
+    rows = _rows(docs, id_col, text_col)
     same = rows["_id"].eqNullSafe(cover["_id"]) & rows["_text_hash"].eqNullSafe(cover["_text_hash"])
     joined = rows.join(cover, same, "left").select(rows["_id"], "_text", "covered", "sources")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", _SLICE):
+                texts, covered = part.column("_text").to_pylist(), part.column("covered").to_pylist()
                 cleaned = [
-                    without(text, [(c["first"], c["after"]) for c in covered or ()])
-                    for text, covered in zip(part.column("_text").to_pylist(), part.column("covered").to_pylist(), strict=True)
+                    without(text, [(c["first"], c["after"]) for c in spans]) if spans else (text, 0, [])
+                    for text, spans in zip(texts, covered, strict=True)
                 ]
-                flat = [span for c in cleaned for span in c[3]]
-                places = pa.StructArray.from_arrays([pa.array([s[i] for s in flat], pa.int64()) for i in (0, 1)], ["start", "end"])
-                ends = np.cumsum([0, *(len(c[3]) for c in cleaned)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("_id"), pa.array([c[0] for c in cleaned], pa.string()),
-                        *[pa.array([c[i] for c in cleaned], pa.int64()) for i in (1, 2)],
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places), part.column("sources"),
-                    ], names,
-                )
-
-    names = ["_id", "text", "n_sentences", "n_removed", "removed", "sources"]
+                flat = [place for c in cleaned for place in c[2]]
+                places = pa.StructArray.from_arrays([pa.array([p[i] for p in flat], pa.int64()) for i in (0, 1)], ["start", "end"])
+                ends = np.cumsum([0, *(len(c[2]) for c in cleaned)])
+                columns = [
+                    part.column("_id"), pa.array([c[0] for c in cleaned], pa.binary()), pa.array([c[1] for c in cleaned], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places), part.column("sources"),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["_id", "_text", "n_removed", "removed", "sources"]
     kind = sql_type(docs, id_col)
-    schema = f"_id {kind}, text string, n_sentences bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>, sources array<{kind}>"
-    out = joined.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
-    return out.withColumn("sources", F.coalesce("sources", F.array().cast(f"array<{kind}>")))
-
-
-def without(text: str | None, covered: list[tuple[int, int]]) -> tuple[str | None, int, int, list[tuple[int, int]]]:
-    """The text without the covered sentences, numbers of all and of removed ones, and the places cut."""
-    if text is None:
-        return None, 0, 0, []
-    found = sentences(text)
-    if not covered:
-        return text, len(found), 0, []
-    gone = np.zeros(len(found) + 1, dtype=np.int64)
+    schema = f"_id {kind}, _text binary, n_removed bigint, removed array<struct<start:bigint,end:bigint>>, sources array<{kind}>"
+    sources = F.coalesce("sources", F.array().cast(f"array<{kind}>")).alias("sources")
+    return joined.mapInArrow(run, schema).select(
+        F.col("_id").alias(id_col), F.col("_text").cast("string").alias("text"), "n_removed", "removed", sources
+    )
+
+
+def without(text: bytes, covered: list[tuple[int, int]]) -> tuple[bytes, int, list[tuple[int, int]]]:
+    """The text without the covered sentences, their number, and the places cut, in code points."""
+    found = sentences([text])
+    gone = np.zeros(len(found.first) + 1, dtype=np.int64)
     for first, after in covered:
         gone[first] += 1
         gone[after] -= 1
     gone = np.cumsum(gone)[:-1] > 0
-    places: list[tuple[int, int]] = []
+    begin = found.word_start[found.first]
+    until = np.append(begin[1:], len(text))
+    kept = np.ones(len(text), dtype=bool)
     for i in np.flatnonzero(gone).tolist():
-        end = found[i + 1][0] if i + 1 < len(found) else len(text)
-        if places and places[-1][1] == found[i][0]:
-            places[-1] = (places[-1][0], end)
-        else:
-            places.append((found[i][0], end))
-    kept, done = [], 0
-    for start, end in places:
-        kept.append(text[done:start])
-        done = end
-    return "".join([*kept, text[done:]]), len(found), int(gone.sum()), places
+        kept[begin[i] : until[i]] = False
+    raw = np.frombuffer(text, np.uint8)
+    point = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
+    edges = np.flatnonzero(np.diff(np.r_[True, kept, True].astype(np.int8)))
+    places = [(int(point[a]), int(point[b])) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+    return raw[kept].tobytes(), int(gone.sum()), places

@@ -2,28 +2,52 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
 import pytest
 
 from ratewatch.llm import substrings as S
 
 
+def cut(text):
+    """Byte start, byte end and words of every sentence of a text."""
+    raw = text.encode()
+    found = S.sentences([raw])
+    starts, ends = found.word_start[found.first], found.word_end[found.after - 1]
+    return [(a, b, raw[a:b].split()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def plain_cut(text):
+    """The same by a loop over words and the white space behind them."""
+    raw, out, held = text.encode(), [], []
+    words = list(re.finditer(rb"[^ \t-\r]+", raw))
+    for n, m in enumerate(words):
+        held.append(m)
+        gap = raw[m.end() : words[n + 1].start()] if n + 1 < len(words) else b"\n"
+        if m.group()[-1:] in b".!?" or b"\n" in gap:
+            out.append(held)
+            held = []
+    return out
+
+
 def plain(rows):
     """Removed sentence numbers of each distinct document, by a dictionary of first places."""
     documents = sorted({(i is not None, i or 0, S_hash(t), t) for i, t in rows if t is not None}, key=lambda d: d[:3])
     first, gone = {}, {}
     for known, i, _, text in documents:
-        found = S.sentences(text)
-        cut = set()
+        found = cut(text)
+        removed = set()
         for a in range(len(found)):
-            b = next((b for b in range(a + S.RUN, len(found) + 1) if sum(f[3] for f in found[a:b]) >= S.WORDS), None)
+            b = next((b for b in range(a + S.RUN, len(found) + 1) if sum(len(f[2]) for f in found[a:b]) >= S.WORDS), None)
             if b is None:
                 break
-            words = tuple(f[2] for f in found[a:b])
+            words = tuple(w for f in found[a:b] for w in f[2])
             if words in first:
-                cut |= set(range(a, b))
+                removed |= set(range(a, b))
             else:
                 first[words] = (known, i)
-        gone[i if known else None, text] = cut
+        gone[i if known else None, text] = removed
     return gone
 
 
@@ -47,12 +71,30 @@ def corpus(prose):
     return rows, shared
 
 
+TEXTS = ["a.b c! d\n\ne? f", " \n x", "w " * 500, "¿qué? ñandú. 🙂 ok.\n", "Same Same " * 90, "", "\x0b\x1c a\xa0b"]
+
+
 def test_sentences_cover_the_text(prose):
-    for text in (prose(1, 100), "a.b c! d\n\ne? f", " \n x", "w " * 500, "¿qué? ñandú. 🙂 ok.\n", prose(2, 200).replace(".", "")):
-        found = S.sentences(text)
-        assert [w for _, _, joined, _ in found for w in joined.decode().split(" ")] == text.split()
-        assert all(text[s:e].split() == joined.decode().split(" ") and n == joined.count(b" ") + 1 for s, e, joined, n in found)
+    for text in [prose(1, 100), prose(2, 200).replace(".", ""), *TEXTS]:
+        found = cut(text)
+        assert [w for _, _, words in found for w in words] == text.encode().split()
         assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
+        assert all(1 <= len(words) <= S.MOST for _, _, words in found)
+        # Short sentences are those of the plain reading; long ones are cut within.
+        ends = {b for _, b, _ in found}
+        assert all(held[-1].end() in ends for held in plain_cut(text))
+        short = {(h[0].start(), h[-1].end()) for h in plain_cut(text) if len(h) <= S.LONG}
+        assert short <= {(a, b) for a, b, _ in found}
+
+
+def test_texts_are_cut_alone_as_together(prose):
+    texts = [t.encode() for t in [prose(1, 100), *TEXTS, prose(1, 100), "x " + prose(1, 100)]]
+    together = S.spans(texts)
+    for i, text in enumerate(texts):
+        alone, own = S.spans([text]), np.flatnonzero(together.text == i)
+        for name in ("first", "after", "h", "g"):
+            assert getattr(together, name)[own].tolist() == getattr(alone, name).tolist()
+    assert len(set(S.spans(texts[:1]).h) & set(S.spans(texts[-1:]).h)) >= 5
 
 
 def test_against_plain(documents, prose):
@@ -64,21 +106,27 @@ def test_against_plain(documents, prose):
     for r in got:
         results.setdefault(r["doc_id"], []).append(r)
     for i, text in rows:
-        cut = gone.get((i, text), set())
-        want_counts = (len(S.sentences(text or "")), len(cut))
-        match = [r for r in results[i] if (r["n_sentences"], r["n_removed"]) == want_counts]
-        assert match, (i, want_counts, results[i])
-        row = match[0]
-        if text is None:
-            assert row["text"] is None
-            continue
-        kept = [f[2] for n, f in enumerate(S.sentences(text)) if n not in cut]
-        assert (row["text"] or "").split() == b" ".join(kept).decode().split()
-        left, done = [], 0
-        for place in row["removed"]:
-            left.append(text[done : place["start"]])
-            done = place["end"]
-        assert "".join([*left, text[done:]]) == row["text"]
+        removed = gone.get((i, text), set())
+        kept = None if text is None else [w for n, f in enumerate(cut(text)) if n not in removed for w in f[2]]
+        match = [
+            r for r in results[i]
+            if r["n_removed"] == len(removed) and (r["text"].encode().split() if r["text"] is not None else None) == kept
+        ]
+        assert match, (i, len(removed), results[i])
+        if text is not None:
+            left, done = [], 0
+            for place in match[0]["removed"]:
+                left.append(text[done : place["start"]])
+                done = place["end"]
+            assert "".join([*left, text[done:]]) == match[0]["text"]
+
+
+def test_a_full_map_changes_nothing(documents, prose, monkeypatch):
+    rows, _ = corpus(prose)
+    frame = documents(rows)
+    want = sorted(map(repr, S.deduplicated(frame).collect()))
+    monkeypatch.setattr(S, "repeating", lambda docs, text_col: np.full(S.SLOTS // 8, 255, np.uint8))
+    assert sorted(map(repr, S.deduplicated(frame).collect())) == want
 
 
 def test_passages_of_over_50_words_are_caught_once(documents, prose):
@@ -111,4 +159,4 @@ def test_nothing_to_do(documents, rows):
 def test_a_very_long_text(documents, prose):
     text = "word without any stop " * 20_000
     (row,) = S.deduplicated(documents([(1, text)])).collect()
-    assert row["n_sentences"] == len(S.sentences(text)) and row["n_removed"] > 0
+    assert row["n_removed"] > 1000 and len(row["text"]) < len(text) / 10
