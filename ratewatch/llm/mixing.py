@@ -31,7 +31,7 @@ from ratewatch.llm.common import cut
 #: Sources that may reach the driver, words aimed at in a block, blocks of a source or of a block.
 MAX_SOURCES, BLOCK_WORDS, MAX_BLOCKS = 200_000, 1 << 16, 4096
 #: Words of a shard, where the number of shards isn't given.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 21
 #: No document is taken more often.
 MOST = 3
 
@@ -101,7 +101,7 @@ def quotas(drawn: list[int], shards: int, shard: int, seed: int) -> np.ndarray:
 def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more) -> DataFrame:
     """``_id``, ``_source``, ``_size`` (words) and ``_hash`` of every row, and ``more`` columns."""
     size = F.coalesce(F.regexp_count(text_col, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    key = F.xxhash64(F.lit("mix"), F.col(id_col).cast("string"), F.coalesce(F.length(text_col), F.lit(0)))
+    key = F.xxhash64(F.lit("mix"), F.col(id_col).cast("string"), F.col(text_col))
     source = F.col(source_col).cast("string").alias("_source")
     return docs.select(F.col(id_col).alias("_id"), source, size.alias("_size"), key.alias("_hash"), *more)
 
@@ -130,11 +130,10 @@ def _reached(words: DataFrame, unit: str, salt: int, seed: int, limit: str) -> D
 
 @dataclass
 class Draws:
-    """``sources``, their ``blocks`` with the units drawn, and the ``subs`` of the blocks where sources end."""
+    """``sources``, and their ``blocks`` with the units drawn and what of a block where a source ends is in the last."""
 
     sources: DataFrame
     blocks: DataFrame
-    subs: DataFrame
     shards: int
 
 
@@ -202,9 +201,12 @@ def draw(rows: DataFrame, shards: int | None, seed: int) -> Draws:
         return pd.DataFrame({"s": group["s"].iloc[:1], "block": group["block"].iloc[:1], "sub": group["sub"].iloc[:1], "chosen": [chosen]})
 
     chosen = last.groupBy("s", "block", "sub").applyInPandas(fitting, "s int, block int, sub int, chosen array<bigint>")
-    subs = reached.select("s", "block", "sub", F.col("whole").alias("sub_whole")).join(chosen, ["s", "block", "sub"], "left")
+    # One row for each source: at most MAX_BLOCKS whole sub-blocks, and the documents of one sub-block.
+    within = reached.where("whole").groupBy("s", "block").agg(F.collect_list("sub").alias("whole_subs"))
+    chosen = chosen.withColumnRenamed("sub", "last_sub")
     blocks = blocks.join(units, ["s", "block"], "left").select("s", "block", "left", "subs", "units")
-    return Draws(table, blocks, subs, shards)
+    blocks = blocks.join(within, ["s", "block"], "left").join(chosen, ["s", "block"], "left")
+    return Draws(table, blocks, shards)
 
 
 def _sub(seed: int):
@@ -214,12 +216,14 @@ def _sub(seed: int):
 def placed(rows: DataFrame, drawn: Draws, seed: int) -> DataFrame:
     """Measured rows with ``source_size``, ``target`` and ``units``."""
     known = located(rows, drawn.sources, seed).join(drawn.blocks, ["s", "block"], "left").withColumn("sub", _sub(seed))
-    known = known.join(drawn.subs, ["s", "block", "sub"], "left")
-    further = F.col("left").isNull() | F.col("sub_whole") | F.array_contains("chosen", F.col("_hash"))
+    fits = (F.col("sub") == F.col("last_sub")) & F.array_contains("chosen", F.col("_hash"))
+    further = F.col("left").isNull() | F.array_contains("whole_subs", F.col("sub")) | fits
     kept = F.when(further, F.col("units")).otherwise(F.expr("filter(units, u -> u.pass < passes)"))
     empty = F.expr("cast(array() AS array<struct<pass:int,shard:int>>)")
     units = F.when(F.col("_size") > 0, F.coalesce(kept, empty)).otherwise(empty)
-    return known.withColumn("units", units).drop("s", "block", "sub", "subs", "sub_whole", "chosen", "left", "passes", "rest")
+    return known.withColumn("units", units).drop(
+        "s", "block", "sub", "subs", "whole_subs", "last_sub", "chosen", "left", "passes", "rest"
+    )
 
 
 def mix(
@@ -236,7 +240,7 @@ def mix(
     left out of its last sub-block. A null source is a source, the last in order.
     Documents without words are never taken, and sources without any give nothing.
     Rows are kept as they come, repeated or with a null id; rows that share id
-    and length are taken together. Further columns are not read. The same rows
+    and text are taken together. Further columns are not read. The same rows
     give the same mix again, however they are partitioned.
     """
     rows = cut(measured(docs, id_col, text_col, source_col))

@@ -128,6 +128,15 @@ def test_small_and_empty(documents):
     assert (row["target"], row["taken"]) == (2.0, 2)
 
 
+def test_rows_without_ids_are_drawn_one_by_one(documents):
+    rows = [(None, f"w{i} a b c d e f g h i", "ab"[i % 2]) for i in range(400)]
+    got = mixing.mix(documents(rows)).collect()
+    taken = Counter()
+    for r in got:
+        taken[r["target"]] += r["taken"]
+    assert all(target - 10 <= words <= target + 1 for target, words in taken.items()) and len(taken) == 2
+
+
 def test_too_many_sources(documents, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
     with pytest.raises(ValueError, match="more than 2 sources"):
