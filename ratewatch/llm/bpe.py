@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from ratewatch.llm.common import lists, slices, sql_type
+from ratewatch.llm.common import lists, slices, small_batches, sql_type
 
 
 def byte_characters() -> list[str]:
@@ -92,7 +92,7 @@ LATIN = (
 )
 
 #: Merged pre-tokens that a worker remembers, of at most so many characters each.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 48
+REMEMBERED, REMEMBERED_CHARS = 200_000, 48
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
@@ -168,7 +168,7 @@ def encode(
     names = ["_id", "ids", *(["starts", "ends"] if offsets else [])]
     schema = f"_id {sql_type(frame, id_col)}, ids array<int>" + ", starts array<bigint>, ends array<bigint>" * offsets
     rows = frame.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return small_batches(rows).mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 def characters(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +211,7 @@ def decode(
     names = ["_id", "ids", "decoded", *(["decoded_text"] if as_text else [])]
     schema = f"_id {sql_type(frame, id_col)}, ids array<int>, decoded binary" + ", decoded_text string" * as_text
     rows = frame.select(F.col(id_col).alias("_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return small_batches(rows).mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id", more: Sequence[str] = ()) -> DataFrame:

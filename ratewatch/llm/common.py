@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task holds in its own structures at a time; a longer text stands alone.
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,6 +55,49 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start, end - start)
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, whose session sends Arrow batches of at most about ``BATCH_BYTES`` from now on.
+
+    Batches of long texts would otherwise take 64 MB each, held by the JVM and by
+    the Python worker. The limit is a session setting, read when a plan runs; a
+    lower one stays.
+    """
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", conf.get(name))
+    if now is None or int(now.group(1)) > BATCH_BYTES:
+        conf.set(name, f"{BATCH_BYTES}b")
+    return rows
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join in which Spark can split a hot key's partition of ``left``.
+
+    It splits only what a shuffle right below the join has dealt, but shuffles no
+    side anew that an aggregate has left dealt by the keys. One more key, always
+    zero, has both sides shuffled for the join.
+    """
+    zero = F.pmod(F.xxhash64(keys[0]), F.lit(1))
+    return left.withColumn("_zero", zero).join(right.withColumn("_zero", zero), [*keys, "_zero"], how).drop("_zero")
+
+
+def first_by_hash(rows: DataFrame, salt: str, key: Column, count: int, total: int, ties: list[str]) -> pa.Table:
+    """The ``count`` rows that come first by a hash of ``key``, on the driver, with the hash as ``_order``.
+
+    ``total`` is a number of rows that these are among. Tasks send only rows
+    below a hash that about eight times ``count`` of them lie below, so what
+    the driver gets does not grow with the number of tasks; if that leaves too
+    few rows, all of them are looked at.
+    """
+    ordered = rows.withColumn("_order", F.xxhash64(F.lit(salt), key))
+    share = min(1.0, 8 * count / max(total, 1))
+    for part in (share, 1.0):
+        below = ordered if part == 1.0 else ordered.where(F.col("_order") < int(-(2**63) + part * 2**64))
+        found = below.orderBy("_order", *ties).limit(count).toArrow()
+        if found.num_rows == count:
+            break
+    return found
+
+
 def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """One list per array. A list column of an Arrow batch counts its values in 32 bits."""
     ends = np.cumsum([0, *(len(p) for p in parts)])

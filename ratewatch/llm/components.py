@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import cut
+from ratewatch.llm.common import cut, split_join
 
 
 def roots(edges: DataFrame, rounds: int = 64) -> DataFrame:
@@ -35,13 +35,13 @@ def roots(edges: DataFrame, rounds: int = 64) -> DataFrame:
 def _large_star(state: DataFrame) -> DataFrame:
     both = state.union(state.select("b", "a"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    joined = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    joined = split_join(both.where("b > a"), least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return joined.where("a <> b").distinct()
 
 
 def _small_star(state: DataFrame) -> DataFrame:
     least = state.groupBy("a").agg(F.min("b").alias("m"))
-    moved = state.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = split_join(state, least, ["a"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least).distinct()
 
 

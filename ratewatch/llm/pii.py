@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import slices, sql_type
+from ratewatch.llm.common import first_by_hash, slices, small_batches, sql_type
 
 KINDS = ("email", "ip", "card", "phone")
 #: Prior log potential of two linked tokens of the same kind.
@@ -259,9 +259,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> We
     """
     text = F.col(text_col)
     able = docs.where((F.length(text) <= SAMPLE_CHARS) & text.rlike("[0-9@]"))
-    order = F.xxhash64(F.lit("pii"), F.col(id_col))
-    sample = able.select(text.alias("_text"), order.alias("_order")).orderBy("_order", "_text").limit(SAMPLE_DOCUMENTS)
-    return fit([row["_text"] for row in sample.collect()])
+    rows = able.select(text.alias("_text"), F.col(id_col).alias("_id"))
+    sample = first_by_hash(rows, "pii", F.col("_id"), SAMPLE_DOCUMENTS, docs.count(), ["_text"])
+    return fit(sample["_text"].to_pylist())
 
 
 def personal_data(
@@ -279,7 +279,8 @@ def personal_data(
 
     def column(spans: list[list[tuple[int, int, int]]]) -> pa.Array:
         flat = [s for each in spans for s in each]
-        fields = [pa.array([s[0] for s in flat], pa.int64()), pa.array([KINDS[s[1]] for s in flat], pa.string()), pa.array([s[2] for s in flat], pa.int64())]
+        start, end = (pa.array([s[i] for s in flat], pa.int64()) for i in (0, 2))
+        fields = [start, pa.array([KINDS[s[1]] for s in flat], pa.string()), end]
         ends = np.cumsum([0, *map(len, spans)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["start", "kind", "end"]))
 
@@ -291,7 +292,7 @@ def personal_data(
                 yield pa.RecordBatch.from_arrays([part.column("_id"), column(base), column(every)], ["_id", "base", "spans"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    found = rows.mapInArrow(run, f"_id {sql_type(docs, id_col)}, base {span}, spans {span}")
+    found = small_batches(rows).mapInArrow(run, f"_id {sql_type(docs, id_col)}, base {span}, spans {span}")
     return found.withColumnRenamed("_id", id_col)
 
 
@@ -332,7 +333,7 @@ def redacted(
                     new[length_col] = pa.array(sizes, old.type)
                 yield pa.RecordBatch.from_arrays([new.get(c, part.column(c)) for c in columns], columns)
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def replaced(text: str, spans: list[tuple[int, int, int]]) -> str:

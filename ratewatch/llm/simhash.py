@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import cut, slices, sql_type
+from ratewatch.llm.common import cut, slices, small_batches, split_join, sql_type
 from ratewatch.llm.components import roots
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -71,7 +71,7 @@ def fingerprints(
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"), *more)
     added = rows.columns[2:]
-    return rows.mapInArrow(run, f"_id {sql_type(docs, id_col)}, fp bigint" + "".join(f", {c} bigint" for c in added))
+    return small_batches(rows).mapInArrow(run, f"_id {sql_type(docs, id_col)}, fp bigint" + "".join(f", {c} bigint" for c in added))
 
 
 def position_sets(matches: int) -> list[tuple[int, ...]]:
@@ -112,7 +112,7 @@ def edges(fps: DataFrame, bits: int = 4, block: int = 1024) -> DataFrame:
         posted.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
         .select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     )
-    dealt = posted.join(long_lists, "key", "left").select(
+    dealt = split_join(posted, long_lists, ["key"], "left").select(
         "key", "fp", F.coalesce("blocks", F.lit(1)).alias("blocks"),
     ).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import slices, sql_type
+from ratewatch.llm.common import slices, small_batches, split_join, sql_type
 
 LONG, MOST, RUN, WORDS = 12, 12, 3, 15
 SLOTS = 1 << 27
@@ -151,7 +151,8 @@ def repeating(docs: DataFrame, text_col: str) -> np.ndarray:
                 found = spans([t or b"" for t in part.column("_text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array(found.h)], ["h"])
 
-    hashes = docs.select(F.col(text_col).cast("binary").alias("_text")).mapInArrow(run, "h bigint")
+    texts = docs.select(F.col(text_col).cast("binary").alias("_text"))
+    hashes = small_batches(texts).mapInArrow(run, "h bigint")
     often = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     slot = F.col("h").bitwiseAND(SLOTS - 1) + 1
     rows = often.groupBy(F.bitmap_bucket_number(slot).alias("row")).agg(
@@ -182,7 +183,7 @@ def candidates(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str) ->
     names = ["_id", "_text_hash", "first", "after", "h", "g"]
     kind = sql_type(docs, id_col)
     schema = f"_id {kind}, _text_hash bigint, first int, after int, h bigint, g bigint"
-    return _rows(docs, id_col, text_col).mapInArrow(run, schema)
+    return small_batches(_rows(docs, id_col, text_col)).mapInArrow(run, schema)
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,7 +197,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     place = F.struct("_id", "_text_hash", "first")
     firsts = some.groupBy("h", "g").agg(F.min(place).alias("place"), F.max(place).alias("last"))
     firsts = firsts.where("place <> last").select("h", "g", "place")
-    met = some.join(firsts, ["h", "g"]).where(~place.eqNullSafe(F.col("place")))
+    met = split_join(some, firsts, ["h", "g"]).where(~place.eqNullSafe(F.col("place")))
     return met.select("_id", "_text_hash", "first", "after", F.col("place._id").alias("source"))
 
 
@@ -240,7 +241,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = sql_type(docs, id_col)
     schema = f"_id {kind}, _text binary, n_removed bigint, removed array<struct<start:bigint,end:bigint>>, sources array<{kind}>"
     sources = F.coalesce("sources", F.array().cast(f"array<{kind}>")).alias("sources")
-    return joined.mapInArrow(run, schema).select(
+    return small_batches(joined).mapInArrow(run, schema).select(
         F.col("_id").alias(id_col), F.col("_text").cast("string").alias("text"), "n_removed", "removed", sources
     )
 

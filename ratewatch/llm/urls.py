@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewatch.llm.common import split_join
+
 #: Rules that may be broadcast; beyond that, they are joined by a shuffle.
 BROADCAST_RULES = 100_000
 #: Parts that an expression's URLs are dealt to in that shuffle: many URLs share an expression.
@@ -62,7 +64,7 @@ def filtered(
         F.collect_set(F.length("path")).alias("lengths"),
     ).first()  # at most one entry for each label count and path length that occurs
     judged = _judged(rows.select("host", "path").distinct(), known, shape)
-    out = rows.join(judged, ["host", "path"], "left")
+    out = split_join(rows, judged, ["host", "path"], "left")
     verdict = F.coalesce("verdict", F.lit(default)).alias("verdict")
     return out.select(F.col("_id").alias(id_col), "host", "path", "rule", verdict)
 

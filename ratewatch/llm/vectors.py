@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewatch.llm.common import first_by_hash
+
 #: Rows that centres and first bounds are fitted on, and rows of a packed block or chunk.
 SAMPLE, BLOCK, CHUNK = 4096, 8192, 8192
 #: Lanes of the grid.
@@ -44,7 +46,7 @@ def matrix(column: pa.ListArray | pa.ChunkedArray, size: int) -> np.ndarray:
 
 def sample(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and vectors of the ``SAMPLE`` rows that come first by a hash of their id."""
-    first = rows.select("id", "v", F.xxhash64(F.lit("sample"), "id").alias("o")).orderBy("o", "id", "v").limit(SAMPLE).toArrow()
+    first = first_by_hash(rows, "sample", F.col("id"), SAMPLE, rows.count(), ["id", "v"])
     return first["id"].to_numpy(), matrix(first["v"], size).astype(float)
 
 

@@ -123,3 +123,28 @@ def test_chains_and_stars_settle(spark):
 def test_bits_beyond_the_index(spark):
     with pytest.raises(ValueError, match="at most 7"):
         simhash.edges(spark.createDataFrame([(1,)], "fp long"), 8)
+
+
+def test_a_hot_key_is_split(spark):
+    from ratewatch.llm.common import split_join
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    rows = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, 7, id) AS a", "id AS b")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = split_join(rows, rows.groupBy("a").agg({"b": "min"}), ["a"])
+        assert len(joined.collect()) == 60_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in plan

@@ -136,3 +136,15 @@ def test_blocks_hold_every_row_once(spark, monkeypatch):
     ids = [np.frombuffer(b["ids"], np.int64) for b in blocks]
     assert sorted(np.concatenate(ids).tolist()) == list(range(700)) and max(map(len, ids)) <= 50
     assert all((np.diff(np.frombuffer(b["keys"], float)) >= 0).all() for b in blocks)
+
+
+def test_the_sample_does_not_depend_on_how_it_is_found(spark):
+    from pyspark.sql import functions as F
+
+    from ratewatch.llm.common import first_by_hash
+
+    rows = spark.range(20_000).selectExpr("id", "id % 7 AS v")
+    want = rows.withColumn("o", F.xxhash64(F.lit("s"), "id")).orderBy("o").limit(100).toPandas()["id"].tolist()
+    for total in (0, 20_000, 10**9):
+        found = first_by_hash(rows, "s", F.col("id"), 100, total, ["v"])
+        assert found["id"].to_pylist() == want
