@@ -92,7 +92,7 @@ LATIN = (
 )
 
 #: Merged pre-tokens that a worker remembers, of at most so many characters each.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 48
+REMEMBERED, REMEMBERED_CHARS = 120_000, 48
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
