@@ -6,7 +6,8 @@ vectors are compared in column blocks of a random rotation: after each block, th
 partial squared distance, scaled up to all columns, is tested against the distance
 of the query's k-th best so far. A candidate that fails the test at the given
 significance is abandoned; what remains is scored exactly on the original vectors. The first
-bound comes from the sample, whose rows are candidates themselves.
+bound comes from the sample's rows in probed lists; those that set it are never abandoned, so
+a query finds ``k`` rows wherever its lists hold them.
 """
 
 from __future__ import annotations
@@ -53,6 +54,9 @@ def nearest(
     scaled, length = unit(points)
     points = scaled / length[:, None]
     centre = V.centres(points, LISTS)
+    away = V.squares(points, centre)
+    # Distances are rounded, so a sample row may lie in any list that is nearest up to that.
+    lists = (away <= away.min(axis=1, keepdims=True) + SLACK).astype(np.float32)
     turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, size)))[0]
 
     def assign(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,19 +73,24 @@ def nearest(
         np.put_along_axis(probed, V.squares(units, centre).argsort(axis=1, kind="stable")[:, :PROBES], True, axis=1)
         best = np.full((len(ids), k), -np.inf)
         bound = np.full(len(ids), -np.inf)
+        certain = np.empty((len(ids), min(k, len(points))), dtype=np.int64)
         for at in range(0, len(ids), 256):
             cosine = units[at : at + 256] @ points.T
             cosine[ids[at : at + 256, None] == sample_ids] = -np.inf
+            cosine[(~probed[at : at + 256]).astype(np.float32) @ lists.T > 0] = -np.inf
             bound[at : at + 256] = V.kth_best(cosine, k)
+            certain[at : at + 256] = sample_ids[np.argpartition(-cosine, certain.shape[1] - 1, axis=1)[:, : certain.shape[1]]]
 
         def scanner(number: int, own: np.ndarray, _: np.ndarray, x: np.ndarray):
             rows, lengths = unit(x)
             columns = (rows / lengths[:, None]) @ turn
             parts = [columns[:, c : c + COLUMNS] for c in range(0, size, COLUMNS)]
+            here = np.isin(certain, own).any(axis=1)
             out = [], [], []
             for q in np.flatnonzero(probed[:, number]):
                 radius = 2 - 2 * bound[q] if np.isfinite(bound[q]) else np.inf
                 alive, partial, seen = np.flatnonzero(own != ids[q]), 0.0, 0
+                kept = np.isin(own, certain[q]) if here[q] else None
                 for part in parts:
                     seen += part.shape[1]
                     partial = partial + ((part[alive] - turned[q, seen - part.shape[1] : seen]) ** 2).sum(axis=1)
@@ -90,6 +99,8 @@ def nearest(
                     else:
                         allowed = radius
                     keep = partial <= allowed + SLACK
+                    if kept is not None:
+                        keep |= kept[alive]
                     alive, partial = alive[keep], partial[keep]
                 if not len(alive):
                     continue
