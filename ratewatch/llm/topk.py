@@ -43,6 +43,13 @@ def lowered(bound: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(bound), bound - np.abs(bound) * 1e-12, bound)
 
 
+def firsts(at: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Where the ``k`` highest scores of every query are, ties to the smaller id, in order of the query."""
+    order = np.lexsort((ids, -scores, at))
+    sorted_at = at[order]
+    return order[np.arange(len(at)) - np.searchsorted(sorted_at, sorted_at) < k]
+
+
 def top_products(
     frame: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -108,9 +115,12 @@ def top_products(
                     at, column = np.nonzero(hit)
                     if not len(at):
                         continue
-                    found = longs(scores[at, column])
+                    found, others = longs(scores[at, column]), own[rows][column]
+                    # Copies tie with the k-th score, so a query keeps no more than k of an annulus and of a block.
+                    kept = firsts(at, others, found, k)
+                    at, found = at[kept], found[kept]
                     out[0].append(near[at])
-                    out[1].append(own[rows][column])
+                    out[1].append(others[kept])
                     out[2].append(found)
                     for q, values in zip(near, np.split(found, np.searchsorted(at, np.arange(1, len(near)))), strict=True):
                         if len(values):
@@ -119,7 +129,8 @@ def top_products(
             if not out[0]:
                 return np.empty(0, np.int64), [], []
             at, found, scores = (np.concatenate(o) for o in out)
-            keep = scores >= lowered(least[at])
+            keep = firsts(at, found, scores, k)
+            keep = keep[scores[keep] >= lowered(least[at[keep]])]
             return at[keep], found[keep], scores[keep]
 
         return scanner

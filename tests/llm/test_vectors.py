@@ -126,6 +126,15 @@ def test_many_chunks_of_queries(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == sorted(t for q in range(0, 900, 50) for t in products(rows, q, 3))
 
 
+def test_copies_do_not_meet_in_pairs(spark, monkeypatch):
+    """Of 3000 copies, a query emits a few of each block, not all others."""
+    rows = [(i, [0.5, 0.25]) for i in range(3000)]
+    want = [(q, n + 1, i, 327680) for q in range(0, 3000, 50) for n, i in enumerate([i for i in range(11) if i != q][:10])]
+    assert sorted(tuple(r) for r in topk.top_products(frame(spark, rows), every=50).collect()) == want
+    monkeypatch.setattr(V, "ranked", lambda found, k: found)
+    assert topk.top_products(frame(spark, rows), every=50).count() <= 60 * 10 * 20
+
+
 def test_large_numbers_stay_exact(spark):
     rows = [(0, [3.1e6, 1.0]), (1, [2.8e6, 7.0]), (2, [2.8e6, 7.001]), (3, [-1.0, -1.0]), (100, [2.8e6, 7.002])]
     got = topk.top_products(frame(spark, rows, "double")).collect()
