@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,13 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` from a table written in the shared folder, smaller than a checkpoint; columns can be read alone."""
+    path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
