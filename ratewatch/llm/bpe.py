@@ -8,24 +8,27 @@ A token that never comes down to two parts is reached only as a whole
 pre-token, which ``ignore_merges`` looks up first.
 
 Texts are split into pre-tokens by ``regex``, whose Unicode tables are current;
-the library's model merges each pre-token, and a worker remembers what it merged.
+each distinct pre-token of some texts is looked at once, and the library's model
+merges those that a task has not met lately.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from ratewatch.llm.common import lists, slices, small_batches, sql_type
+from ratewatch.llm.common import Recent, gathered, lists, slices, small_batches, sql_type
 
 
 def byte_characters() -> list[str]:
@@ -85,14 +88,18 @@ def unsettled_characters() -> str:
 
 #: The usual pre-token pattern, and the same for Latin-1 texts with its classes written out.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_LETTER, _NUMBER, _SPACE = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+LETTER, NUMBER, SPACE = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 LATIN = (
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
-    rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+"
+    rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 
-#: Merged pre-tokens that a worker remembers, of at most so many characters each.
-REMEMBERED, REMEMBERED_CHARS = 120_000, 48
+#: Ids are unsigned 32-bit numbers, the lowest byte first.
+ID = np.dtype("<u4")
+
+
+def as_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
@@ -112,21 +119,15 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return pre_tokens
 
 
-class Memo(dict):
-    """Values of pre-tokens: the given ones, and others as they are first met, up to a bound."""
-
-    def __init__(self, given: dict, value: Callable[[str], object]):
-        super().__init__(given)
-        self.given, self.value, self.most = given, value, len(given) + REMEMBERED
-
-    def __missing__(self, word: str):
-        value = self.value(word)
-        if len(word) <= REMEMBERED_CHARS:
-            if len(self) >= self.most:
-                self.clear()
-                self.update(self.given)
-            self[word] = value
-        return value
+def ids_of(split: list[list[str]], merged: Callable[[str], bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of these texts' pre-tokens, end to end, and where each text's start; the last start is the end."""
+    parts = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
+    known = [merged(p) for p in parts.dictionary.to_pylist()]
+    size = np.fromiter(map(len, known), np.int64, len(known)) // ID.itemsize
+    part = parts.indices.to_numpy()
+    ends = np.append(0, np.cumsum(size[part]))
+    ids = gathered(np.frombuffer(b"".join(known), ID), (np.cumsum(size) - size)[part], size[part])
+    return ids, ends[np.cumsum([0, *map(len, split)])]
 
 
 def encode(
@@ -140,7 +141,7 @@ def encode(
     holding all of it. A null text is an empty one and gives an empty list. Rows
     are kept as they come, repeated or with a null id; further columns are not
     read. The file is read on the driver and sent as a broadcast (about 3 MB for
-    50,000 tokens); a worker keeps the ids of pre-tokens it has merged beside it.
+    50,000 tokens); a task keeps the ids of pre-tokens that it has merged lately.
     """
     ranks = read_ranks(path)
     length = np.zeros(max(ranks.values(), default=0) + 1, dtype=np.int64)
@@ -151,17 +152,17 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = sent.value
-        if "memo" not in kept:
-            model = Tokenizer.from_str(kept["model"]).model
-            kept["memo"] = Memo({}, lambda word: tuple(t.id for t in model.tokenize(as_characters(word.encode(), shown))))
-        pre_tokens, ids_of = splitter(pattern), kept["memo"].__getitem__
+        model = Tokenizer.from_str(kept["model"]).model
+        merged = Recent(lambda word: as_ids([t.id for t in model.tokenize(as_characters(word.encode(), shown))]))
+        pre_tokens = splitter(pattern)
         for batch in batches:
             for part in slices(batch, "_text"):
                 texts = [text or "" for text in part.column("_text").to_pylist()]
-                ids = [np.fromiter(chain.from_iterable(map(ids_of, pre_tokens(text))), np.int32) for text in texts]
-                columns = [part.column("_id"), lists(ids, pa.int32())]
+                ids, starts = ids_of([pre_tokens(text) for text in texts], merged.__getitem__)
+                own = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32)))
+                columns = [part.column("_id"), own]
                 if offsets:
-                    spans = [characters(t, kept["length"][i]) for t, i in zip(texts, ids, strict=True)]
+                    spans = [characters(t, kept["length"][ids[s:e]]) for t, s, e in zip(texts, starts, starts[1:], strict=False)]
                     columns += [lists([s[at] for s in spans], pa.int64()) for at in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -179,39 +180,62 @@ def characters(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[ends - lengths], at[ends - 1] + 1
 
 
+#: Ids that are decoded at a time.
+DECODED = 1 << 18
+
+
 def decode(
-    frame: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", as_text: bool = False
+    frame: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", as_text: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """``id_col``, ``ids``, ``decoded`` (bytes) and, with ``as_text``, ``decoded_text`` of every row.
+    """``id_col``, ``ids``, ``decoded`` (bytes), with ``as_text`` ``decoded_text``, and the columns ``keep`` of every row.
 
     The bytes are exact for any list of ids, also one that starts or ends within
     a character; in ``decoded_text`` such a part reads as U+FFFD. A null list is
     an empty one. An id outside the vocabulary raises ValueError.
     """
     ranks = read_ranks(path)
-    shown = frame.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+    size = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
+    size[list(ranks.values())] = list(map(len, ranks))
+    tokens = b"".join(sorted(ranks, key=ranks.__getitem__))
+    # Only the bytes and lengths of the tokens, below 1 MB for 50,000 of them.
+    table = frame.sparkSession.sparkContext.broadcast((tokens, size))
+
+    def raw_bytes(ids: np.ndarray) -> bytes:
+        tokens, size = table.value
+        first = np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
+        parts = []
+        for start in range(0, len(ids), DECODED):
+            own = ids[start : start + DECODED]
+            known = (own >= 0) & (own < len(size))
+            if not known.all() or (size[own] < 0).any():
+                raise ValueError(f"ids {own[~known].tolist()[:3]} are not in the vocabulary")
+            parts.append(gathered(np.frombuffer(tokens, np.uint8), first[own], size[own]).tobytes())
+        return b"".join(parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shown.value
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                raw = []
-                for ids in part.column("ids"):
-                    values = [] if not ids.is_valid else ids.values.to_pylist()
-                    try:
-                        raw.append(b"".join([table[i] for i in values]))
-                    except KeyError as unknown:
-                        raise ValueError(f"id {unknown} is not in the vocabulary") from None
-                columns = [part.column("_id"), part.column("ids"), pa.array(raw, pa.binary())]
+                ids = part.column("ids")
+                values = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                raw = raw_bytes(values)
+                # A null list has no values, so lengths tell where each row's bytes are.
+                count = np.array(pc.fill_null(pc.list_value_length(ids), 0))
+                ends = np.append(0, np.cumsum(table.value[1][values]))[np.append(0, np.cumsum(count))].tolist()
+                decoded = [raw[s:e] for s, e in zip(ends, ends[1:], strict=False)]
+                columns = [part.column("_id"), ids, pa.array(decoded, pa.binary())]
                 if as_text:
-                    columns.append(pa.array([r.decode("utf-8", "replace") for r in raw], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names)
+                    columns.append(pa.array([r.decode("utf-8", "replace") for r in decoded], pa.string()))
+                yield pa.RecordBatch.from_arrays([*columns, *(part.column(f"_{c}") for c in keep)], names)
 
-    names = ["_id", "ids", "decoded", *(["decoded_text"] if as_text else [])]
+    names = ["_id", "ids", "decoded", *(["decoded_text"] if as_text else []), *(f"_{c}" for c in keep)]
     schema = f"_id {sql_type(frame, id_col)}, ids array<int>, decoded binary" + ", decoded_text string" * as_text
-    rows = frame.select(F.col(id_col).alias("_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return small_batches(rows).mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    schema += "".join(f", _{c} {sql_type(frame, c)}" for c in keep)
+    rows = frame.select(
+        F.col(id_col).alias("_id"), F.col(ids_col).cast("array<int>").alias("ids"), *(F.col(c).alias(f"_{c}") for c in keep)
+    )
+    found = small_batches(rows).mapInArrow(run, schema)
+    return found.withColumnsRenamed({"_id": id_col} | {f"_{c}": c for c in keep})
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id", more: Sequence[str] = ()) -> DataFrame:

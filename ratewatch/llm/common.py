@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task holds in its own structures at a time; a longer text stands alone.
 SLICE_BYTES = 2 << 20
+#: Strings whose values a task remembers, of at most so many characters each.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 48
 #: Bytes of an Arrow batch on its way to a Python worker.
 BATCH_BYTES = 4 << 20
 
@@ -88,22 +90,52 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.withColumn("_zero", zero).join(right.withColumn("_zero", zero), [*keys, "_zero"], how).drop("_zero")
 
 
-def first_by_hash(rows: DataFrame, salt: str, key: Column, count: int, total: int, ties: list[str]) -> pa.Table:
+def first_by_hash(
+    rows: DataFrame, salt: str, key: Column, count: int, total: int, ties: list[str], times: int = 8
+) -> pa.Table:
     """The ``count`` rows that come first by a hash of ``key``, on the driver, with the hash as ``_order``.
 
     ``total`` is a number of rows that these are among. Tasks send only rows
-    below a hash that about eight times ``count`` of them lie below, so what
-    the driver gets does not grow with the number of tasks; if that leaves too
-    few rows, all of them are looked at.
+    below a hash that about ``times`` x ``count`` of ``total`` lie below, so what
+    the driver and the last task get does not grow with the number of tasks. Where
+    that leaves too few rows, the bound is widened to twice what their share asks for.
     """
     ordered = rows.withColumn("_order", F.xxhash64(F.lit(salt), key))
-    share = min(1.0, 8 * count / max(total, 1))
-    for part in (share, 1.0):
-        below = ordered if part == 1.0 else ordered.where(F.col("_order") < int(-(2**63) + part * 2**64))
+    share = min(1.0, times * count / max(total, 1))
+    while True:
+        below = ordered if share == 1.0 else ordered.where(F.col("_order") < int(-(2**63) + share * 2**64))
         found = below.orderBy("_order", *ties).limit(count).toArrow()
-        if found.num_rows == count:
-            break
-    return found
+        if found.num_rows == count or share == 1.0:
+            return found
+        share = min(1.0, share * max(2.0, 2 * count / max(found.num_rows, 1)))
+
+
+def gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that start at ``first`` and have this ``size``, end to end."""
+    ends = np.cumsum(size)
+    return values[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Recent(dict):
+    """Values of strings, remembered up to a bound; when it is reached, those met since the last time stay.
+
+    It lives as long as a task, so that no worker keeps it for the next stage.
+    """
+
+    def __init__(self, value: Callable[[str], bytes]):
+        super().__init__()
+        self.value, self.before = value, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.value(key)
+        if len(key) <= REMEMBERED_CHARS:
+            if 2 * len(self) >= REMEMBERED:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -19,8 +19,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ratewatch.llm.bpe import PATTERN, Memo, as_characters, byte_characters, splitter, unsettled_characters
-from ratewatch.llm.common import slices, small_batches, sql_type
+from ratewatch.llm.bpe import PATTERN, as_characters, byte_characters, splitter, unsettled_characters
+from ratewatch.llm.common import REMEMBERED, REMEMBERED_CHARS, slices, small_batches, sql_type
+
+
+class Memo(dict):
+    """Counts of pre-tokens: the given ones, and others as they are first met, up to a bound."""
+
+    def __init__(self, given: dict, value: Callable[[str], int]):
+        super().__init__(given)
+        self.given, self.value, self.most = given, value, len(given) + REMEMBERED
+
+    def __missing__(self, word: str) -> int:
+        value = self.value(word)
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self) >= self.most:
+                self.clear()
+                self.update(self.given)
+            self[word] = value
+        return value
+
 
 def proven(saved: str) -> set[str] | None:
     """The strings that alone give one token; None if texts need more than byte-level pre-tokens and merges."""
@@ -97,8 +115,8 @@ def token_counts(
     special tokens inside a text count as the library takes them. The shortcut
     serves byte-level BPE files; other models are counted by their library. A
     null text is an empty one: 0 bytes, 0 tokens. Rows are kept as they come,
-    repeated or with a null id; further columns are not read. A worker keeps the
-    counts of pre-tokens it has merged beside the broadcast.
+    repeated or with a null id; further columns are not read. A task keeps the
+    counts of pre-tokens that it has merged.
     """
     with open(path, "rb") as file:
         raw = file.read()
@@ -109,10 +127,8 @@ def token_counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         kept = sent.value
-        if "count" not in kept:
-            saved = kept["model"]
-            kept["count"] = pieces(saved) if whole else counter(saved.decode(), kept["known"], kept["unsettled"])
-        count = kept["count"]
+        saved = kept["model"]
+        count = pieces(saved) if whole else counter(saved.decode(), kept["known"], kept["unsettled"])
         for batch in batches:
             for part in slices(batch, "_text"):
                 n = [count(text) if text else 0 for text in part.column("_text").to_pylist()]

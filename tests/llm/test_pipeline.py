@@ -94,7 +94,7 @@ def test_stages_stand_clashing_columns(spark):
 
 def test_queries_are_registered():
     names = driver.queries()
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.queries()) <= set(names) and "pipeline" in names
     assert all(len(inspect.signature(names[n]).parameters) == 2 for n in queries.queries())
 
@@ -102,7 +102,7 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "documents", "embeddings"):
+    for t in ("pages", "documents", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     want = con.execute(queries.oracle_sql()[name]).fetchall()
     columns = [d[0] for d in con.description]

@@ -1,0 +1,94 @@
+"""Importance resampling against plain counts over whole texts."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from ratewatch.llm import resampling
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words_of(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def features(text, most):
+    words = words_of(text)
+    return [" ".join(words[i : i + n]).encode() for n in range(1, most + 1) for i in range(len(words) - n + 1)]
+
+
+def counts(texts, most, buckets):
+    total = Counter(zlib.crc32(f) % buckets for text in texts for f in features(text, most))
+    return [total[b] for b in range(buckets)]
+
+
+def brute_force(docs, target, percent, least, buckets, most, seed=2024):
+    s, t = counts([d[1] for d in docs], most, buckets), counts(target, most, buckets)
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (sum(s) + buckets) / ((s[b] + 1) * (sum(t) + buckets)))) for b in range(buckets)]
+    rows = []
+    for i, text in docs:
+        own = features(text, most)
+        weight = sum(gain[zlib.crc32(f) % buckets] for f in own)
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([i, len(own), weight, score, None, len(words_of(text)) >= least])
+    able = sorted((r for r in rows if r[5]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, row in enumerate(able[: percent * len(able) // 100], 1):
+        row[4] = rank
+    return sorted(map(repr, (tuple(r[:5]) for r in rows)))
+
+
+def texts(seed, n):
+    rng = random.Random(seed)
+    lines = [" ".join(rng.choice(["ab", "Cd", "é3", "x-y", "日本", "_", "12"]) for _ in range(rng.randint(0, 9))) for _ in range(25)]
+    return [rng.choice(["\n", "\r\n", "\n\n", " "]).join(rng.choice(lines) for _ in range(rng.randint(0, 8))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_against_whole_texts(spark, documents, most):
+    docs = list(enumerate(texts(most, 150))) + [(500, None), (501, ""), (None, "a b c d e\nf g"), (502, "\x00|{`@"), (503, "long " * 30_000)]
+    target = [*texts(9, 20), None]
+    frame = spark.createDataFrame([(1, t) for t in target], "item_id int, text string")
+    found = resampling.resampled(documents(docs).repartition(6), frame, 30, 5, buckets=97, most=most)
+    assert sorted(repr(tuple(r)) for r in found.collect()) == brute_force(docs, target, 30, 5, 97, most)
+
+
+def test_copies_repeated_rows_and_ties(spark, documents):
+    docs = [(i, "one two three four five\nsix") for i in range(90)] + [(7, "one two three four five\nsix")] * 60
+    frame = spark.createDataFrame([("two six",)], "text string")
+    found = resampling.resampled(documents(docs), frame, 50, 5, buckets=50)
+    assert sorted(repr(tuple(r)) for r in found.collect()) == brute_force(docs, ["two six"], 50, 5, 50, 1)
+
+
+def test_empty_tables(spark, documents):
+    none = spark.createDataFrame([], "text string")
+    assert resampling.resampled(documents([]), none).collect() == []
+    docs = [(1, "a b c"), (2, None)]
+    found = resampling.resampled(documents(docs), none, 100, 1, buckets=10)
+    assert sorted(repr(tuple(r)) for r in found.collect()) == brute_force(docs, [], 100, 1, 10, 1)
+
+
+def test_crossing_runs_are_all_others():
+    rng = random.Random(2)
+    for _ in range(200):
+        lines = [[rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randint(0, 4))] for _ in range(rng.randint(0, 6))]
+        most = rng.randint(1, 4)
+        inside = Counter(f for line in lines for f in resampling.runs(line, most))
+        crossing = Counter(resampling.crossing(lines, most))
+        assert inside + crossing == Counter(resampling.runs([w for line in lines for w in line], most))
+
+
+def test_hot_lines_are_counted_once_with_their_occurrences(spark, documents, monkeypatch):
+    docs = [(i, "the same licence line\nown words " + str(i)) for i in range(300)]
+    found = resampling.bucket_counts(documents(docs), 64)
+    assert found.tolist() == counts([d[1] for d in docs], 1, 64)
+    assert np.all(resampling.gains(found, found) == 0)

@@ -118,7 +118,43 @@ def test_empty_table(documents):
 
 
 def test_the_memo_forgets_at_its_bound(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 2)
-    memo = bpe.Memo({"a": 1}, len)
+    monkeypatch.setattr(tokens, "REMEMBERED", 2)
+    memo = tokens.Memo({"a": 1}, len)
     assert [memo[w] for w in ("bb", "ccc", "dddd", "a", "bb")] == [2, 3, 4, 1, 2]
     assert len(memo) <= 3
+
+
+def test_offsets_digest_of_the_query(spark):
+    """Starts and ends as the library's tokens give them, hashed alike."""
+    from pyspark.sql import functions as F
+
+    from ratewatch.llm import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    reference = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    rows = []
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        raw = (r["text"] or "").encode()
+        begun = [0]
+        for byte in raw:
+            begun.append(begun[-1] + (byte & 0xC0 != 0x80))
+        at, starts, ends = 0, [], []
+        for token in reference.encode_ordinary(r["text"] or ""):
+            size = len(reference.decode_single_token_bytes(token))
+            starts.append(begun[at + 1] - 1)
+            ends.append(begun[at + size])
+            at += size
+        rows.append((r["doc_id"], starts, ends))
+    want = spark.createDataFrame(rows, "doc_id long, starts array<long>, ends array<long>")
+    expected = {(r[0], r[1]) for r in want.select("doc_id", F.xxhash64("starts", "ends")).collect()}
+    found = queries.op5_byte_bpe(spark, sf_dir).select("doc_id", "offsets_xxhash64")
+    assert {(r[0], r[1]) for r in found.collect()} == expected
+
+
+def test_decoding_keeps_columns_and_refuses_unknown_ids(spark):
+    frame = spark.createDataFrame([(1, [72, 105], 5), (2, None, 6), (3, [], None)], "doc_id long, ids array<int>, ends int")
+    rows = {r["doc_id"]: r for r in bpe.decode(frame, RANKS, keep=["ends"]).collect()}
+    assert rows[1]["ends"] == 5 and rows[2]["decoded"] == b"" and rows[3]["ends"] is None
+    for unknown in (-1, 60_000):
+        with pytest.raises(Exception, match="not in the vocabulary"):
+            bpe.decode(spark.createDataFrame([(1, [unknown])], "doc_id long, ids array<int>"), RANKS).collect()
