@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import cut, slices, small_batches, split_join, sql_type
+from ratewatch.llm.common import cut, mapped, slices, split_join, sql_type
 
 #: The filters' letters, in the order of their bits, and their bounds.
 FILTERS = "ABCDE"
@@ -67,7 +67,7 @@ def masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_
     part = F.coalesce(F.col(part_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), part.alias("part"))
     schema = f"_id {sql_type(docs, id_col)}, part string, _bits int, _digest binary"
-    judged = cut(small_batches(rows).mapInArrow(run, schema))
+    judged = cut(mapped(rows, run, schema))
     shared = judged.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     shared = shared.where("_first < _last").select("_digest", "_first")
     joined = split_join(judged, shared, ["_digest"], "left")

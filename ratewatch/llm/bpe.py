@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import re
-import struct
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from ratewatch.llm.common import Recent, gathered, lists, slices, small_batches, sql_type
+from ratewatch.llm.common import Recent, gathered, lists, mapped, slices, sql_type
 
 
 def byte_characters() -> list[str]:
@@ -98,8 +97,21 @@ LATIN = (
 ID = np.dtype("<u4")
 
 
-def as_ids(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def merging(model: models.Model) -> Callable[[list[str]], list[bytes]]:
+    """The ids that ``model`` merges pre-tokens to, as the bytes of ``ID`` numbers."""
+    shown, tokenize = dict(enumerate(byte_characters())), model.tokenize
+
+    def merged(words: list[str]) -> list[bytes]:
+        ids, ends = [], [0]
+        for word in words:
+            # Printing ASCII but the space stands for itself.
+            plain = word.isascii() and word.isprintable() and " " not in word
+            ids += [t.id for t in tokenize(word if plain else as_characters(word.encode(), shown))]
+            ends.append(len(ids))
+        raw, width = np.array(ids, ID).tobytes(), ID.itemsize
+        return [raw[width * s : width * e] for s, e in zip(ends, ends[1:], strict=False)]
+
+    return merged
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
@@ -119,10 +131,10 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return pre_tokens
 
 
-def ids_of(split: list[list[str]], merged: Callable[[str], bytes]) -> tuple[np.ndarray, np.ndarray]:
+def ids_of(split: list[list[str]], merged: Recent) -> tuple[np.ndarray, np.ndarray]:
     """The ids of these texts' pre-tokens, end to end, and where each text's start; the last start is the end."""
     parts = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
-    known = [merged(p) for p in parts.dictionary.to_pylist()]
+    known = merged(parts.dictionary)
     size = np.fromiter(map(len, known), np.int64, len(known)) // ID.itemsize
     part = parts.indices.to_numpy()
     ends = np.append(0, np.cumsum(size[part]))
@@ -148,17 +160,15 @@ def encode(
     for token, rank in ranks.items():
         length[rank] = len(token)
     sent = frame.sparkSession.sparkContext.broadcast({"model": tokenizer_of(ranks, pattern).to_str(), "length": length})
-    shown = dict(enumerate(byte_characters()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = sent.value
-        model = Tokenizer.from_str(kept["model"]).model
-        merged = Recent(lambda word: as_ids([t.id for t in model.tokenize(as_characters(word.encode(), shown))]))
+        merged = Recent(merging(Tokenizer.from_str(kept["model"]).model))
         pre_tokens = splitter(pattern)
         for batch in batches:
             for part in slices(batch, "_text"):
                 texts = [text or "" for text in part.column("_text").to_pylist()]
-                ids, starts = ids_of([pre_tokens(text) for text in texts], merged.__getitem__)
+                ids, starts = ids_of([pre_tokens(text) for text in texts], merged)
                 own = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32)))
                 columns = [part.column("_id"), own]
                 if offsets:
@@ -169,7 +179,7 @@ def encode(
     names = ["_id", "ids", *(["starts", "ends"] if offsets else [])]
     schema = f"_id {sql_type(frame, id_col)}, ids array<int>" + ", starts array<bigint>, ends array<bigint>" * offsets
     rows = frame.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return small_batches(rows).mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return mapped(rows, run, schema).withColumnRenamed("_id", id_col)
 
 
 def characters(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +244,7 @@ def decode(
     rows = frame.select(
         F.col(id_col).alias("_id"), F.col(ids_col).cast("array<int>").alias("ids"), *(F.col(c).alias(f"_{c}") for c in keep)
     )
-    found = small_batches(rows).mapInArrow(run, schema)
+    found = mapped(rows, run, schema)
     return found.withColumnsRenamed({"_id": id_col} | {f"_{c}": c for c in keep})
 
 

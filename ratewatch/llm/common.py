@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that a Python task holds in its own structures at a time; a longer text stands alone.
 SLICE_BYTES = 2 << 20
@@ -65,6 +67,16 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start, end - start)
 
 
+#: Spark's suffixes of byte sizes, as powers of 1024.
+_UNITS = {"": 0, "b": 0, "k": 1, "kb": 1, "m": 2, "mb": 2, "g": 3, "gb": 3, "t": 4, "tb": 4, "p": 5, "pb": 5}
+
+
+def byte_size(text: str) -> int:
+    """Bytes of a Spark setting such as ``4194304b``, ``512k`` or ``1m``; without a number, -1."""
+    found = re.fullmatch(r"\s*(\d+)\s*([a-z]*)\s*", text.lower())
+    return int(found.group(1)) << 10 * _UNITS[found.group(2)] if found and found.group(2) in _UNITS else -1
+
+
 def small_batches(rows: DataFrame) -> DataFrame:
     """``rows``, whose session sends Arrow batches of at most about ``BATCH_BYTES`` from now on.
 
@@ -73,12 +85,29 @@ def small_batches(rows: DataFrame) -> DataFrame:
     lower one stays.
     """
     conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = re.fullmatch(r"(\d+)b?", conf.get(name))
-    if now is None or int(now.group(1)) > BATCH_BYTES:
+    if not 0 < byte_size(conf.get(name)) <= BATCH_BYTES:
         conf.set(name, f"{BATCH_BYTES}b")
     return rows
 
 
+def give_back() -> None:
+    """Return memory that is free to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def mapped(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``rows`` in small batches through ``run``; at a task's end its worker, which Spark keeps, gives its memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return small_batches(rows).mapInArrow(task, schema)
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """A join in which Spark can split a hot key's partition of ``left``.
 
@@ -116,26 +145,32 @@ def gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndar
     return values[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-class Recent(dict):
+class Recent:
     """Values of strings, remembered up to a bound; when it is reached, those met since the last time stay.
 
     It lives as long as a task, so that no worker keeps it for the next stage.
+    ``values`` makes the values of strings that are not remembered.
     """
 
-    def __init__(self, value: Callable[[str], bytes]):
-        super().__init__()
-        self.value, self.before = value, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.value(key)
-        if len(key) <= REMEMBERED_CHARS:
-            if 2 * len(self) >= REMEMBERED:
-                self.before = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+    def __init__(self, values: Callable[[list[str]], list[bytes]]):
+        self.values, self.now, self.before = values, {}, {}
+
+    def __call__(self, keys: pa.StringArray) -> list[bytes]:
+        """The values of distinct keys."""
+        keys = keys.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.now.get, keys))
+        if None in found:
+            at = [i for i, value in enumerate(found) if value is None]
+            again = list(map(self.before.get, [keys[i] for i in at]))
+            for i, value in zip(at, again, strict=True):
+                found[i] = value
+            new = [i for i, value in zip(at, again, strict=True) if value is None]
+            for i, value in zip(new, self.values([keys[i] for i in new]), strict=True):
+                found[i] = value
+            if 2 * (len(self.now) + len(at)) > REMEMBERED:
+                self.before, self.now = self.now, {}
+            self.now.update((keys[i], found[i]) for i in at if len(keys[i]) <= REMEMBERED_CHARS)
+        return found
 
 
 def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:

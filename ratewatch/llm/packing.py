@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ratewatch.llm.bpe import ID, LETTER, NUMBER, SPACE, as_characters, as_ids, byte_characters
-from ratewatch.llm.common import BATCH_BYTES, Recent, gathered, slices, small_batches, sql_type, stored
+from ratewatch.llm.bpe import ID, LETTER, NUMBER, SPACE, merging
+from ratewatch.llm.common import BATCH_BYTES, Recent, gathered, mapped, slices, sql_type, stored
 
 #: Characters of a text that are split into words at a time.
 BLOCK_CHARS = 1 << 20
@@ -87,9 +87,8 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.by_words = parts_at_spaces(saved)
-        self.model, self.shown = self.library.model, dict(enumerate(byte_characters()))
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.merged = Recent(self._merged)
+        self.merged = Recent(merging(self.library.model))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
@@ -112,17 +111,19 @@ class Encoder:
         for content in self.added:
             odd = pc.or_(odd, pc.match_substring(words, content))
         odd = odd.to_numpy(zero_copy_only=False)
-        plain = words.filter(pa.array(~odd)).to_pylist()
-        parts = pa.array(LATIN_WORDS.findall("\n".join([*plain, ""]).lower()), pa.string()).dictionary_encode()
-        known = [self.merged[p] for p in parts.dictionary.to_pylist()]
+        plain = words.filter(pa.array(~odd))
+        # One text of all words, each with a line end behind it, which no word holds.
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(plain)], plain), "\n")[0].as_py() + "\n"
+        parts = pa.array(LATIN_WORDS.findall(text.lower()), pa.string()).dictionary_encode()
+        known = self.merged(parts.dictionary)
+        mark = parts.dictionary.index("\n").as_py()
+        known[mark] = b""
         size = np.fromiter(map(len, known), np.int64, len(known)) // ID.itemsize
         part = parts.indices.to_numpy()
         ends = np.cumsum(size[part])
         ids = [gathered(np.frombuffer(b"".join(known), ID), (np.cumsum(size) - size)[part], size[part])]
-        # A line end behind each word tells where it ends.
-        mark = parts.dictionary.index("\n").as_py()
         sizes = np.zeros(len(words), np.int64)
-        sizes[~odd] = np.diff(ends[part == mark], prepend=0)
+        sizes[~odd] = np.diff(ends[part == mark], prepend=0)[: len(plain)]
         for at in np.flatnonzero(odd).tolist():
             own = np.frombuffer(self._whole(words[at].as_py()), ID)
             ids.append(own)
@@ -133,14 +134,7 @@ class Encoder:
         return np.concatenate(ids), first, sizes
 
     def _whole(self, text: str) -> bytes:
-        return as_ids(self.library.encode(text, add_special_tokens=False).ids)
-
-    def _merged(self, part: str) -> bytes:
-        if part == "\n":
-            return b""
-        # Printing ASCII stands for itself.
-        shown = part if part.isascii() and part.isprintable() else as_characters(part.encode(), self.shown)
-        return as_ids([t.id for t in self.model.tokenize(shown)])
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, ID).tobytes()
 
 
 def best_fill(room: int, lengths: list[int], left: dict[int, int]) -> dict[int, int]:
@@ -323,7 +317,7 @@ def pieces(
     names = ["_id", "start", "length", "doc_tokens", "_task", "_rank", "ids"]
     numbers = ", ".join(f"{n} bigint" for n in names[1:-1])
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return small_batches(rows).mapInArrow(run, f"_id {sql_type(docs, id_col)}, {numbers}, ids binary")
+    return mapped(rows, run, f"_id {sql_type(docs, id_col)}, {numbers}, ids binary")
 
 
 def packed(
@@ -361,7 +355,7 @@ def packed(
     names = ["_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
     numbers = ", ".join(f"{n} bigint" for n in names[1:-1])
     rows = ranked.select("_id", "start", "length", "doc_tokens", (F.col("_rank") + F.col("_before")).alias("_rank"), "ids")
-    laid = small_batches(rows).mapInArrow(run, f"_id {sql_type(docs, id_col)}, {numbers}, ids binary")
+    laid = mapped(rows, run, f"_id {sql_type(docs, id_col)}, {numbers}, ids binary")
     return laid.withColumnRenamed("_id", id_col)
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import first_by_hash, slices, small_batches, sql_type
+from ratewatch.llm.common import first_by_hash, mapped, slices, sql_type
 
 KINDS = ("email", "ip", "card", "phone")
 #: Prior log potential of two linked tokens of the same label, "none" included.
@@ -445,7 +445,7 @@ def personal_data(
                 yield pa.RecordBatch.from_arrays([part.column("_id"), column(base), column(every)], ["_id", "base", "spans"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    found = small_batches(rows).mapInArrow(run, f"_id {sql_type(docs, id_col)}, base {span}, spans {span}")
+    found = mapped(rows, run, f"_id {sql_type(docs, id_col)}, base {span}, spans {span}")
     return found.withColumnRenamed("_id", id_col)
 
 
@@ -486,7 +486,7 @@ def redacted(
                     new[length_col] = pa.array(sizes, old.type)
                 yield pa.RecordBatch.from_arrays([new.get(c, part.column(c)) for c in columns], columns)
 
-    return small_batches(docs).mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def replaced(text: str, spans: list[tuple[int, int, int]]) -> str:

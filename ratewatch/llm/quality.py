@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ratewatch.llm.common import lists, slices, small_batches
+from ratewatch.llm.common import lists, mapped, slices
 
 BUCKETS, DIMS, NONZERO = 1 << 14, 32, 4
 POOLED = 2 * DIMS
@@ -90,9 +90,8 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         columns = [pa.array(met, pa.int32()), *[pa.array(total[met, d].astype(np.int64)) for d in range(DIMS)]]
         yield pa.RecordBatch.from_arrays(columns, ["bucket", *names])
 
-    parts = small_batches(docs.select(F.col(text_col).cast("binary").alias("_text"))).mapInArrow(
-        run, "bucket int, " + ", ".join(f"{n} bigint" for n in names)
-    )
+    texts = docs.select(F.col(text_col).cast("binary").alias("_text"))
+    parts = mapped(texts, run, "bucket int, " + ", ".join(f"{n} bigint" for n in names))
     found = parts.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     vectors = np.zeros((BUCKETS, DIMS), np.float32)
     if found.num_rows:
@@ -211,7 +210,7 @@ def train(
 
     # At most SAMPLE labels are broadcast; a document may be there more than once.
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).join(F.broadcast(known), "_id")
-    sample = small_batches(rows.drop("_id")).mapInArrow(run, "_order bigint, _label double, vector array<float>")
+    sample = mapped(rows.drop("_id"), run, "_order bigint, _label double, vector array<float>")
     sample = sample.orderBy("_order", "_label", "vector").limit(2 * SAMPLE).toArrow()
     x = sample["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, POOLED)
     return Model(vectors, fit(x, sample["_label"].to_numpy().astype(float)))
@@ -236,7 +235,7 @@ def scored(docs: DataFrame, model: Model, columns: list[str], text_col: str = "t
 
     rows = docs.select(*dict.fromkeys([*columns, text_col]))
     schema = StructType([*(docs.schema[c] for c in columns), StructField(score_col, DoubleType())])
-    return small_batches(rows).mapInArrow(run, schema)
+    return mapped(rows, run, schema)
 
 
 def qualities(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import cut, slices, small_batches, split_join, sql_type
+from ratewatch.llm.common import cut, mapped, slices, split_join, sql_type
 
 #: Distinct lines, and features, that a task remembers at a time.
 REMEMBERED = 60_000
@@ -125,11 +125,11 @@ def bucket_counts(texts: DataFrame, buckets: int, most: int = 1, text_col: str =
                     counted(total, crossing([line.split() for line in (raw or b"").translate(PLAIN).split(b"\n")], most))
         yield rows(total)
 
-    plain = small_batches(texts.select(F.col(text_col).alias("_text")))
-    lines = plain.mapInArrow(cut_into_lines, "line binary, n bigint").groupBy("line").agg(F.sum("n").alias("n"))
-    counts = small_batches(lines).mapInArrow(of_lines, "bucket int, n bigint")
+    plain = texts.select(F.col(text_col).alias("_text"))
+    lines = mapped(plain, cut_into_lines, "line binary, n bigint").groupBy("line").agg(F.sum("n").alias("n"))
+    counts = mapped(lines, of_lines, "bucket int, n bigint")
     if most > 1:
-        counts = counts.union(plain.mapInArrow(of_crossings, "bucket int, n bigint"))
+        counts = counts.union(mapped(plain, of_crossings, "bucket int, n bigint"))
     found = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(buckets, np.int64)
     total[found["bucket"].to_numpy()] = found["n"].to_numpy()
@@ -191,7 +191,7 @@ def weighed(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     names = ["_id", "n_words", "n_features", "weight"]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     schema = f"_id {sql_type(docs, id_col)}, n_words bigint, n_features bigint, weight bigint"
-    return small_batches(rows).mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return mapped(rows, run, schema).withColumnRenamed("_id", id_col)
 
 
 def resampled(

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import cut, slices, small_batches, split_join, sql_type
+from ratewatch.llm.common import cut, mapped, slices, split_join, sql_type
 from ratewatch.llm.components import roots
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -71,7 +71,7 @@ def fingerprints(
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"), *more)
     added = rows.columns[2:]
-    return small_batches(rows).mapInArrow(run, f"_id {sql_type(docs, id_col)}, fp bigint" + "".join(f", {c} bigint" for c in added))
+    return mapped(rows, run, f"_id {sql_type(docs, id_col)}, fp bigint" + "".join(f", {c} bigint" for c in added))
 
 
 def position_sets(matches: int) -> list[tuple[int, ...]]:

@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.common import slices, small_batches, split_join, sql_type
+from ratewatch.llm.common import mapped, slices, split_join, sql_type
 
 LONG, MOST, RUN, WORDS = 12, 12, 3, 15
 SLOTS = 1 << 27
 #: Bits of one row of the map, as Spark's bitmap functions have them.
 _ROW = 1 << 15
+#: Rows alike that one row of a task is multiplied to.
+COPIES = 10_000
 #: Bytes of text handled at a time.
 _SLICE = 1 << 20
 
@@ -152,7 +154,7 @@ def repeating(docs: DataFrame, text_col: str) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(found.h)], ["h"])
 
     texts = docs.select(F.col(text_col).cast("binary").alias("_text"))
-    hashes = small_batches(texts).mapInArrow(run, "h bigint")
+    hashes = mapped(texts, run, "h bigint")
     often = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     slot = F.col("h").bitwiseAND(SLOTS - 1) + 1
     rows = often.groupBy(F.bitmap_bucket_number(slot).alias("row")).agg(
@@ -183,7 +185,7 @@ def candidates(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str) ->
     names = ["_id", "_text_hash", "first", "after", "h", "g"]
     kind = sql_type(docs, id_col)
     schema = f"_id {kind}, _text_hash bigint, first int, after int, h bigint, g bigint"
-    return small_batches(_rows(docs, id_col, text_col)).mapInArrow(run, schema)
+    return mapped(_rows(docs, id_col, text_col), run, schema)
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +195,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     is the id of the first.
     """
     some = candidates(docs, repeating(docs, text_col), id_col, text_col)
-    # Rows with the same id and text are one document, so they have one place.
+    # Rows with the same id and text have one place; ``deduplicated`` numbers them.
     place = F.struct("_id", "_text_hash", "first")
     firsts = some.groupBy("h", "g").agg(F.min(place).alias("place"), F.max(place).alias("last"))
     firsts = firsts.where("place <> last").select("h", "g", "place")
@@ -208,41 +210,63 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     arrays of start and end; ``sources`` the ids of the documents with the first
     occurrences, in order. The first occurrence stays whole; within one
     document, too, the first stays. Removing takes the sentence and the white
-    space behind it. Rows that share id and text are one document and come out
-    alike; rows that share only the id are separate. A null text stays null; a
-    text of fewer than ``RUN`` sentences or ``WORDS`` words has no span and
-    stays whole. White space is ASCII's. Further columns are not read.
+    space behind it. Of rows that share id and text, null ids among them, one
+    counts as the first and the others repeat every span of it; rows that share
+    only the id are separate. A null text stays null; a text of fewer than
+    ``RUN`` sentences or ``WORDS`` words has no span and stays whole. White space
+    is ASCII's. Further columns are not read.
     """
-    cover = repeated(docs, id_col, text_col).groupBy("_id", "_text_hash").agg(
-        F.collect_set(F.struct("first", "after")).alias("covered"), F.sort_array(F.collect_set("source")).alias("sources")
+    kind, rows = sql_type(docs, id_col), _rows(docs, id_col, text_col)
+    key = ["_id", "_text_hash"]
+    copied = rows.where("_text IS NOT NULL").groupBy(*key).agg(F.count("*").alias("copies")).where("copies > 1")
+    found = repeated(docs, id_col, text_col).select(*key, F.struct("first", "after").alias("span"), "source")
+    cover = found.unionByName(copied, allowMissingColumns=True).groupBy(*key).agg(
+        F.collect_set("span").alias("covered"), F.sort_array(F.collect_set("source")).alias("sources"), F.max("copies").alias("copies")
     )  # at most one entry for each sentence of the document
-    rows = _rows(docs, id_col, text_col)
-    same = rows["_id"].eqNullSafe(cover["_id"]) & rows["_text_hash"].eqNullSafe(cover["_text_hash"])
-    joined = rows.join(cover, same, "left").select(rows["_id"], "_text", "covered", "sources")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own = [F.col(k).alias(f"c{k}") for k in key]
+    same = [F.col(k).eqNullSafe(F.col(f"c{k}")) for k in key]
+    joined = rows.join(cover.select(*own, "covered", "sources", "copies"), same, "left")
+    single = joined.where("copies IS NULL").select("_id", "_text", "covered", "sources", F.lit(1).cast("bigint").alias("copies"))
+    # Rows that are alike in all that is read: one of each is enough, with their number.
+    alike = rows.join(copied.select(*own), same, "left_semi").groupBy(*key).agg(F.first("_text").alias("_text"))
+    alike = alike.join(cover.select(*own, "covered", "sources", "copies"), same).select("_id", "_text", "covered", "sources", "copies")
+
+    def run(batches: Iterator[pa.RecordBatch], repeats: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", _SLICE):
-                texts, covered = part.column("_text").to_pylist(), part.column("covered").to_pylist()
-                cleaned = [
-                    without(text, [(c["first"], c["after"]) for c in spans]) if spans else (text, 0, [])
-                    for text, spans in zip(texts, covered, strict=True)
-                ]
+                ids, texts, covered = (part.column(c).to_pylist() for c in ("_id", "_text", "covered"))
+                sources = [own or [] for own in part.column("sources").to_pylist()]
+                covered = [{(c["first"], c["after"]) for c in own or []} for own in covered]
+                if repeats:
+                    every = [set(zip(x.first.tolist(), x.after.tolist(), strict=True)) for x in (spans([t]) for t in texts)]
+                    # What no other document holds first, the first of these rows does.
+                    sources = [
+                        sorted({*s, i}) if i is not None and e - c else s
+                        for i, e, c, s in zip(ids, every, covered, sources, strict=True)
+                    ]
+                    covered = every
+                cleaned = [without(t, list(c)) if c else (t, 0, []) for t, c in zip(texts, covered, strict=True)]
                 flat = [place for c in cleaned for place in c[2]]
                 places = pa.StructArray.from_arrays([pa.array([p[i] for p in flat], pa.int64()) for i in (0, 1)], ["start", "end"])
                 ends = np.cumsum([0, *(len(c[2]) for c in cleaned)])
                 columns = [
                     part.column("_id"), pa.array([c[0] for c in cleaned], pa.binary()), pa.array([c[1] for c in cleaned], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places), part.column("sources"),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places), pa.array(sources, part.column("sources").type),
+                    part.column("copies"),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["_id", "_text", "n_removed", "removed", "sources"]
-    kind = sql_type(docs, id_col)
-    schema = f"_id {kind}, _text binary, n_removed bigint, removed array<struct<start:bigint,end:bigint>>, sources array<{kind}>"
-    sources = F.coalesce("sources", F.array().cast(f"array<{kind}>")).alias("sources")
-    return small_batches(joined).mapInArrow(run, schema).select(
-        F.col("_id").alias(id_col), F.col("_text").cast("string").alias("text"), "n_removed", "removed", sources
+    names = ["_id", "_text", "n_removed", "removed", "sources", "copies"]
+    schema = f"_id {kind}, _text binary, n_removed bigint, removed array<struct<start:bigint,end:bigint>>, sources array<{kind}>, copies bigint"
+    first = mapped(single.unionByName(alike), lambda batches: run(batches, False), schema)
+    others = mapped(alike, lambda batches: run(batches, True), schema)
+    # As many rows as there were, a bounded number from each task's row.
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 2) / COPIES)))
+    dealt = others.withColumn("chunk", chunk).repartition("_id", "chunk")
+    left = F.least(F.lit(COPIES), F.col("copies") - 1 - F.col("chunk") * COPIES)
+    others = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), left.cast("bigint"))))
+    return first.unionByName(others.select(*names)).select(
+        F.col("_id").alias(id_col), F.col("_text").cast("string").alias("text"), "n_removed", "removed", "sources"
     )
 
 

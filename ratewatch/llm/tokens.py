@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ratewatch.llm.bpe import PATTERN, as_characters, byte_characters, splitter, unsettled_characters
-from ratewatch.llm.common import REMEMBERED, REMEMBERED_CHARS, slices, small_batches, sql_type
+from ratewatch.llm.common import REMEMBERED, REMEMBERED_CHARS, mapped, slices, sql_type
 
 
 class Memo(dict):
@@ -137,5 +137,5 @@ def token_counts(
     names = ["_id", "n_bytes", "n_tokens"]
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
     rows = frame.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), size.alias("_bytes"))
-    counted = small_batches(rows).mapInArrow(run, f"_id {sql_type(frame, id_col)}, n_bytes bigint, n_tokens bigint")
+    counted = mapped(rows, run, f"_id {sql_type(frame, id_col)}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit).withColumnRenamed("_id", id_col)

@@ -121,6 +121,42 @@ def test_against_plain(documents, prose):
             assert "".join([*left, text[done:]]) == match[0]["text"]
 
 
+def test_rows_alike_keep_one_whole(documents, prose, monkeypatch):
+    """Against the plain pass, in which every further row is a later document."""
+    monkeypatch.setattr(S, "COPIES", 4)
+    shared = passage(prose, 1)
+    alone, inner = prose(1, 80), prose(2, 30) + "\n" + shared + "\n" + prose(3, 30)
+    given = [(1, alone), (2, shared), (3, inner), (None, prose(4, 70)), (None, "One. Two."), (5, None), (6, ""), (7, shared + "\n" + shared)]
+    times = [23, 2, 3, 6, 3, 2, 2, 2]
+    rows = [r for r, n in zip(given, times, strict=True) for _ in range(n)] + [(8, "single " + prose(9, 60)), (9, alone)]
+    got = S.deduplicated(documents(rows).repartition(5)).collect()
+    assert len(got) == len(rows)
+    gone = plain(rows)
+    for (i, text), n in zip([*given, *rows[-2:]], [*times, 1, 1], strict=True):
+        own = sorted((r for r in got if r["doc_id"] == i and (i is not None or ("One." in r["text"]) == ("One." in text))), key=lambda r: r["n_removed"])
+        assert len(own) == n
+        if text is None:
+            assert all(r["text"] is None for r in own)
+            continue
+        found, spans = cut(text), S.spans([text.encode()])
+        every = {s for a, b in zip(spans.first.tolist(), spans.after.tolist(), strict=True) for s in range(a, b)}
+        for k, r in enumerate(own):
+            removed = every if k else gone[i, text]
+            assert r["n_removed"] == len(removed)
+            assert r["text"].encode().split() == [w for s, f in enumerate(found) if s not in removed for w in f[2]]
+        if i == 1:
+            assert own[0]["text"] == text and own[0]["sources"] == [] and all(r["sources"] == [1] for r in own[1:])
+        if i == 3:
+            assert own[0]["sources"] == [2] and all(r["sources"] == [2, 3] for r in own[1:])
+    assert next(r for r in got if r["doc_id"] == 9)["sources"] == [1]
+
+
+def test_a_third_of_the_rows_alike(documents, prose):
+    rows = [(i if i % 3 else None, prose(0 if i % 3 == 0 else i, 40)) for i in range(300)]
+    got = [r for r in S.deduplicated(documents(rows)).collect() if r["doc_id"] is None]
+    assert len(got) == 100 and sum(r["n_removed"] == 0 for r in got) == 1
+
+
 def test_a_full_map_changes_nothing(documents, prose, monkeypatch):
     rows, _ = corpus(prose)
     frame = documents(rows)
