@@ -15,8 +15,10 @@ merges those that a task has not met lately.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -93,6 +95,8 @@ LATIN = (
     rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 
+#: Ids that are decoded at a time.
+DECODED = 1 << 18
 #: Ids are unsigned 32-bit numbers, the lowest byte first.
 ID = np.dtype("<u4")
 
@@ -131,15 +135,80 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return pre_tokens
 
 
-def ids_of(split: list[list[str]], merged: Recent) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of these texts' pre-tokens, end to end, and where each text's start; the last start is the end."""
-    parts = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
-    known = merged(parts.dictionary)
-    size = np.fromiter(map(len, known), np.int64, len(known)) // ID.itemsize
-    part = parts.indices.to_numpy()
-    ends = np.append(0, np.cumsum(size[part]))
-    ids = gathered(np.frombuffer(b"".join(known), ID), (np.cumsum(size) - size)[part], size[part])
-    return ids, ends[np.cumsum([0, *map(len, split)])]
+@dataclass
+class Vocabulary:
+    """What tasks need of a file of ranks: the merging model, and the bytes of all tokens in order of their ids."""
+
+    model: str
+    pattern: str
+    tokens: bytes
+    #: Bytes of each token, -1 for an id that has none.
+    size: np.ndarray
+
+    @classmethod
+    def read(cls, path: str, pattern: str | None = None) -> Vocabulary:
+        """Without a pattern it only decodes."""
+        ranks = read_ranks(path)
+        size = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
+        size[list(ranks.values())] = list(map(len, ranks))
+        model = "" if pattern is None else tokenizer_of(ranks, pattern).to_str()
+        return cls(model, pattern or "", b"".join(sorted(ranks, key=ranks.__getitem__)), size)
+
+
+class Encoder:
+    """Texts to ids, as long as a task lives."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.merged = Recent(merging(Tokenizer.from_str(vocabulary.model).model))
+        self.pre_tokens, self.size = splitter(vocabulary.pattern), vocabulary.size
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these texts, end to end, and where each text's start; the last start is the end."""
+        split = [self.pre_tokens(text) for text in texts]
+        parts = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
+        known = self.merged(parts.dictionary)
+        size = np.fromiter(map(len, known), np.int64, len(known)) // ID.itemsize
+        part = parts.indices.to_numpy()
+        ends = np.append(0, np.cumsum(size[part]))
+        ids = gathered(np.frombuffer(b"".join(known), ID), (np.cumsum(size) - size)[part], size[part])
+        return ids, ends[np.cumsum([0, *map(len, split)])]
+
+    def offsets(self, texts: list[str], ids: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [characters(t, self.size[ids[s:e]]) for t, s, e in zip(texts, starts, starts[1:], strict=False)]
+
+
+class Decoder:
+    """Ids to bytes, by the table of all tokens' bytes."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.tokens, self.size = np.frombuffer(vocabulary.tokens, np.uint8), vocabulary.size
+        self.first = np.cumsum(np.maximum(self.size, 0)) - np.maximum(self.size, 0)
+
+    def __call__(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """The bytes of lists of ids, which lie end to end; the last start is the end."""
+        known = (ids >= 0) & (ids < len(self.size))
+        known[known] = self.size[ids[known]] >= 0
+        if not known.all():
+            raise ValueError(f"ids {ids[~known][:3].tolist()} are not in the vocabulary")
+        size = self.size[ids]
+        raw = b"".join(
+            gathered(self.tokens, self.first[ids[at : at + DECODED]], size[at : at + DECODED]).tobytes()
+            for at in range(0, len(ids), DECODED)
+        )
+        ends = np.append(0, np.cumsum(size))[starts].tolist()
+        return [raw[s:e] for s, e in zip(ends, ends[1:], strict=False)]
+
+
+class Decimals:
+    """The text of ids, joined by a space."""
+
+    def __init__(self, count: int):
+        shown = [b"%d " % i for i in range(count)]
+        self.text, self.size = np.frombuffer(b"".join(shown), np.uint8), np.array(list(map(len, shown)), np.int64)
+        self.first = np.cumsum(self.size) - self.size
+
+    def __call__(self, ids: np.ndarray) -> bytes:
+        return gathered(self.text, self.first[ids], self.size[ids])[:-1].tobytes()
 
 
 def encode(
@@ -155,24 +224,18 @@ def encode(
     read. The file is read on the driver and sent as a broadcast (about 3 MB for
     50,000 tokens); a task keeps the ids of pre-tokens that it has merged lately.
     """
-    ranks = read_ranks(path)
-    length = np.zeros(max(ranks.values(), default=0) + 1, dtype=np.int64)
-    for token, rank in ranks.items():
-        length[rank] = len(token)
-    sent = frame.sparkSession.sparkContext.broadcast({"model": tokenizer_of(ranks, pattern).to_str(), "length": length})
+    sent = frame.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = sent.value
-        merged = Recent(merging(Tokenizer.from_str(kept["model"]).model))
-        pre_tokens = splitter(pattern)
+        encoder = Encoder(sent.value)
         for batch in batches:
             for part in slices(batch, "_text"):
                 texts = [text or "" for text in part.column("_text").to_pylist()]
-                ids, starts = ids_of([pre_tokens(text) for text in texts], merged)
+                ids, starts = encoder(texts)
                 own = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32)))
                 columns = [part.column("_id"), own]
                 if offsets:
-                    spans = [characters(t, kept["length"][ids[s:e]]) for t, s, e in zip(texts, starts, starts[1:], strict=False)]
+                    spans = encoder.offsets(texts, ids, starts)
                     columns += [lists([s[at] for s in spans], pa.int64()) for at in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -190,62 +253,80 @@ def characters(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[ends - lengths], at[ends - 1] + 1
 
 
-#: Ids that are decoded at a time.
-DECODED = 1 << 18
-
-
 def decode(
-    frame: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", as_text: bool = False, keep: Sequence[str] = ()
+    frame: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", as_text: bool = False
 ) -> DataFrame:
-    """``id_col``, ``ids``, ``decoded`` (bytes), with ``as_text`` ``decoded_text``, and the columns ``keep`` of every row.
+    """``id_col``, ``ids``, ``decoded`` (bytes) and, with ``as_text``, ``decoded_text`` of every row.
 
     The bytes are exact for any list of ids, also one that starts or ends within
     a character; in ``decoded_text`` such a part reads as U+FFFD. A null list is
     an empty one. An id outside the vocabulary raises ValueError.
     """
-    ranks = read_ranks(path)
-    size = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
-    size[list(ranks.values())] = list(map(len, ranks))
-    tokens = b"".join(sorted(ranks, key=ranks.__getitem__))
-    # Only the bytes and lengths of the tokens, below 1 MB for 50,000 of them.
-    table = frame.sparkSession.sparkContext.broadcast((tokens, size))
-
-    def raw_bytes(ids: np.ndarray) -> bytes:
-        tokens, size = table.value
-        first = np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
-        parts = []
-        for start in range(0, len(ids), DECODED):
-            own = ids[start : start + DECODED]
-            known = (own >= 0) & (own < len(size))
-            if not known.all() or (size[own] < 0).any():
-                raise ValueError(f"ids {own[~known].tolist()[:3]} are not in the vocabulary")
-            parts.append(gathered(np.frombuffer(tokens, np.uint8), first[own], size[own]).tobytes())
-        return b"".join(parts)
+    # Only the tokens' bytes and lengths, below 1 MB for 50,000 of them.
+    sent = frame.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(sent.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 ids = part.column("ids")
                 values = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                raw = raw_bytes(values)
-                # A null list has no values, so lengths tell where each row's bytes are.
+                # A null list has no values, so lengths tell where each row's are.
                 count = np.array(pc.fill_null(pc.list_value_length(ids), 0))
-                ends = np.append(0, np.cumsum(table.value[1][values]))[np.append(0, np.cumsum(count))].tolist()
-                decoded = [raw[s:e] for s, e in zip(ends, ends[1:], strict=False)]
+                decoded = decoder(values, np.append(0, np.cumsum(count)))
                 columns = [part.column("_id"), ids, pa.array(decoded, pa.binary())]
                 if as_text:
                     columns.append(pa.array([r.decode("utf-8", "replace") for r in decoded], pa.string()))
-                yield pa.RecordBatch.from_arrays([*columns, *(part.column(f"_{c}") for c in keep)], names)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["_id", "ids", "decoded", *(["decoded_text"] if as_text else []), *(f"_{c}" for c in keep)]
+    names = ["_id", "ids", "decoded", *(["decoded_text"] if as_text else [])]
     schema = f"_id {sql_type(frame, id_col)}, ids array<int>, decoded binary" + ", decoded_text string" * as_text
-    schema += "".join(f", _{c} {sql_type(frame, c)}" for c in keep)
-    rows = frame.select(
-        F.col(id_col).alias("_id"), F.col(ids_col).cast("array<int>").alias("ids"), *(F.col(c).alias(f"_{c}") for c in keep)
-    )
-    found = mapped(rows, run, schema)
-    return found.withColumnsRenamed({"_id": id_col} | {f"_{c}": c for c in keep})
+    rows = frame.select(F.col(id_col).alias("_id"), F.col(ids_col).cast("array<int>").alias("ids"))
+    return mapped(rows, run, schema).withColumnRenamed("_id", id_col)
+
+
+def roundtrip(
+    frame: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    offsets: bool = False,
+    with_ids: bool = False,
+) -> DataFrame:
+    """``encode``, then ``decode``, in one task, which returns digests: ``id_col``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``.
+
+    The digests are those of the decimal ids joined by a space, and of the bytes
+    that the ids decode to, in lowercase hex. With ``offsets`` there is
+    ``offsets_sha256``, of all starts and then all ends as 64-bit numbers, lowest
+    byte first; with ``with_ids``, ``ids``. Rows and nulls are as in ``encode``.
+    """
+    sent = frame.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern))
+
+    def hexes(raws: Iterable[bytes]) -> pa.Array:
+        return pa.array([hashlib.sha256(raw).hexdigest() for raw in raws], pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder, decimals = Encoder(sent.value), Decoder(sent.value), Decimals(len(sent.value.size))
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                texts = [text or "" for text in part.column("_text").to_pylist()]
+                ids, starts = encoder(texts)
+                shown = (decimals(ids[s:e]) for s, e in zip(starts, starts[1:], strict=False))
+                columns = [part.column("_id"), pa.array(np.diff(starts)), hexes(shown), hexes(decoder(ids.astype(np.int64), starts))]
+                if offsets:
+                    spans = encoder.offsets(texts, ids, starts)
+                    columns.append(hexes(np.concatenate(s).astype("<i8").tobytes() for s in spans))
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["offsets_sha256"] * offsets), *(["ids"] * with_ids)]
+    schema = f"_id {sql_type(frame, id_col)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema += ", offsets_sha256 string" * offsets + ", ids array<int>" * with_ids
+    rows = frame.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return mapped(rows, run, schema).withColumnRenamed("_id", id_col)
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id", more: Sequence[str] = ()) -> DataFrame:

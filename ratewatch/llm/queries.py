@@ -40,10 +40,7 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, offsets=True)
-    # Starts and ends are hashed where they are made, so that only their digest goes through the decoding.
-    hashed = encoded.withColumn("offsets_xxhash64", F.xxhash64("starts", "ends")).drop("starts", "ends")
-    return bpe.digests(bpe.decode(hashed, path, keep=["offsets_xxhash64"]), more=["offsets_xxhash64"])
+    return bpe.roundtrip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, offsets=True)
 
 
 def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:

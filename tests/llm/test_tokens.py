@@ -124,37 +124,44 @@ def test_the_memo_forgets_at_its_bound(monkeypatch):
     assert len(memo) <= 3
 
 
-def test_offsets_digest_of_the_query(spark):
-    """Starts and ends as the library's tokens give them, hashed alike."""
-    from pyspark.sql import functions as F
-
+def test_the_query_digests_what_the_library_gives(spark):
+    """Ids, offsets and decoded bytes of the given documents, each as the library has them."""
     from ratewatch.llm import queries
 
     sf_dir = "/root/testdata/sf0.001"
     reference = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
-    rows = []
+    expected = {}
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
-        raw = (r["text"] or "").encode()
+        raw, ids = (r["text"] or "").encode(), reference.encode_ordinary(r["text"] or "")
         begun = [0]
         for byte in raw:
             begun.append(begun[-1] + (byte & 0xC0 != 0x80))
         at, starts, ends = 0, [], []
-        for token in reference.encode_ordinary(r["text"] or ""):
+        for token in ids:
             size = len(reference.decode_single_token_bytes(token))
             starts.append(begun[at + 1] - 1)
             ends.append(begun[at + size])
             at += size
-        rows.append((r["doc_id"], starts, ends))
-    want = spark.createDataFrame(rows, "doc_id long, starts array<long>, ends array<long>")
-    expected = {(r[0], r[1]) for r in want.select("doc_id", F.xxhash64("starts", "ends")).collect()}
-    found = queries.op5_byte_bpe(spark, sf_dir).select("doc_id", "offsets_xxhash64")
-    assert {(r[0], r[1]) for r in found.collect()} == expected
-
-
-def test_decoding_keeps_columns_and_refuses_unknown_ids(spark):
-    frame = spark.createDataFrame([(1, [72, 105], 5), (2, None, 6), (3, [], None)], "doc_id long, ids array<int>, ends int")
-    rows = {r["doc_id"]: r for r in bpe.decode(frame, RANKS, keep=["ends"]).collect()}
-    assert rows[1]["ends"] == 5 and rows[2]["decoded"] == b"" and rows[3]["ends"] is None
-    for unknown in (-1, 60_000):
+        packed = b"".join(n.to_bytes(8, "little") for n in [*starts, *ends])
+        shown = " ".join(map(str, ids)).encode()
+        expected[r["doc_id"]] = (len(ids), *(hashlib.sha256(x).hexdigest() for x in (shown, raw, packed)))
+    rows = queries.op5_byte_bpe(spark, sf_dir).collect()
+    found = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], r["offsets_sha256"]) for r in rows}
+    assert found == expected and len(rows) == len(expected)
+
+
+def test_the_roundtrip_is_encoding_and_decoding(documents):
+    given = documents([(i, t) for i, t in enumerate(texts())] + [(None, None), (3, "again"), (3, "again")])
+    whole = bpe.digests(bpe.decode(bpe.encode(given, RANKS, public.PATTERN), RANKS), more=["ids"])
+    once = bpe.roundtrip(given, RANKS, public.PATTERN, with_ids=True)
+    assert once.columns == whole.columns
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_decoding_refuses_unknown_ids(spark):
+    frame = spark.createDataFrame([(1, [72, 105]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    rows = {r["doc_id"]: r["decoded"] for r in bpe.decode(frame, RANKS).collect()}
+    assert len(rows[1]) >= 2 and rows[2] == rows[3] == b""
+    for unknown in (-1, 60_000, None):
         with pytest.raises(Exception, match="not in the vocabulary"):
             bpe.decode(spark.createDataFrame([(1, [unknown])], "doc_id long, ids array<int>"), RANKS).collect()
