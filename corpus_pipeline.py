@@ -42,7 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, and the digests of these and of the bytes that they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path), more=["ids"])
+    return bpe.roundtrip(docs, path, public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [
