@@ -95,11 +95,8 @@ def folded(orders: Column, mask: Column, n: Column, good: Column, toxic: Column)
     """
     zero = F.lit(0).cast("long")
 
-    def fails(which: Column) -> Column:
-        return F.getbit(mask, which) == 1
-
     def step(state: Column, which: Column) -> Column:
-        here, failed = state["here"], fails(which)
+        here, failed = state["here"], F.getbit(mask, which) == 1
         taken = here & failed
         counts = F.struct(
             which.alias("filter"),

@@ -95,6 +95,8 @@ LATIN = (
     rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 
+#: Bytes of text whose pre-tokens a task holds at a time.
+SPLIT_BYTES = 1 << 20
 #: Ids that are decoded at a time.
 DECODED = 1 << 18
 #: Ids are unsigned 32-bit numbers, the lowest byte first.
@@ -229,7 +231,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SPLIT_BYTES):
                 texts = [text or "" for text in part.column("_text").to_pylist()]
                 ids, starts = encoder(texts)
                 own = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32)))
@@ -310,7 +312,7 @@ def roundtrip(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder, decimals = Encoder(sent.value), Decoder(sent.value), Decimals(len(sent.value.size))
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SPLIT_BYTES):
                 texts = [text or "" for text in part.column("_text").to_pylist()]
                 ids, starts = encoder(texts)
                 shown = (decimals(ids[s:e]) for s, e in zip(starts, starts[1:], strict=False))

@@ -281,14 +281,21 @@ def placed(entries: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray)
         row, start, length, rank = row[more], (start + size)[more], (length - size)[more], (e["rest"] + turn)[more]
 
 
+def stored_type(path: str, end_id: int) -> np.dtype:
+    """The narrowest numbers that hold all ids of the tokenizer, for tables and shuffles."""
+    tokenizer = Tokenizer.from_file(path)
+    largest = max([end_id, *tokenizer.get_vocab(with_added_tokens=True).values()])
+    return np.dtype("<u2") if largest < 1 << 16 else ID
+
+
 def pieces(
-    docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, kind: np.dtype, window: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The ids of every row, with ``end_id`` behind them, cut at every ``window``: ``_id``, ``start``, ``length``,
-    ``doc_tokens``, ``ids``, and ``_task`` and ``_rank``, the rank among pieces of that length of that task."""
+    ``doc_tokens``, ``ids`` (numbers of ``kind``), and ``_task`` and ``_rank``, the rank among pieces of that length
+    of that task."""
     with open(path, encoding="utf-8") as file:
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], ID).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen, encode = TaskContext.get().partitionId(), [0] * (window + 1), Encoder(sent.value)
@@ -297,17 +304,16 @@ def pieces(
                 at, start, length, tokens, ids, rank = [], [], [], [], [], []
                 texts = part.column("_text").to_pylist()
                 for i, raw in enumerate(encode([t or "" for t in texts])):
-                    raw += end
-                    n = len(raw) // ID.itemsize
-                    for s in range(0, n, window):
-                        size = min(window, n - s)
+                    own = np.append(np.frombuffer(raw, ID), end_id).astype(kind)
+                    for s in range(0, len(own), window):
+                        piece = own[s : s + window]
                         at.append(i)
                         start.append(s)
-                        length.append(size)
-                        tokens.append(n)
-                        ids.append(raw[s * ID.itemsize : (s + size) * ID.itemsize])
-                        rank.append(seen[size])
-                        seen[size] += 1
+                        length.append(len(piece))
+                        tokens.append(len(own))
+                        ids.append(piece.tobytes())
+                        rank.append(seen[len(piece)])
+                        seen[len(piece)] += 1
                 for s in range(0, len(at), 256):
                     e = slice(s, s + 256)
                     columns = [pa.array(c[e], pa.int64()) for c in (start, length, tokens, [task] * len(at), rank)]
@@ -339,7 +345,8 @@ def packed(
     """
     if not 1 <= window <= 1 << 18:
         raise ValueError("window must be between 1 and 2^18")
-    kept = stored(pieces(docs, path, window, end_id, id_col, text_col), "pieces")
+    kind = stored_type(path, end_id)
+    kept = stored(pieces(docs, path, kind, window, end_id, id_col, text_col), "pieces")
     per_task = kept.groupBy("_task", "length").agg(F.count("*").alias("_n"))
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     sent = docs.sparkSession.sparkContext.broadcast(plan(counts, window).arrays())
@@ -350,7 +357,7 @@ def packed(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "ids"):
-                yield _laid(part, sent.value, names)
+                yield _laid(part, sent.value, kind, names)
 
     names = ["_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
     numbers = ", ".join(f"{n} bigint" for n in names[1:-1])
@@ -359,17 +366,14 @@ def packed(
     return laid.withColumnRenamed("_id", id_col)
 
 
-def _laid(part: pa.RecordBatch, entries: dict[str, np.ndarray], names: list[str]) -> pa.RecordBatch:
+def _laid(part: pa.RecordBatch, entries: dict[str, np.ndarray], kind: np.dtype, names: list[str]) -> pa.RecordBatch:
     start, length, tokens, rank = (part.column(n).to_numpy() for n in ("start", "length", "doc_tokens", "_rank"))
     row, inner, size, sequence, offset = (np.concatenate(c) for c in zip(*placed(entries, length, rank), strict=True))
-    raw, width = part.column("ids").to_pylist(), ID.itemsize
-    ids = [
-        raw[i] if n == length[i] else raw[i][s * width : (s + n) * width]
-        for i, s, n in zip(row.tolist(), inner.tolist(), size.tolist(), strict=True)
-    ]
+    own = [np.frombuffer(raw, kind).astype(ID) for raw in part.column("ids").to_pylist()]
+    ids = [own[i][s : s + n].tobytes() for i, s, n in zip(row.tolist(), inner.tolist(), size.tolist(), strict=True)]
     numbers = [start[row] + inner, size, tokens[row], sequence, offset]
-    own = part.column("_id").take(pa.array(row))
-    return pa.RecordBatch.from_arrays([own, *(pa.array(c, pa.int64()) for c in numbers), pa.array(ids, pa.binary())], names)
+    taken = part.column("_id").take(pa.array(row))
+    return pa.RecordBatch.from_arrays([taken, *(pa.array(c, pa.int64()) for c in numbers), pa.array(ids, pa.binary())], names)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
