@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import sys
 import uuid
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +23,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import oracles  # noqa: E402
 from ratewatch import DEFAULT_SPECS, Clock, detect, run  # noqa: E402
 from ratewatch.operators import baseline, classify, counts, daily, digest, links, managers, resolve, score  # noqa: E402
+from ratewatch.plans import late, rolling, sliding  # noqa: E402
 from ratewatch.plans.detect import daily as plan_daily  # noqa: E402
 from ratewatch.plans.detect import detect_in  # noqa: E402
+from ratewatch.plans.rolling import rolling_detect  # noqa: E402
 from ratewatch.sinks import files  # noqa: E402
 from ratewatch.sources import schemas, testview  # noqa: E402
 from ratewatch.specs import ACCEPTANCE, FRAUD, MetricSpec  # noqa: E402
@@ -30,10 +34,9 @@ from ratewatch.specs import ACCEPTANCE, FRAUD, MetricSpec  # noqa: E402
 try:
     import corpus_pipeline
     from ratewatch.llm import queries as corpus
-except ModuleNotFoundError as missing:
-    # The subpackage and its pipeline are optional; a missing module of theirs is an error.
-    if missing.name not in ("corpus_pipeline", "ratewatch.llm"):
-        raise
+except ImportError as missing:
+    # The subpackage, its pipeline and the packages that only they need are optional.
+    warnings.warn(f"the corpus queries are left out: {missing}", stacklevel=2)
     corpus_pipeline = corpus = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +47,10 @@ _MID_DAY_CLOCK = Clock.at(testview.MID_DAY_AS_OF)
 ANY_DROP = (replace(ACCEPTANCE, critical=0.0, gate=0.0),)
 # A second acceptance metric beside the default one, looser.
 TWO_LEVELS = (ACCEPTANCE, replace(ACCEPTANCE, key="ar_loose", label="AR Drift", critical=1.0, gate=100.0), FRAUD)
+# Characters of a part of a message: shorter than some lines.
+PART_LIMIT = 150
+# First and last as-of day of a rolling run.
+ROLLING_DAYS = ("2024-01-18", "2024-01-27")
 _ROUNDED = ("t_stat_alias_global", "t_stat_channel_specific", "ATV")
 
 
@@ -287,6 +294,11 @@ def digest_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.digest_messages(_awkward_anomalies(spark, sf_dir), _DIGEST_CLOCK, critical=0.0)
 
 
+def digest_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages, split at a length that cuts them between lines and within lines."""
+    return digest.split_messages(digest_by_customer(spark, sf_dir), PART_LIMIT)
+
+
 def links_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _awkward_anomalies(spark, sf_dir)
     return found.select("alias_name", "channel_id", "is_mit", "Link_to_Look")
@@ -298,25 +310,122 @@ def csv_awkward_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(files.read_csv(spark, path))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> tuple[str, files.Day]:
+    """A day run twice, the second time over what the first has published."""
+    out_dir = _fresh_dir(spark)
+    for _ in range(2):
+        run(testview.tables(spark, sf_dir), out_dir, _DIGEST_CLOCK)
+    return out_dir, files.published(spark, out_dir, _DIGEST_CLOCK)[0]
+
+
 def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_dir = _fresh_dir(spark)
     run(testview.tables(spark, sf_dir), out_dir, _DIGEST_CLOCK)
     return _rounded(files.read_table(spark, out_dir, _DIGEST_CLOCK))
 
 
+def rerun_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of a day that was run twice."""
+    return _rounded(files.read_table(spark, _published(spark, sf_dir)[0], _DIGEST_CLOCK))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = files.write_csv(detect(testview.tables(spark, sf_dir), _DIGEST_CLOCK), _fresh_dir(spark), _DIGEST_CLOCK)
-    return _rounded(files.read_csv(spark, path))
+    out_dir = _fresh_dir(spark)
+    day = run(testview.tables(spark, sf_dir), out_dir, _DIGEST_CLOCK)
+    return _rounded(files.read_csv(spark, day.csv_path))
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written digest; the list is joined to one text so that it compares as a value."""
-    document = digest.digest_document(digest_messages(spark, sf_dir), _DIGEST_CLOCK)
-    path = files.write_digest(document, _fresh_dir(spark), _DIGEST_CLOCK)
-    stored = document.where(F.lit(False)) if path is None else spark.read.schema(document.schema).json(path)
+    """The published digest; the list is joined to one text so that it compares as a value."""
+    _, day = _published(spark, sf_dir)
+    schema = "channel_id string, messages array<string>, today string"
+    stored = spark.createDataFrame([], schema) if day.digest_path is None else spark.read.schema(schema).json(day.digest_path)
     return stored.withColumn("messages", F.concat_ws("\n", "messages"))
 
 
+# --- many days, late data, kept state --------------------------------------
+
+
+def rolling_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anomalies of many as-of days, from one pass."""
+    return _rounded(rolling_detect(testview.tables(spark, sf_dir), *ROLLING_DAYS))
+
+
+def rolling_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every score of these days, in sparse series of many merchants."""
+    tables, (first, last) = testview.customer_tables(spark, sf_dir), ROLLING_DAYS
+    clock = Clock.at(last)
+    days = (clock.today - Clock.at(first).today).days
+    rolled = plan_daily(tables, clock, 30 + days, clock.as_of)
+    return _rounded(rolling.rolling_scores(rolled, first, last)).select(
+        "as_of", "Anomaly_Type", "alias_name", "channel_id", "is_mit", "t_stat_alias_global", "t_stat_channel_specific",
+        "channel_vol_share_pct", "Total_Volume_Amount_Lost", "Lost_Volume", "ATV",
+    )
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments by the day that brings them: of every fifth entity, two days late."""
+    payments = testview.payments_daily(spark, sf_dir)
+    late = F.when(F.col("entity_id") % 5 == 0, 2).otherwise(0)
+    return payments.withColumn("arrived", F.date_add(F.to_date("requested_at"), late))
+
+
+def late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A roll-up refreshed after late rows, repeated rows and replaced files; then cut within two days."""
+    folder = _fresh_dir(spark)
+    source = f"{folder}/payments"
+    arrivals = _arrivals(spark, sf_dir).repartition("arrived")
+    on_time = F.col("entity_id") % 5 != 0
+    store = late.DailyStore(spark, f"{folder}/store", source, "arrived")
+    arrivals.where(on_time).write.partitionBy("arrived").parquet(source)
+    store.refresh()
+    more = arrivals.where(~on_time).unionByName(arrivals.where(on_time & (F.col("entity_id") % 11 == 0)))
+    more.write.partitionBy("arrived").mode("append").parquet(source)
+    kept = arrivals.where((F.col("arrived") == "2024-01-20") & (F.col("entity_id") % 3 != 0))
+    kept.write.partitionBy("arrived").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(source)
+    store.refresh()
+    tables = testview.tables(spark, sf_dir)
+    lookups = resolve.Lookups.prepare(tables.account_map, tables.account_dim, tables.alias_dim)
+    rolled = store.daily(lookups, _MID_DAY_CLOCK, upto=datetime(2024, 1, 28, 18))
+    return _rounded(rolled, ("captured_amount_sum", "daily_atv"))
+
+
+def kept_up_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores from a kept state, after days on each of which new and late files came."""
+    folder = _fresh_dir(spark)
+    source = f"{folder}/payments"
+    arrivals = _arrivals(spark, sf_dir).repartition("arrived")
+    store = late.DailyStore(spark, f"{folder}/store", source, "arrived")
+    state = sliding.BaselineState(spark, f"{folder}/state")
+    tables = testview.customer_tables(spark, sf_dir)
+    lookups = resolve.Lookups.prepare(tables.account_map, tables.account_dim, tables.alias_dim)
+    come, rolled = F.to_date(F.lit("2024-01-01")), None
+    for day in ("2024-01-24", "2024-01-25", "2024-01-27"):
+        new = (F.col("arrived") >= come) & (F.col("arrived") < F.lit(day))
+        arrivals.where(new).write.partitionBy("arrived").mode("append").parquet(source)
+        rolled, come = late.keep_up(store, state, lookups, day), F.to_date(F.lit(day))
+    return _rounded(state.score(rolled)).select(
+        "Anomaly_Type", "alias_name", "channel_id", "is_mit", "t_stat_alias_global", "t_stat_channel_specific",
+        "channel_vol_share_pct", "Total_Volume_Amount_Lost", "Lost_Volume", "ATV",
+    )
+
+
+def sliding_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel baselines of a window that was moved day by day, and once corrected, to where it stands."""
+    tables, clock = testview.customer_tables(spark, sf_dir), _CLOCK
+    rolled = plan_daily(tables, clock, 40, clock.as_of)
+    folder = _fresh_dir(spark)
+    rolled.write.parquet(f"{folder}/daily")
+    rolled = spark.read.schema(rolled.schema).parquet(f"{folder}/daily")
+    state = sliding.BaselineState(spark, f"{folder}/state")
+    wrong = rolled.where("requested_date <> DATE'2024-01-25' OR channel_id <> 'pc_0'")
+    state.move(wrong, "2024-01-28")
+    state.correct(*(days.where("requested_date = DATE'2024-01-25'") for days in (wrong, rolled)))
+    for day in ("2024-01-29", "2024-01-30", "2024-01-31"):
+        state.move(rolled, day)
+    return _rounded(state.channels(rolled), ("t1", "mean", "std", "atv"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship: yesterday's anomalies, all 15 columns."""
     return detect_full(spark, "/root/testdata/sf0.001")
@@ -331,8 +440,9 @@ def own_queries() -> dict[str, Query]:
         severity_by_customer, baseline_by_customer, two_levels_of_one_rate, anomalies_union,
         manager_lookup, anomalies_with_manager, anomalies_with_links, detect_full,
         detect_full_more_breaches, counts_by_metric, digest_top_merchants, digest_top_channels,
-        digest_messages, digest_by_customer, links_by_customer, run_table, csv_roundtrip,
+        digest_messages, digest_by_customer, digest_parts, links_by_customer, run_table, csv_roundtrip,
         csv_awkward_roundtrip, json_roundtrip,
+        rerun_table, rolling_days, rolling_scores, late_days, sliding_baseline, kept_up_scores,
     ]
     by_name: dict[str, Query] = {query.__name__: query for query in registered}
     for spec in DEFAULT_SPECS:

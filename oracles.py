@@ -129,11 +129,11 @@ def _round(value: str, digits: int) -> str:
     return f"CAST(ROUND(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
-def _detection(as_of: str, inputs: str = INPUTS, critical: float = 2.576, gate: float = 1000, loose: bool = False) -> str:
+def _detection(as_of: str, inputs: str = INPUTS, critical: float = 2.576, gate: float = 1000, loose: bool = False, upto: str = "") -> str:
     """CTEs from the resolved facts to labelled, enriched anomalies.
 
     ``critical`` and ``gate`` are those of the acceptance rate; ``loose`` adds a
-    second metric over it.
+    second metric over it. ``upto`` is an instant that the facts lie before.
     """
     day_before = f"requested_date = {_yesterday(as_of)}"
     metrics = {
@@ -160,7 +160,7 @@ daily AS (
          CAST(COALESCE(SUM(fraud_reported_payments), 0) AS BIGINT) AS fraud_reported_sum,
          CAST(COALESCE(SUM(disputed_payments), 0) AS BIGINT) AS disputed_sum,
          COALESCE(SUM(captured_amount_usd), 0) / NULLIF(SUM(captured_payments), 0) AS daily_atv
-  FROM resolved WHERE requested_at >= {_clock(as_of)} - INTERVAL 30 DAY
+  FROM resolved WHERE requested_at >= {_clock(as_of)} - INTERVAL 30 DAY{f" AND requested_at < {_clock(upto)}" if upto else ""}
   GROUP BY 1, 2, 3, 4
 ),
 measured AS ({measured}),
@@ -317,6 +317,31 @@ def _per_metric(metric: str) -> dict[str, str]:
     }
 
 
+# Facts as they lie when all have arrived: entities of 11 twice, and a day whose files were replaced by fewer rows.
+_ON_TIME = "entity_id % 5 <> 0"
+_ARRIVED = f"CAST(requested_at AS DATE) + CASE WHEN {_ON_TIME} THEN INTERVAL 0 DAY ELSE INTERVAL 2 DAY END"
+_REPLACED = f"{_ARRIVED} = DATE '2024-01-20'"
+LATE_INPUTS = _PAYMENTS.replace("payments AS", "all_payments AS", 1) + f"""
+payments AS (
+  SELECT * FROM all_payments WHERE NOT ({_REPLACED}) OR entity_id % 3 <> 0
+  UNION ALL
+  SELECT * FROM all_payments WHERE {_ON_TIME} AND entity_id % 11 = 0 AND NOT ({_REPLACED})
+),""" + _REGIONAL + _RESOLVED
+# What had arrived before the day.
+KEPT_UP_INPUTS = _PAYMENTS.replace("payments AS", "all_payments AS", 1) + f"""
+payments AS (
+  SELECT * FROM all_payments WHERE {_ARRIVED} BETWEEN DATE '2024-01-01' AND DATE '2024-01-26'
+),""" + _CUSTOMERS + _RESOLVED
+PART_LIMIT = 150
+ROLLING_DAYS = [f"2024-01-{day}" for day in range(18, 28)]
+
+
+def _each_day(select: str, inputs: str = INPUTS) -> str:
+    """The union of single runs, each of which sees nothing from its own day on."""
+    runs = [_from(select.format(day=day), day, inputs, upto=day) for day in ROLLING_DAYS]
+    return " UNION ALL ".join(f"SELECT * FROM ({run})" for run in runs)
+
+
 def oracle_sql() -> dict[str, str]:
     detect = f"SELECT {_RESULT} FROM linked"
     daily = f"SELECT {_DAILY} FROM daily"
@@ -354,6 +379,24 @@ def oracle_sql() -> dict[str, str]:
         "daily_performance_text_ids": _from(daily),
         "two_levels_of_one_rate": _from(f"SELECT {_ANOMALY} FROM anomalies", DIGEST_AS_OF, loose=True),
         "digest_by_customer": _from(messages, DIGEST_AS_OF, AWKWARD_INPUTS, **any_drop),
+        "digest_parts": _from(
+            f"""SELECT position, CAST(generate_subscripts(parts, 1) AS INTEGER) AS part, unnest(parts).t AS message,
+              CAST(length(unnest(parts).t) AS INTEGER) AS length, length(unnest(parts).t) <= {PART_LIMIT} AS fits,
+              unnest(parts).inside AS continues
+            FROM (
+              SELECT position, list_reduce(pieces, lambda done, p:
+                CASE WHEN NOT p[1].inside AND length(done[-1].t) + 1 + length(p[1].t) <= {PART_LIMIT}
+                  THEN list_append(done[:-2], {{'t': done[-1].t || chr(10) || p[1].t, 'inside': done[-1].inside}})
+                  ELSE list_concat(done, p) END) AS parts
+              FROM (
+                SELECT position, flatten(list_transform(string_split(message, chr(10)), lambda l:
+                  list_transform(range(greatest(length(l) - 1, 0) // {PART_LIMIT} + 1), lambda i:
+                    [{{'t': substr(l, i * {PART_LIMIT} + 1, {PART_LIMIT}), 'inside': i > 0}}]))) AS pieces
+                FROM messages
+              )
+            )""",
+            DIGEST_AS_OF, AWKWARD_INPUTS, **any_drop,
+        ),
         "links_by_customer": _from(
             "SELECT alias_name, channel_id, is_mit, Link_to_Look FROM linked WHERE Anomaly_Type = 'AR Anomaly'",
             DIGEST_AS_OF, AWKWARD_INPUTS, **any_drop,
@@ -395,6 +438,25 @@ def oracle_sql() -> dict[str, str]:
         ),
         "digest_messages": _from(messages, DIGEST_AS_OF),
         "csv_roundtrip": _from(detect, DIGEST_AS_OF),
+        "rerun_table": _from(detect, DIGEST_AS_OF),
+        "rolling_days": _each_day(detect),
+        "rolling_scores": _each_day(
+            f"""SELECT DATE '{{day}}' AS as_of, Anomaly_Type, alias_name, channel_id, is_mit, {_STATISTICS},
+            channel_vol_share_pct, Total_Volume_Amount_Lost, Lost_Volume, ROUND(ATV, 6) AS ATV FROM scored""",
+            CUSTOMER_INPUTS,
+        ),
+        "late_days": _from(daily, MID_DAY_AS_OF, LATE_INPUTS, upto="2024-01-28T18:00:00"),
+        "kept_up_scores": _from(
+            f"""SELECT Anomaly_Type, alias_name, channel_id, is_mit, {_STATISTICS}, channel_vol_share_pct,
+            Total_Volume_Amount_Lost, Lost_Volume, ROUND(ATV, 6) AS ATV FROM scored""",
+            "2024-01-27", KEPT_UP_INPUTS, upto="2024-01-27",
+        ),
+        "sliding_baseline": _from(
+            f"SELECT metric AS Anomaly_Type, alias_name, channel_id, is_mit, {_BASELINE}, volume, incidents, "
+            "ROUND(atv, 6) AS atv FROM channels",
+            inputs=CUSTOMER_INPUTS,
+            upto=AS_OF,
+        ),
         "json_roundtrip": _from(
             f"""SELECT '{TARGET}' AS channel_id, STRING_AGG(message, chr(10) ORDER BY position) AS messages,
             '{DIGEST_AS_OF}' AS today FROM messages HAVING COUNT(*) > 0""",

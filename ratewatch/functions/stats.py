@@ -34,13 +34,66 @@ def average_value(amount: str, count: str) -> str:
     return ratio(f"coalesce({amount}, 0)", count)
 
 
+#: Rates are counted in hundred-millionths of a millionth, so that sums of their squares are whole numbers.
+SCALE = 1e14
+
+
+def moments(value: str) -> dict[str, str]:
+    """Aggregates of doubles that are exact, so the same in any order, and that add and subtract.
+
+    ``total`` is the sum for the mean: 18 digits behind the point hold a rate's.
+    ``units`` and ``squares`` are sums in units of 1 / ``SCALE``, for the spread;
+    ``squared`` counts the values whose square fits, those below 100,000, as a sum of squares may.
+    """
+    unit = f"cast(round({value} * {SCALE!r}D) AS decimal(38, 0))"
+    square = f"try_multiply({unit}, {unit})"
+    return {
+        "values": f"count({value})",
+        "total": f"sum(cast({value} AS decimal(38, 18)))",
+        "units": f"sum({unit})",
+        "squares": f"try_sum({square})",
+        "squared": f"count({square})",
+    }
+
+
+def mean_of(values: str, total: str) -> str:
+    """The mean of doubles from their moments.
+
+    The order of a sum of doubles would decide which way losses that lie
+    exactly halfway are rounded.
+    """
+    return ratio(f"cast({total} AS double)", values)
+
+
+def spread_of(values: str, units: str, squares: str, squared: str) -> str:
+    """The sample standard deviation from moments; NULL for a single value, or if a square didn't fit.
+
+    Deviations are taken from the whole part of the mean, in whole numbers, so
+    nothing cancels; the part behind the point is made up for at the end.
+    """
+    rest = f"pmod({units}, cast({values} AS decimal(20, 0)))"
+    whole = f"cast(({units} - {rest}) / {values} AS decimal(38, 0))"
+    around = f"cast({squares} - {whole} * ({units} + {rest}) AS double) - cast({rest} * {rest} AS double) / {values}"
+    return (
+        f"CASE WHEN {values} > 1 AND {squared} = {values} AND {squares} IS NOT NULL"
+        f" THEN sqrt(greatest(({around}) / ({values} - 1), 0D)) / {SCALE!r}D END"
+    )
+
+
 def mean(value: str) -> str:
-    """The mean of doubles, the same to the last bit in whatever order they come.
+    """The exact mean as one aggregate."""
+    of = moments(value)
+    return mean_of(of["values"], of["total"])
+
+
+def spread(value: str) -> str:
+    """The sample standard deviation as one aggregate, the same to the last bit in any order.
 
-    Decimal sums are exact, and 18 digits hold a rate's. The order of a sum of
-    doubles would decide which way losses that lie exactly halfway are rounded.
+    Only values too large for exact sums of squares, from about 100,000 on, take the sum of doubles.
     """
-    return ratio(f"cast(sum(cast({value} AS decimal(38, 18))) AS double)", f"count({value})")
+    of = moments(value)
+    exact = spread_of(of["values"], of["units"], of["squares"], of["squared"])
+    return f"coalesce({exact}, stddev_samp({value}))"
 
 
 def lost_units(mean: str, value: str, volume: str) -> str:

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
-from ratewatch.functions.stats import average_value, mean
+from ratewatch.functions.stats import average_value, mean, spread
 from ratewatch.functions.text import quoted
 from ratewatch.operators.daily import CHANNEL_KEYS, MERCHANT_KEYS, SUMS, merchant_daily
 from ratewatch.specs import MetricSpec
 
 
-def _sums_in_use(specs: Sequence[MetricSpec]) -> list[str]:
+def sums_in_use(specs: Sequence[MetricSpec]) -> list[str]:
     used = {name for spec in specs for name in (spec.numerator, spec.denominator, spec.volume)}
     return [name for name in SUMS if name in used]
 
@@ -33,18 +33,18 @@ def _baseline(
     Days without a rate count as days, but do not enter mean and spread.
     Yesterday's sums, ``picked`` columns and average value keep their names.
     """
-    on_yesterday = {name: name for name in (*_sums_in_use(specs), *picked)}
+    on_yesterday = {name: name for name in (*sums_in_use(specs), *picked)}
     on_yesterday["atv"] = average_value("captured_amount_sum", "captured_sum")
     aggregates = ["count(requested_date) AS n"]
     for name, value in on_yesterday.items():
         aggregates.append(f"max(CASE WHEN requested_date = DATE'{clock.yesterday}' THEN {value} END) AS {name}")
     for spec in specs:
         aggregates.append(f"{mean(spec.rate())} AS {spec.key}_mean")
-        aggregates.append(f"stddev_samp({spec.rate()}) AS {spec.key}_std")
+        aggregates.append(f"{spread(spec.rate())} AS {spec.key}_std")
     return days.groupBy(*keys).agg(*map(F.expr, aggregates))
 
 
-def _fields(spec: MetricSpec) -> dict[str, str]:
+def fields(spec: MetricSpec) -> dict[str, str]:
     return {
         "t1": spec.rate(),
         "mean": f"{spec.key}_mean",
@@ -55,7 +55,7 @@ def _fields(spec: MetricSpec) -> dict[str, str]:
     }
 
 
-def _unpivot(
+def unpivot(
     wide: DataFrame,
     keys: Sequence[str],
     specs: Sequence[MetricSpec],
@@ -80,8 +80,8 @@ def merchant_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Cloc
     days = merchant_daily(daily, specs)
     active = [f"{spec.key}_active_volume" for spec in specs]
     wide = _baseline(days, MERCHANT_KEYS, specs, clock, picked=active)
-    return _unpivot(
-        wide, MERCHANT_KEYS, specs, lambda spec: {**_fields(spec), "active_volume": f"{spec.key}_active_volume"}
+    return unpivot(
+        wide, MERCHANT_KEYS, specs, lambda spec: {**fields(spec), "active_volume": f"{spec.key}_active_volume"}
     )
 
 
@@ -91,9 +91,9 @@ def channel_baseline(daily: DataFrame, specs: Sequence[MetricSpec], clock: Clock
     ``volume`` and ``incidents`` (the numerator) are yesterday's sums.
     """
     wide = _baseline(daily, CHANNEL_KEYS, specs, clock)
-    return _unpivot(
+    return unpivot(
         wide,
         CHANNEL_KEYS,
         specs,
-        lambda spec: {**_fields(spec), "volume": spec.volume, "incidents": spec.numerator},
+        lambda spec: {**fields(spec), "volume": spec.volume, "incidents": spec.numerator},
     )

@@ -24,8 +24,10 @@ def _severity(spec: MetricSpec) -> str:
     )
 
 
-def classify(scored: DataFrame, specs: Sequence[MetricSpec], keep_all: bool = False) -> DataFrame:
-    """Severity label per row; drops rows below the gates unless ``keep_all``.
+def classify(
+    scored: DataFrame, specs: Sequence[MetricSpec], keep_all: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
+    """Severity label per row; drops rows below the gates unless ``keep_all``, and keeps columns ``by``.
 
     Each gate is a column of one join side, so the filters run before the join:
     only breaching merchants and breaching channels are ever shuffled to it.
@@ -33,6 +35,7 @@ def classify(scored: DataFrame, specs: Sequence[MetricSpec], keep_all: bool = Fa
     if not keep_all:
         scored = scored.where(f"{BOTH_BREACH} AND impact_is_large")
     return scored.selectExpr(
+        *by,
         "Anomaly_Type",
         f"{by_metric(specs, _severity)} AS overall_status",
         "alias_name",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock, utc_date, utc_instant
 from ratewatch.functions.stats import average_value
-from ratewatch.operators.resolve import ID_KEYS, Lookups, join_resolved_pairs
+from ratewatch.operators.resolve import ID_KEYS, Lookups, heavy_pairs, join_resolved_pairs, pair_counts
 from ratewatch.specs import MetricSpec
 
 LOOKBACK_DAYS = 30
@@ -81,17 +81,18 @@ def daily_performance(
     Small lookups are broadcast, so the facts are shuffled once, after partial
     aggregation. Larger lookups need shuffle joins on ids that may be badly
     skewed. Then only the distinct id pairs go through them, and the facts,
-    summed per pair and day, meet the resolved pairs in a single join. Sums are
+    summed per pair and day, meet the resolved pairs in a single join, in which
+    the pairs with the most facts are salted. Sums are
     linear and a row's resolution depends on its pair alone, so both ways give
     the same result, also where duplicate lookup keys multiply rows.
     """
     facts = lookback(payments, clock, lookback_days, upto, day_column)
     if lookups.small:
         return roll_up_days(lookups.resolve(facts))
-    pairs = lookups.resolve(facts.select(*ID_KEYS).distinct())
+    counted = pair_counts(facts)
     sums = [F.sum(measure).alias(measure) for measure in MEASURES]
     summed = facts.groupBy("requested_date", *ID_KEYS, "channel_id", "is_mit").agg(*sums)
-    return roll_up_days(join_resolved_pairs(summed, pairs))
+    return roll_up_days(join_resolved_pairs(summed, lookups.resolve(counted), heavy_pairs(counted)))
 
 
 def roll_up_days(resolved: DataFrame) -> DataFrame:

@@ -186,13 +186,46 @@ def digest_messages(
     )
 
 
+def split_messages(messages: DataFrame, limit: int = MESSAGE_LIMIT) -> DataFrame:
+    """(position, part, message, length, fits, continues): every message in parts of at most ``limit`` characters.
+
+    Whole lines are packed into a part as long as they fit. A line longer than a
+    part is cut: ``continues`` tells that a part goes on within a line. So the
+    parts of a position, joined by line ends, or by nothing where one continues,
+    are its message.
+    """
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    piece = f"struct(substr(line, at * {limit} + 1, {limit}) AS text, at > 0 AS inside)"
+    pieces = f"transform(sequence(0, greatest(char_length(line) - 1, 0) div {limit}), at -> {piece})"
+    lines = f"flatten(transform(split(message, '\\n', -1), line -> {pieces}))"
+    # The fold holds the closed parts and the one that is being packed.
+    start = "struct(slice(lines, 1, 0) AS done, lines[0].text AS text, lines[0].inside AS inside)"
+    fits = f"NOT next.inside AND char_length(of.text) + 1 + char_length(next.text) <= {limit}"
+    longer = "struct(of.done AS done, concat(of.text, '\\n', next.text) AS text, of.inside AS inside)"
+    closed = "array_append(of.done, struct(of.text AS text, of.inside AS inside))"
+    another = f"struct({closed} AS done, next.text AS text, next.inside AS inside)"
+    packed = f"aggregate(slice(lines, 2, size(lines)), {start}, (of, next) -> if({fits}, {longer}, {another}), of -> {closed})"
+    parts = messages.selectExpr("position", f"{lines} AS lines").selectExpr("position", f"posexplode({packed}) AS (at, of)")
+    return parts.selectExpr(
+        "position",
+        "at + 1 AS part",
+        "of.text AS message",
+        "char_length(of.text) AS length",
+        f"char_length(of.text) <= {limit} AS fits",
+        "of.inside AS continues",
+    )
+
+
 def digest_document(messages: DataFrame, clock: Clock, style: DigestStyle | None = None) -> DataFrame:
     """One row {channel_id, messages, today}; no row when there are no messages.
 
-    ``channel_id`` is the chat target. The list is bounded by the digest's size.
+    ``channel_id`` is the chat target. The list is bounded by the digest's size;
+    it has whole messages, or the parts of split ones.
     """
     style = style or DigestStyle()
-    ordered = F.sort_array(F.collect_list(F.struct("position", "message")))
+    keys = [name for name in ("position", "part") if name in messages.columns]
+    ordered = F.sort_array(F.collect_list(F.struct(*keys, "message")))
     return (
         messages.agg(ordered.alias("ordered"))
         .where("size(ordered) > 0")

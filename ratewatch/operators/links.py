@@ -54,14 +54,14 @@ def linked_url(formula: str) -> str:
 
 
 def with_links(
-    anomalies: DataFrame, clock: Clock, base_url: str = DEFAULT_BASE_URL, style: LinkStyle | None = None
+    anomalies: DataFrame, clock: Clock | None, base_url: str = DEFAULT_BASE_URL, style: LinkStyle | None = None
 ) -> DataFrame:
-    """Adds ``Date_of_Detection`` and ``Link_to_Look``."""
+    """Adds ``Date_of_Detection`` and ``Link_to_Look``; without a clock, rows have their date already."""
     style = style or LinkStyle()
     url = drill_down_url("alias_name", "channel_id", "is_mit", base_url, style)
     label = f"concat({quoted(style.label)}, {blank_if_null('alias_name')})"
     return anomalies.selectExpr(
         "*",
-        f"'{clock.today}' AS Date_of_Detection",
+        *([f"'{clock.today}' AS Date_of_Detection"] if clock is not None else []),
         f"{hyperlink_formula(url, label)} AS Link_to_Look",
     )

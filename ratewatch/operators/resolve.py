@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A lookup is broadcast only when a count proves it lies within both bounds.
@@ -24,27 +24,29 @@ ID_KEYS = ("entity_id", "merchant_account_id")
 
 # Parts that rows without a key are dealt to in a shuffle join.
 NULL_PARTS = 4096
+# Id pairs that are salted in the join of facts and pairs, and copies of each per shuffle partition.
+HEAVY_PAIRS = 100
+SALTS_PER_PARTITION = 4
 
 
 def left_join(facts: DataFrame, lookup: DataFrame, key: str, spread: bool = False) -> DataFrame:
     """A left join on ``key``, as text where the two sides store it in different types.
 
     A NULL key finds nothing, but in a shuffle all rows without a key would
-    still go to one task. With ``spread`` they get a text key of their own
-    instead, one of ``NULL_PARTS`` by a hash of the row, which no lookup holds,
-    and so are dealt out evenly.
+    still go to one task. With ``spread`` the join has a second key, which is
+    zero but for these rows: one of ``NULL_PARTS`` by a hash of the row.
     """
     same_type = facts.schema[key].dataType == lookup.schema[key].dataType
-    if same_type and not spread:
-        return facts.join(lookup, key, "left")
-    text = F.col(key).cast("string")
-    if spread:
-        others = [F.col(name) for name in facts.columns if name != key]
-        part = F.pmod(F.xxhash64(*others), F.lit(NULL_PARTS)).cast("string")
-        # A NUL character keeps these keys apart from any id.
-        text = F.coalesce(text, F.concat(F.lit("\0"), part))
-    known = lookup.withColumn("_key", F.col(key).cast("string")).where(~F.col("_key").startswith("\0")).drop(key)
-    return facts.withColumn("_key", text).join(known, "_key", "left").drop("_key")
+    value = F.col(key) if same_type else F.col(key).cast("string")
+    known = lookup.withColumn("_key", value).drop(key)
+    if not spread:
+        return facts.withColumn("_key", value).join(known, "_key", "left").drop("_key")
+    # Always zero, but no constant, which the planner would take out of the join's keys.
+    zero = F.pmod(F.xxhash64("_key"), F.lit(1))
+    others = F.xxhash64(F.lit(0), *[F.col(name) for name in facts.columns if name != key])
+    part = F.when(F.col("_key").isNull(), F.pmod(others, F.lit(NULL_PARTS))).otherwise(zero)
+    dealt = facts.withColumn("_key", value).withColumn("_part", part)
+    return dealt.join(known.withColumn("_part", zero), ["_key", "_part"], "left").drop("_key", "_part")
 
 
 def join_entity(facts: DataFrame, account_map: DataFrame, spread: bool = False) -> DataFrame:
@@ -128,11 +130,47 @@ def all_within(frames: list[DataFrame], max_rows: int, max_bytes: int) -> bool:
     return all(row["rows"] <= max_rows and row["bytes"] <= max_bytes for row in measured.collect())
 
 
-def join_resolved_pairs(facts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Adds ``alias_name`` from resolved id pairs; an absent id matches an absent id."""
-    known = pairs.select(*[F.col(key).alias(f"pair_{key}") for key in ID_KEYS], "alias_name")
-    same = [F.col(key).eqNullSafe(F.col(f"pair_{key}")) for key in ID_KEYS]
-    return facts.join(known, same, "inner").drop(*[f"pair_{key}" for key in ID_KEYS])
+def pair_counts(facts: DataFrame) -> DataFrame:
+    """The distinct id pairs, with their number of rows."""
+    return facts.groupBy(*ID_KEYS).agg(F.count(F.lit(1)).alias("pair_rows"))
+
+
+def heavy_pairs(counted: DataFrame, most: int = HEAVY_PAIRS) -> DataFrame:
+    """The ``most`` id pairs with the most rows: a distributed top-k, and so a bounded frame."""
+    return counted.orderBy(F.desc("pair_rows"), *ID_KEYS).limit(most)
+
+
+def _same_pair(other: str) -> list[Column]:
+    return [F.col(key).eqNullSafe(F.col(f"{other}_{key}")) for key in ID_KEYS]
+
+
+def _renamed(pairs: DataFrame, prefix: str) -> list[Column]:
+    return [F.col(key).alias(f"{prefix}_{key}") for key in ID_KEYS]
+
+
+def join_resolved_pairs(facts: DataFrame, pairs: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+    """Adds ``alias_name`` from resolved id pairs; an absent id matches an absent id.
+
+    Rows of ``heavy`` pairs, which have many days and channels, are dealt to
+    salted copies of their pair, so that none waits for one task. All others
+    have one copy. ``heavy`` is bounded and broadcast; ``pairs`` then are
+    resolved ``pair_counts``, so that both need the same counts, made once.
+    """
+    known = pairs.select(*_renamed(pairs, "pair"), "alias_name", *(["pair_rows"] if heavy is not None else []))
+    if heavy is None:
+        return facts.join(known, _same_pair("pair"), "inner").drop(*[f"pair_{key}" for key in ID_KEYS])
+    salts = SALTS_PER_PARTITION * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = F.broadcast(heavy.select(*_renamed(heavy, "heavy"), F.col("pair_rows").alias("heavy_rows")))
+    keys = [*(f"heavy_{key}" for key in ID_KEYS), "heavy_rows"]
+    row = F.xxhash64(F.lit(0), *[c for c in facts.columns if c not in ID_KEYS])
+    marked = facts.join(listed, _same_pair("heavy"), "left")
+    dealt = marked.withColumn("salt", F.when(F.col("heavy_rows").isNotNull(), F.pmod(row, F.lit(salts))).otherwise(0).cast("int"))
+    of_pair = [F.col(f"pair_{key}").eqNullSafe(F.col(f"heavy_{key}")) for key in ID_KEYS]
+    of_pair.append(F.col("pair_rows") == F.col("heavy_rows"))
+    copies = F.when(F.col("heavy_rows").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copied = known.join(listed, of_pair, "left").withColumn("pair_salt", F.explode(copies)).drop(*keys, "pair_rows")
+    joined = dealt.drop(*keys).join(copied, [*_same_pair("pair"), F.col("salt") == F.col("pair_salt")], "inner")
+    return joined.drop(*[f"pair_{key}" for key in ID_KEYS], "salt", "pair_salt")
 
 
 def resolve_alias(

@@ -13,19 +13,19 @@ from ratewatch.specs import MetricSpec, by_metric, require_distinct
 
 
 def score_merchants(
-    baselines: DataFrame, specs: Sequence[MetricSpec], min_std: float | None = None
+    baselines: DataFrame, specs: Sequence[MetricSpec], min_std: float | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Merchant t-statistic and whether it breaches, per metric."""
+    """Merchant t-statistic and whether it breaches, per metric, and per ``by``."""
     t = t_stat("t1", "mean", "std", "n", min_std)
     breach = by_metric(specs, lambda spec: spec.breaches("t_stat_alias_global"))
     scored = baselines.selectExpr(
-        "Anomaly_Type", "alias_name", "is_mit", "active_volume", f"{t} AS t_stat_alias_global"
+        *by, "Anomaly_Type", "alias_name", "is_mit", "active_volume", f"{t} AS t_stat_alias_global"
     )
     return scored.selectExpr("*", f"{breach} AS merchant_breach")
 
 
 def score_channels(
-    baselines: DataFrame, specs: Sequence[MetricSpec], min_std: float | None = None
+    baselines: DataFrame, specs: Sequence[MetricSpec], min_std: float | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
     """Channel t-statistic, impact estimate and both gates, for channels active yesterday."""
 
@@ -35,6 +35,7 @@ def score_channels(
     amount = of_loss(lost_amount("mean", "t1", "volume", "atv"))
     units = of_loss(lost_units("mean", "t1", "volume"), otherwise="CAST(incidents AS double)")
     scored = baselines.where("t1 IS NOT NULL").selectExpr(
+        *by,
         "Anomaly_Type",
         "alias_name",
         "channel_id",
@@ -61,7 +62,20 @@ def score(
     merchant in one task.
     """
     require_distinct(specs)
-    merchants = score_merchants(merchant_baseline(daily, specs, clock), specs, min_std)
-    channels = score_channels(channel_baseline(daily, specs, clock), specs, min_std)
-    joined = channels.join(merchants, ["Anomaly_Type", "alias_name", "is_mit"], "inner")
+    return score_baselines(
+        merchant_baseline(daily, specs, clock), channel_baseline(daily, specs, clock), specs, min_std
+    )
+
+
+def score_baselines(
+    merchants: DataFrame,
+    channels: DataFrame,
+    specs: Sequence[MetricSpec],
+    min_std: float | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The same from both baselines; ``by`` names columns that tell several tested days apart."""
+    scored_merchants = score_merchants(merchants, specs, min_std, by)
+    scored_channels = score_channels(channels, specs, min_std, by)
+    joined = scored_channels.join(scored_merchants, [*by, "Anomaly_Type", "alias_name", "is_mit"], "inner")
     return joined.selectExpr("*", f"{share_pct('volume', 'active_volume')} AS channel_vol_share_pct")

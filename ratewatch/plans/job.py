@@ -11,11 +11,20 @@ from pyspark.sql import DataFrame
 from ratewatch.clock import Clock
 from ratewatch.operators.counts import counts_by_metric
 from ratewatch.operators.daily import LOOKBACK_DAYS
-from ratewatch.operators.digest import TOP_CHANNELS, TOP_MERCHANTS, DigestStyle, digest_document, digest_messages
+from ratewatch.operators.digest import (
+    MESSAGE_LIMIT,
+    TOP_CHANNELS,
+    TOP_MERCHANTS,
+    DigestStyle,
+    digest_document,
+    digest_messages,
+    split_messages,
+)
 from ratewatch.operators.links import DEFAULT_BASE_URL, LinkStyle
 from ratewatch.operators.resolve import BROADCAST_BYTES, BROADCAST_ROWS
 from ratewatch.plans.detect import daily, detect_in
-from ratewatch.sinks.files import read_table, remove, write_csv, write_digest, write_table
+from ratewatch.sinks.files import publish, read_table, run_folder, write_csv, write_digest, write_table
+from ratewatch.sinks.manifest import new_run
 from ratewatch.sources.tables import Tables
 from ratewatch.specs import ACCEPTANCE, DEFAULT_SPECS, MetricSpec
 
@@ -45,33 +54,46 @@ def run(
     link_style: LinkStyle | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    message_limit: int = MESSAGE_LIMIT,
 ) -> RunResult:
     """Run one day and write the result table, the CSV and, if anything dropped, the digest.
 
-    The daily roll-up is staged below the output folder: it is far smaller than
+    All of it goes to a folder of this run, and becomes the day's result in one
+    step when the last file is written. Until then, and if the run fails anywhere
+    before, readers of ``out_dir`` see the day's earlier run as a whole. The
+    files of a replaced run stay until ``clear_superseded``.
+
+    The daily roll-up is staged in that folder as well: it is far smaller than
     the facts, and once it is written no failure later in the run reads the
-    facts again. The reports read the written result, not the plan. A rerun
-    replaces the day's staged roll-up, and the end of the run removes it.
+    facts again. The reports read the written result, not the plan. The end of
+    the run empties the staged roll-up.
 
     ``upto`` bounds the facts, so that a past day run again gives what it gave
-    then. ``top``, ``channels`` and ``metric`` shape the digest; ``max_rows``
-    and ``max_bytes`` bound the lookups that may be broadcast.
+    then. ``top``, ``channels`` and ``metric`` shape the digest, whose messages
+    are split at ``message_limit`` characters; ``max_rows`` and ``max_bytes``
+    bound the lookups that may be broadcast.
     """
     clock = Clock.at(as_of)
     spark = tables.payments.sparkSession
+    run_name = new_run()
+    folder = run_folder(out_dir, clock, run_name)
     plan = daily(tables, clock, lookback_days, upto, day_column, max_rows, max_bytes)
-    staged = f"{out_dir}/_staging/{clock.today.isoformat()}"
-    plan.write.mode("overwrite").parquet(staged)
+    staged = f"{folder}/staged_daily"
+    plan.write.parquet(staged)
     rolled = spark.read.schema(plan.schema).parquet(staged)
-    found = detect_in(rolled, tables, clock, specs, base_url, min_std, link_style)
-    table_path = write_table(found, out_dir, clock)
-    remove(spark, staged)
-    anomalies = read_table(spark, out_dir, clock)
+    write_table(detect_in(rolled, tables, clock, specs, base_url, min_std, link_style), folder, clock)
+    anomalies = read_table(spark, folder, clock)
     critical = next((spec.critical for spec in specs if spec.label == metric), ACCEPTANCE.critical)
     messages = digest_messages(anomalies, clock, top, channels, style, metric, lookback_days, critical)
+    write_csv(anomalies, folder, clock)
+    parts = split_messages(messages, message_limit)
+    digest_path = write_digest(digest_document(parts, clock, style), folder, clock)
+    day = publish(spark, out_dir, clock, run_name, digest_path)
+    # Nothing reads the roll-up any more.
+    plan.limit(0).write.mode("overwrite").parquet(staged)
     return RunResult(
-        table_path=table_path,
-        csv_path=write_csv(anomalies, out_dir, clock),
-        digest_path=write_digest(digest_document(messages, clock, style), out_dir, clock),
+        table_path=day.table_path,
+        csv_path=day.csv_path,
+        digest_path=day.digest_path,
         counts=counts_by_metric(anomalies, specs),
     )

@@ -1,0 +1,139 @@
+"""A day's outputs become current together; a run that dies leaves the day as it was."""
+
+from __future__ import annotations
+
+import glob
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+import shop
+
+from ratewatch import Clock, run
+from ratewatch.plans import job
+from ratewatch.sinks import files, manifest
+
+CLOCK = Clock.at(shop.AS_OF)
+LATER = shop.series("Drop", shop.DROP) + shop.series("Flat", [900] * 6)
+
+
+def shown(spark, out):
+    """What a reader sees of the day."""
+    (day,) = files.published(spark, out, CLOCK)
+    table = sorted(files.read_table(spark, out, CLOCK).collect(), key=repr)
+    text = sorted(files.read_csv(spark, day.csv_path).collect(), key=repr)
+    messages = None if day.digest_path is None else spark.read.json(day.digest_path).collect()
+    return day, table, text, messages
+
+
+@pytest.fixture
+def first(spark, tmp_path):
+    out = str(tmp_path / "out")
+    run(shop.tables(spark), out, shop.AS_OF)
+    return out, shown(spark, out)
+
+
+STEPS = ["write_table", "write_csv", "write_digest", "publish"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_failing_rerun_leaves_the_day_whole(spark, monkeypatch, first, step):
+    out, before = first
+
+    def fails(*_):
+        raise OSError(step)
+
+    monkeypatch.setattr(job, step, fails)
+    with pytest.raises(OSError, match=step):
+        run(shop.tables(spark, LATER), out, shop.AS_OF)
+    assert shown(spark, out) == before
+    monkeypatch.undo()
+    run(shop.tables(spark, LATER), out, shop.AS_OF)
+    after = shown(spark, out)
+    assert after[0] != before[0] and len(after[1]) == len(after[2]) == 1
+
+
+KILLED = """
+import os, sys
+sys.path[:0] = [{repo!r}, {tests!r}]
+import shop
+from pyspark.sql import SparkSession
+from ratewatch import run
+from ratewatch.plans import job
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "1").getOrCreate()
+job.{step} = lambda *_: os._exit(9)
+run(shop.tables(spark, shop.series("Drop", shop.DROP)), {out!r}, shop.AS_OF)
+"""
+
+
+@pytest.mark.parametrize("step", ["write_csv", "publish"])
+def test_a_killed_rerun_leaves_the_day_whole(spark, first, step):
+    out, before = first
+    tests = str(Path(__file__).parent)
+    script = KILLED.format(repo=str(Path(tests).parent), tests=tests, step=step, out=out)
+    ended = subprocess.run([sys.executable, "-c", script], capture_output=True, timeout=300, env=os.environ | {"TZ": "UTC"})
+    assert ended.returncode == 9, ended.stderr[-2000:]
+    assert len(glob.glob(f"{out}/runs/2024-01-31/*")) == 2
+    assert shown(spark, out) == before
+
+
+def test_an_entry_that_is_not_whole_does_not_count(spark, first):
+    out, before = first
+    partial = Path(files.manifest_folder(out)) / "entry=99999999T000000000000-dead" / "_temporary" / "0"
+    partial.mkdir(parents=True)
+    (partial / "part-00000.json").write_text('{"sequence":99,"run":"x","key":"2024-01-31","facts":{}}')
+    assert shown(spark, out) == before
+
+
+def test_a_reader_keeps_what_it_started_on(spark, first):
+    out, _ = first
+    table = files.read_table(spark, out, CLOCK)
+    count = table.count()
+    run(shop.tables(spark, LATER), out, shop.AS_OF)
+    assert table.count() == count > files.read_table(spark, out, CLOCK).count()
+
+
+def test_replaced_runs_can_be_cleared(spark, first):
+    out, (day, *_) = first
+    run(shop.tables(spark, LATER), out, shop.AS_OF)
+    now = shown(spark, out)
+    cleared = files.clear_superseded(spark, out)
+    assert cleared == [f"{out}/runs/2024-01-31/{day.run}"]
+    assert not glob.glob(f"{day.csv_path}/part-*") or os.path.getsize(glob.glob(f"{day.csv_path}/part-*")[0]) == 0
+    assert spark.read.schema("x int").parquet(day.table_path).count() == 0
+    assert shown(spark, out) == now
+
+
+def test_days_are_told_apart_and_all_are_read(spark, first):
+    out, before = first
+    run(shop.tables(spark), out, "2024-02-01")
+    assert [d.today for d in files.published(spark, out)] == ["2024-01-31", "2024-02-01"]
+    assert shown(spark, out) == before
+    dates = {r[0] for r in files.read_table(spark, out).select("Date_of_Detection").distinct().collect()}
+    assert "2024-01-31" in dates
+
+
+def test_the_folder_can_be_moved(spark, tmp_path, first):
+    out, before = first
+    moved = str(tmp_path / "elsewhere")
+    os.rename(out, moved)
+    day, *rest = shown(spark, moved)
+    assert rest == list(before[1:]) and day.table_path.startswith(moved)
+
+
+def test_sequences_decide_and_runs_break_ties(spark, tmp_path):
+    folder = str(tmp_path)
+    assert manifest.latest(spark, folder) == [] and manifest.superseded(spark, folder) == []
+    manifest.add(spark, folder, "b", {"k": {"at": "1"}, "other": {}})
+    manifest.add(spark, folder, "a", {"k": {"at": "2"}})
+    assert [(e.key, e.run, e.facts) for e in manifest.latest(spark, folder)] == [("k", "a", {"at": "2"}), ("other", "b", {})]
+    assert [e.run for e in manifest.superseded(spark, folder)] == ["b"]
+    # Two writers who both saw the second entry as the last.
+    row = spark.createDataFrame([(3, r, "k", {"at": r}) for r in ("c", "d")], manifest._ENTRY)
+    for r in ("d", "c"):
+        row.where(f"run = '{r}'").coalesce(1).write.json(f"{folder}/entry={r}")
+    assert [e.run for e in manifest.latest(spark, folder, ["k"])] == ["d"]
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        manifest.add(spark, folder, "d", {"k": {}})

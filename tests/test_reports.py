@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 import glob
 import json
-import os
 import random
 from datetime import datetime
 
@@ -167,8 +166,9 @@ def test_run_writes_everything_and_a_rerun_replaces_it(spark, tmp_path):
     header = open(glob.glob(f"{quiet.csv_path}/part-*.csv")[0], encoding="utf-8").read().strip()
     assert header == ",".join(schemas.COLUMN_ORDER)
     assert quiet.digest_path is None
-    assert result.digest_path and not os.path.exists(result.digest_path)
-    assert not os.path.exists(f"{out}/_staging/2024-01-31")
+    (day,) = files.published(spark, out, CLOCK)
+    assert (day.table_path, day.csv_path, day.digest_path) == (quiet.table_path, quiet.csv_path, None)
+    assert spark.read.parquet(*glob.glob(f"{out}/runs/*/*/staged_daily")).count() == 0
     assert {r.anomalies for r in quiet.counts.collect()} == {0}
 
 
@@ -199,7 +199,7 @@ def test_run_takes_what_detect_takes(spark, tmp_path):
     (document,) = spark.read.json(result.digest_path).collect()
     assert len(document["messages"]) == 3
     assert "more channel(s)" in "".join(document["messages"])
-    assert os.listdir(f"{tmp_path}/_staging") == []
+    assert spark.read.parquet(*glob.glob(f"{tmp_path}/runs/2024-01-31/*/staged_daily")).count() == 0
 
 
 def test_a_past_day_gives_what_it_gave_then(spark, tmp_path):
