@@ -91,18 +91,24 @@ class Encoder:
         self.merged = Recent(merging(self.library.model))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        """All texts' ids; a long one is encoded block by block."""
         if not self.by_words:
             return [self._whole(t) for t in texts]
-        cut = [list(blocks(t)) for t in texts]
-        words = pc.ascii_split_whitespace(pa.array([b for own in cut for b in own], pa.string()))
+        short = self._together([t if len(t) <= BLOCK_CHARS else "" for t in texts])
+        return [
+            own if len(t) <= BLOCK_CHARS else b"".join(self._together([block])[0] for block in blocks(t))
+            for t, own in zip(texts, short, strict=True)
+        ]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
         coded = words.flatten().dictionary_encode()
         ids, first, size = self._words(coded.dictionary)
         word = coded.indices.to_numpy()
         ends = np.append(0, np.cumsum(size[word]))
         ids = gathered(ids, first[word], size[word])
         # Where each text's words, and so its ids, end.
-        block = words.offsets.to_numpy()[np.cumsum([0, *map(len, cut)])] - words.offsets[0].as_py()
-        edges = ends[block].tolist()
+        edges = ends[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
         return [ids[s:e].tobytes() for s, e in zip(edges, edges[1:], strict=False)]
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -110,6 +110,7 @@ def test_blocks_and_a_full_memory(library, monkeypatch):
     monkeypatch.setattr(common, "REMEMBERED", 6)
     text = " ".join(f"w{i % 50} {'x' * (i % 70)}\n" for i in range(2000))
     assert "".join(packing.blocks(text, 100)) == text
+    monkeypatch.setattr(packing, "BLOCK_CHARS", 100)
     monkeypatch.setattr(packing.blocks, "__defaults__", (100,))
     encode, whole = packing.Encoder(library.to_str()), library.encode(text, add_special_tokens=False).ids
     for raw in encode([text, "", text]):
