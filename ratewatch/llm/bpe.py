@@ -139,7 +139,10 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
 
 @dataclass
 class Vocabulary:
-    """What tasks need of a file of ranks: the merging model, and the bytes of all tokens in order of their ids."""
+    """What tasks need of a file of ranks: the merging model, and the bytes of all tokens in order of their ids.
+
+    Its fields are broadcast as a dict: a broadcast holds no class of a library that executors may not have.
+    """
 
     model: str
     pattern: str
@@ -226,10 +229,10 @@ def encode(
     read. The file is read on the driver and sent as a broadcast (about 3 MB for
     50,000 tokens); a task keeps the ids of pre-tokens that it has merged lately.
     """
-    sent = frame.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern))
+    sent = frame.sparkSession.sparkContext.broadcast(vars(Vocabulary.read(path, pattern)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = Encoder(Vocabulary(**sent.value))
         for batch in batches:
             for part in slices(batch, "_text", SPLIT_BYTES):
                 texts = [text or "" for text in part.column("_text").to_pylist()]
@@ -265,10 +268,10 @@ def decode(
     an empty one. An id outside the vocabulary raises ValueError.
     """
     # Only the tokens' bytes and lengths, below 1 MB for 50,000 of them.
-    sent = frame.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
+    sent = frame.sparkSession.sparkContext.broadcast(vars(Vocabulary.read(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(sent.value)
+        decoder = Decoder(Vocabulary(**sent.value))
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -304,13 +307,14 @@ def roundtrip(
     ``offsets_sha256``, of all starts and then all ends as 64-bit numbers, lowest
     byte first; with ``with_ids``, ``ids``. Rows and nulls are as in ``encode``.
     """
-    sent = frame.sparkSession.sparkContext.broadcast(Vocabulary.read(path, pattern))
+    sent = frame.sparkSession.sparkContext.broadcast(vars(Vocabulary.read(path, pattern)))
 
     def hexes(raws: Iterable[bytes]) -> pa.Array:
         return pa.array([hashlib.sha256(raw).hexdigest() for raw in raws], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder, decimals = Encoder(sent.value), Decoder(sent.value), Decimals(len(sent.value.size))
+        vocabulary = Vocabulary(**sent.value)
+        encoder, decoder, decimals = Encoder(vocabulary), Decoder(vocabulary), Decimals(len(vocabulary.size))
         for batch in batches:
             for part in slices(batch, "_text", SPLIT_BYTES):
                 texts = [text or "" for text in part.column("_text").to_pylist()]
