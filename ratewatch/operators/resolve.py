@@ -88,11 +88,16 @@ def _by_merchant_account(account_map: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Lookups:
-    """The resolution lookups, and whether they are proven small enough to broadcast."""
+    """The resolution lookups, and whether they are proven small enough to broadcast.
+
+    A broadcast passes the driver, once for every run of a plan. ``shuffled`` are
+    the same lookups for plans that run many times: none of them passes the driver.
+    """
 
     account_map: DataFrame
     accounts: DataFrame
     small: bool
+    shuffled: Lookups | None = None
 
     @classmethod
     def prepare(
@@ -107,9 +112,11 @@ class Lookups:
         keys = account_map.select("entity_id", "merchant_account_id", "account_id")
         accounts = accounts_with_alias(account_dim, alias_dim)
         small = all_within([keys, accounts], max_rows, max_bytes)
+        merged = accounts_with_alias(account_dim, alias_dim.hint("merge")).hint("merge")
+        shuffled = cls(keys.hint("merge"), merged, False)
         if small:
             keys, accounts = F.broadcast(keys), F.broadcast(accounts)
-        return cls(keys, accounts, small)
+        return cls(keys, accounts, small, shuffled)
 
     def resolve(self, facts: DataFrame) -> DataFrame:
         """Adds ``alias_name``; NULL when the merchant cannot be resolved."""

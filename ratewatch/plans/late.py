@@ -130,6 +130,12 @@ class DailyStore:
         of_day = {day: entry.facts for day, entry in self._entries().items() if entry.facts.get("first")}
         return {day: (date.fromisoformat(f["first"]), date.fromisoformat(f["last"])) for day, f in of_day.items()}
 
+    def written(self, rolled: DataFrame) -> DataFrame:
+        """These rows from files of their own beside the store, so that no plan over them runs the roll-up again."""
+        path = f"{self.folder}/_rolled/{manifest.new_run()}"
+        rolled.write.parquet(path)
+        return self.spark.read.schema(rolled.schema).parquet(path)
+
     def _cut_day(self, day: date, clock: Clock, lookback_days: int, upto: datetime | None) -> DataFrame | None:
         text = day.isoformat()
         holders = [
@@ -156,9 +162,11 @@ def keep_up(store: DailyStore, state: BaselineState, lookups: Lookups, as_of: da
     changed source days, and the stored sums of the days concerned. Returns the
     daily roll-up of the window, for ``state.detect``. Lookups must be those of
     the last move: a merchant that has changed its alias needs a new state.
+    The roll-up of the days concerned is written once, and the state reads it
+    many times; its lookups are shuffled, so that none passes the driver.
     """
     day = date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-    window = state.as_of() or day
+    window, lookups = state.as_of() or day, lookups.shuffled or lookups
 
     def rolled(first: date, until: date) -> DataFrame:
         at = datetime.combine(until, time())
@@ -168,9 +176,12 @@ def keep_up(store: DailyStore, state: BaselineState, lookups: Lookups, as_of: da
     before, held = rolled(window, window), store.held_dates()
     changed, now = store.refresh(), store.held_dates()
     spans = [of[source] for source in changed for of in (held, now) if source in of]
+    after, concerned = rolled(min(window, day), max(window, day)), state.moving(day)
     if spans and state.as_of() is not None:
         dates = F.col("requested_date").between(F.lit(min(s[0] for s in spans)), F.lit(max(s[1] for s in spans)))
-        state.correct(before.where(dates), rolled(window, window).where(dates))
-    after = rolled(min(window, day), max(window, day))
-    state.move(after, day)
+        was, stands = store.written(before.where(dates)), store.written(after.where(concerned | dates))
+        state.correct(was, stands.where(dates))
+    else:
+        stands = store.written(after.where(concerned))
+    state.move(stands, day)
     return after

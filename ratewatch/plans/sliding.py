@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewatch.clock import Clock
@@ -63,6 +63,13 @@ class BaselineState:
             name: slid(self._read(name), entering[name], leaving[name], keys, self.specs) for name, keys in _KEYS.items()
         })
 
+    def moving(self, as_of: date) -> Column:
+        """Whether ``move`` reads a row: its day enters or leaves the window."""
+        now = self.as_of()
+        if now is None:
+            return self._within(as_of)
+        return (self._within(as_of) & ~self._within(now)) | (self._within(now) & ~self._within(as_of))
+
     def correct(self, before: DataFrame, after: DataFrame) -> None:
         """Replace days of the window whose facts have changed: the roll-up of these days as it was and as it is."""
         now = self.as_of()

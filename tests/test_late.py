@@ -195,3 +195,29 @@ def test_keeping_up_without_changes_corrects_nothing(spark, source, tmp_path, mo
     monkeypatch.setattr(BaselineState, "correct", lambda *_: 1 / 0)
     keep_up(source.store, state, source.lookups(), date(2024, 2, 1))
     assert state.as_of() == date(2024, 2, 1)
+
+
+def test_no_lookup_passes_the_driver_when_the_state_is_kept_up(spark, source, tmp_path, monkeypatch):
+    """Small lookups have broadcast hints; a plan that the state runs many times must not send them each time."""
+    state, lookups, read = BaselineState(spark, str(tmp_path / "state")), source.lookups(), []
+    assert lookups.small
+    for name in ("move", "correct"):
+        own = getattr(BaselineState, name)
+        monkeypatch.setattr(BaselineState, name, lambda *args, own=own: (read.extend(args[1:]), own(*args))[1])
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keep_up(source.store, state, lookups, "2024-01-30")
+        source.bring([r for r in shop.payments() if not r[0].day % 2 and r[1] == "Drop"], days_late=3)
+        kept = keep_up(source.store, state, lookups, "2024-01-31")
+        plan = plan_of(kept).splitlines()
+        expected = sorted(map(repr, source.store.daily(lookups, Clock.at("2024-01-31"), 31, CLOCK.as_of).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    # Only the bounded list of heavy pairs is broadcast.
+    sent = [plan[i + 1 : i + 4] for i, line in enumerate(plan) if "BroadcastExchange" in line]
+    assert sent and all(any("TakeOrderedAndProject" in line for line in below) for below in sent)
+    # The state reads the roll-up from files, where it was written once.
+    frames = [frame for frame in read if hasattr(frame, "schema")]
+    assert len(frames) == 4 and not any("Join" in plan_of(frame) or "BroadcastExchange" in plan_of(frame) for frame in frames)
+    assert sorted(map(repr, kept.collect())) == expected
